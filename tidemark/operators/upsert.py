@@ -115,7 +115,9 @@ def change_feed(
     """What each key of ``updates`` would do: insert, update, unchanged or stale.
 
     The row shown is the incoming one. ``include_untouched`` adds the stored rows no
-    update mentions; without it target rows never leave the join.
+    update mentions. Without it the target is first reduced to the incoming keys: while
+    those are few Spark broadcasts them and the target is never shuffled; otherwise both
+    joins share one shuffle by key.
     """
     if compare is None:
         compare = [
@@ -123,6 +125,8 @@ def change_feed(
             for c in updates.columns
             if c in target.columns and c not in keys and c not in AUDIT_COLUMNS
         ]
+    if not include_untouched:
+        target = target.join(updates.select(*keys), list(keys), "left_semi")
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     u = updates.withColumn("_in_updates", F.lit(True)).alias("u")
     joined = t.join(u, _same_key(keys), "full_outer" if include_untouched else "right_outer")

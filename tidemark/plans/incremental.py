@@ -94,12 +94,14 @@ def run_incremental(
     source: str,
     root: str,
     options: RunOptions | None = None,
-    files: Sequence[str] | None = None,
+    files: Sequence[str] | DataFrame | None = None,
     run_id: str | None = None,
     now: datetime | None = None,
 ) -> dict:
     """Process new files below ``source`` (or exactly ``files``) into the target below ``root``.
 
+    ``files`` is a list of paths, whose order is the arrival order, or a listing.
+
     Unreadable, damaged or schema-less files are logged and left for a later run; the
     others go through as one job. Rows that fail validation are set aside. Nothing
     counts until the ledger row at the end is written. Returns the run's totals.
@@ -122,7 +124,7 @@ def run_incremental(
     read_footers(listing).write.mode("overwrite").parquet(f"{stage}/footers")
     footers = spark.read.parquet(f"{stage}/footers")
 
-    rows = _stage_rows(spark, footers, stage, options, ordered=files is not None)
+    rows = _stage_rows(spark, footers, stage, options, ordered=files is not None and not isinstance(files, DataFrame))
     _file_results(footers, rows).write.mode("overwrite").parquet(
         f"{ledger.files_path}/run_id={run_id}"
     )
@@ -211,8 +213,10 @@ def _pick_files(
     source: str,
     ledger: Ledger,
     options: RunOptions,
-    files: Sequence[str] | None,
+    files: Sequence[str] | DataFrame | None,
 ) -> DataFrame:
+    if isinstance(files, DataFrame):
+        return files.select("path", "modificationTime", "length")
     if files is not None:
         return explicit_files(spark, files)
     listing = list_files(spark, source)
