@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schema import ISO_TIMESTAMP
+from tidemark.schema import INTEGER_TEXT, ISO_TIMESTAMP
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -24,6 +24,13 @@ def to_bigint(value: Column) -> Column:
     return value.try_cast("bigint")
 
 
+def text_to_bigint(value: Column) -> Column:
+    """Integer text to a number. Other text is sorted out by its shape first: ``try_cast``
+    alone gives the same result, but raises and catches an exception for every bad value.
+    """
+    return F.when(value.rlike(INTEGER_TEXT), to_bigint(value))
+
+
 def parse_iso(value: Column) -> Column:
     """ISO text to a zone-free timestamp.
 
@@ -68,7 +75,9 @@ def convert(value: Column, have: T.DataType, want: T.DataType, *, unit: str = ""
     if isinstance(want, T.StringType):
         return to_text(value)
     if isinstance(want, T.LongType):
-        if isinstance(have, (T.StringType, T.BooleanType, *_NUMBERS)):
+        if isinstance(have, T.StringType):
+            return text_to_bigint(value)
+        if isinstance(have, (T.BooleanType, *_NUMBERS)):
             return to_bigint(value)
         return F.lit(None).cast(want)
     if isinstance(want, T.TimestampNTZType):

@@ -1,29 +1,23 @@
-"""Latest row per key, in one shuffle of pre-aggregated rows."""
+"""Latest row per key, in one shuffle of rows already cut down to one per key and task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.schema import KEY, ORDER, PATH, ROW
 
 
-def recency(order: Sequence[str | Column], nulls: str = "last") -> Column:
-    """A never-NULL value that is largest for the most recent row.
+def recency(order: Sequence[str]) -> Column:
+    """A never-NULL value that is largest for the most recent row, for ``max_by``.
 
     Structs compare field by field with NULL smallest, so a NULL date loses to any
-    date. ``nulls="first"`` lets a NULL in the first field beat every date. The
-    struct itself is never NULL: ``max_by`` ignores NULL orderings and would drop
-    a key whose dates are all NULL.
+    date. The struct itself is never NULL: ``max_by`` ignores NULL orderings and would
+    drop a key whose dates are all NULL.
     """
-    if nulls not in ("first", "last"):
-        raise ValueError("nulls must be 'first' or 'last'")
-    fields = [F.col(c) if isinstance(c, str) else c for c in order]
-    if nulls == "first" and fields:
-        fields = [fields[0].isNull(), *fields]
-    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(fields)])
+    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
 
 
 def dedup_latest(
@@ -38,18 +32,22 @@ def dedup_latest(
 
     Rows equal on ``order`` are told apart by ``tiebreak``, largest first; by default
     the later file and then the later row in it, or all other columns where the
-    position is unknown. A NULL key counts as one key. Each map task sends at most
-    one row per key, so a key holding a third of the input costs no more to
-    shuffle than any other.
+    position is unknown. A NULL key counts as one key.
+
+    Spark plans a rank filtered to 1 with a group limit on both sides of the shuffle:
+    each map task sends at most one row per key, so a key holding a third of the input
+    costs no more to shuffle than any other.
     """
+    if nulls not in ("first", "last"):
+        raise ValueError("nulls must be 'first' or 'last'")
     group = [*within, *keys]
     if tiebreak is None:
         positioned = [c for c in (PATH, ROW) if c in df.columns]
         tiebreak = positioned or [c for c in df.columns if c not in group and c not in order]
-    rest = [c for c in df.columns if c not in group]
-    if not rest:
+    latest_first = [F.desc_nulls_last(c) for c in [*order, *tiebreak]]
+    if nulls == "first":
+        latest_first[0] = F.desc_nulls_first(order[0])
+    if not latest_first:
         return df.distinct()
-    best = F.max_by(F.struct(*rest), recency([*order, *tiebreak], nulls))
-    return df.groupBy(*group).agg(best.alias("_latest")).select(
-        *[F.col(c) if c in group else F.col("_latest").getField(c).alias(c) for c in df.columns]
-    )
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*latest_first))
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")

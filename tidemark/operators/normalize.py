@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,17 +21,20 @@ POLICIES = ("null", "keep_column", "quarantine")
 
 def _conversions(
     df: DataFrame, schema: T.StructType, units: Mapping[str, str]
-) -> dict[str, tuple[Column, Column]]:
-    """Converted value and "was rejected" flag of each expected column the table has."""
+) -> dict[str, Column]:
+    """Converted value of each expected column the table has."""
     have = {f.name: f.dataType for f in df.schema}
-    out = {}
-    for field in schema:
-        if field.name not in have:
-            continue
-        source = F.col(f"`{field.name}`")
-        value = convert(source, have[field.name], field.dataType, unit=units.get(field.name, ""))
-        out[field.name] = (value, source.isNotNull() & value.isNull())
-    return out
+    return {
+        f.name: convert(
+            F.col(f"`{f.name}`"), have[f.name], f.dataType, unit=units.get(f.name, "")
+        )
+        for f in schema
+        if f.name in have
+    }
+
+
+def _rejected(before: Column, after: Column) -> Column:
+    return before.isNotNull() & after.isNull()
 
 
 def cast_failure_counts(
@@ -37,7 +42,9 @@ def cast_failure_counts(
 ) -> DataFrame:
     """One row: for each expected column present, how many values cannot be converted."""
     found = _conversions(df, schema, units or {})
-    return df.agg(*[F.count_if(bad).cast("bigint").alias(name) for name, (_, bad) in found.items()])
+    return df.agg(
+        *[F.count_if(_rejected(F.col(f"`{c}`"), v)).cast("bigint").alias(c) for c, v in found.items()]
+    )
 
 
 def normalize(
@@ -59,33 +66,24 @@ def normalize(
         raise ValueError(f"on_error must be one of {POLICIES}")
     found = _conversions(df, schema, units or {})
     if on_error == "keep_column":
-        found = _without_failing(df, found)
-    columns = [
-        found[c][0].alias(c) if c in found else F.col(f"`{c}`") for c in df.columns
-    ]
-    if on_error == "quarantine":
-        flags = [F.when(bad, F.lit(f"cast:{name}")) for name, (_, bad) in found.items()]
-        errors = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
-        failed = F.lit(False)
-        for _, bad in found.values():
-            failed = failed | bad
-        untouched = F.to_json(F.struct(*[F.col(f"`{c}`") for c in found])) if found else F.lit(None)
-        columns += [errors.alias(ERRORS), F.when(failed, untouched).cast("string").alias(RAW)]
-    return df.select(*columns)
-
-
-def _without_failing(
-    df: DataFrame, found: dict[str, tuple[Column, Column]]
-) -> dict[str, tuple[Column, Column]]:
-    if not found:
-        return found
-    row = df.agg(
-        *[F.count_if(bad).alias(name) for name, (_, bad) in found.items()]
-    ).first()
-    for name in found:
-        if row[name]:
-            log.warning("column %s left uncast: %d values cannot be converted", name, row[name])
-    return {name: pair for name, pair in found.items() if not row[name]}
+        counts = cast_failure_counts(df, schema, units).first() if found else {}
+        for name in [c for c in found if counts[c]]:
+            log.warning("column %s left uncast: %d values cannot be converted", name, counts[name])
+            del found[name]
+    if on_error != "quarantine":
+        return df.select(*[found[c].alias(c) if c in found else F.col(f"`{c}`") for c in df.columns])
+    # The values are computed in one step and judged in the next, so each is cast once.
+    cast = df.select("*", *[v.alias(f"_cast_{c}") for c, v in found.items()])
+    bad = {c: _rejected(F.col(f"`{c}`"), F.col(f"`_cast_{c}`")) for c in found}
+    errors = F.array_compact(
+        F.array(*[F.when(flag, F.lit(f"cast:{c}")) for c, flag in bad.items()]).cast("array<string>")
+    )
+    untouched = F.to_json(F.struct(*[F.col(f"`{c}`") for c in found]))
+    return cast.select(
+        *[F.col(f"`_cast_{c}`").alias(c) if c in found else F.col(f"`{c}`") for c in df.columns],
+        errors.alias(ERRORS),
+        F.when(reduce(or_, bad.values(), F.lit(False)), untouched).alias(RAW),
+    )
 
 
 def fill_nulls(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import recency
+from tidemark.operators.dedup import dedup_latest, recency
 from tidemark.schema import AUDIT_COLUMNS, KEY, ORDER, SUPPLIED
 
 CONFLICTS = ("arrival", "latest")
@@ -69,21 +69,21 @@ def merge_rows(
 def fold_arrivals(
     df: DataFrame,
     keys: Sequence[str] = (KEY,),
-    arrival: Sequence[str | Column] = (ORDER,),
+    arrival: Sequence[str] = (ORDER,),
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """What remains per key after upserting all rows one by one in ``arrival`` order.
 
     The last row wins. With a ``_supplied`` array on the rows, each column comes from
     the last row that supplies it, and the result carries the union of the arrays.
-    One aggregation with a partial step before the shuffle, however many files or
-    slices the rows came from.
+    One shuffle of at most one row per key and task, however many files or slices the
+    rows came from.
     """
     columns = [c for c in (columns or df.columns) if c not in keys and c != SUPPLIED]
-    last = recency(arrival)
     if SUPPLIED not in df.columns:
-        folded = df.groupBy(*keys).agg(F.max_by(F.struct(*columns), last).alias("_last"))
-        return folded.select(*keys, *[F.col("_last").getField(c).alias(c) for c in columns])
+        needed = dict.fromkeys([*keys, *columns, *arrival])
+        return dedup_latest(df.select(*needed), keys, arrival, ()).select(*keys, *columns)
+    last = recency(arrival)
     # Boxing each value in a struct keeps a supplied NULL apart from "not supplied".
     per_column = [
         F.max_by(

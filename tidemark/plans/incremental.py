@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -306,7 +306,7 @@ def _without_files(rows: DataFrame, failures: DataFrame, count: int) -> DataFram
     return rows.join(F.broadcast(bad) if count <= _SHORT_LIST else bad, PATH, "left_anti")
 
 
-def arrival_order(scope: str, conflict: str) -> list[str | Column]:
+def arrival_order(scope: str, conflict: str) -> list[str]:
     """Sort key, most significant first, of the row that survives a run."""
     place = [SEQ, PATH]
     if conflict == "latest" or scope == "run":

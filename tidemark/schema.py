@@ -43,6 +43,9 @@ VARCHAR_LIMITS = {"name": 255, "email": 255, "status": 50, BATCH_ID: 50}
 # Fixed value: accepted shape of a textual updated_at (no zone, "T", 0-9 fraction digits).
 ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{0,9})?$"
 
+# Text that can be a 64-bit integer; surrounding blanks are allowed.
+INTEGER_TEXT = r"^\s*[+-]?0*\d{1,19}\s*$"
+
 # Fixed value: rows per slice unless the caller says otherwise.
 BATCH_SIZE = 100_000
 

@@ -30,6 +30,7 @@ def local_session(cpus: int | str = "*", name: str = "tidemark", **extra: str) -
     settings = {
         **SETTINGS,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
     }
