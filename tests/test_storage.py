@@ -1,8 +1,11 @@
 import json
 import os
+import subprocess
+import sys
 from datetime import datetime, timezone
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tests.test_incremental import deposit, record
@@ -12,7 +15,7 @@ from tidemark.sinks import jdbc
 from tidemark.sinks.keyed import KeyedTable, create_table
 from tidemark.sinks.processed import read_processed, write_processed
 from tidemark.sources.listing import list_files, new_or_changed, newer_than_mark, only_parquet
-from tidemark.sources.parquet import read_footers, read_parquet
+from tidemark.sources.parquet import _footer_check, read_footers, read_parquet
 from tidemark.state.deadletter import (
     failed_rows,
     failures_of,
@@ -160,6 +163,19 @@ def test_positions_within_files(spark, folder):
     assert footer["modificationTime"] == list_files(spark, f"{folder}/raw").first()["modificationTime"]
 
 
+def test_footer_task_needs_no_copy_of_the_package(folder):
+    path = deposit(folder, "a.parquet", [record(1, 20)])
+    with open(f"{folder}/task.pkl", "wb") as f:
+        f.write(cloudpickle.dumps(_footer_check(["id", "name"], ["id"])))
+    code = (
+        "import pickle, pandas as pd; f = pickle.load(open('task.pkl', 'rb'));"
+        f"print(next(f(iter([pd.DataFrame({{'path': ['{path}']}})])))['num_rows'][0])"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True)
+    assert done.stdout.strip() == "1", done.stderr
+
+
 def test_target_declaration(spark):
     create_table(spark, "declared_target")
     create_table(spark, "declared_target")

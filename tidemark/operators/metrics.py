@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -39,10 +39,11 @@ class TableStats:
         }
 
 
-def run_totals(files: DataFrame) -> DataFrame:
+def run_totals(files: DataFrame, *more: Column) -> DataFrame:
     """Totals over per-file results with ``status``, ``records`` and ``records_failed``.
 
-    Rows of a failed file count in neither sum: none of them reached the target.
+    Rows of a failed file count in neither sum: none of them reached the target. ``more``
+    are aggregates to take in the same pass.
     """
     ok = F.col("status") == "ok"
     return files.agg(
@@ -50,6 +51,7 @@ def run_totals(files: DataFrame) -> DataFrame:
         F.count_if(~ok).cast("bigint").alias("files_failed"),
         F.coalesce(F.sum(F.when(ok, F.col("records"))), F.lit(0)).cast("bigint").alias("records_processed"),
         F.coalesce(F.sum(F.when(ok, F.col("records_failed"))), F.lit(0)).cast("bigint").alias("records_failed"),
+        *more,
     )
 
 

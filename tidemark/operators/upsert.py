@@ -76,31 +76,34 @@ def fold_arrivals(
 
     The last row wins. With a ``_supplied`` array on the rows, each column comes from
     the last row that supplies it, and the result carries the union of the arrays.
-    One shuffle of at most one row per key and task, however many files or slices the
-    rows came from.
+    At most one row per key and task is shuffled (with ``_supplied``: per key and set of
+    supplied columns, then once more), however many files or slices the rows came from.
     """
     columns = [c for c in (columns or df.columns) if c not in keys and c != SUPPLIED]
     if SUPPLIED not in df.columns:
         needed = dict.fromkeys([*keys, *columns, *arrival])
         return dedup_latest(df.select(*needed), keys, arrival, ()).select(*keys, *columns)
+    # First the last row of each set of supplied columns, then each column's last among
+    # those few: the wide comparison never sees the full input.
+    needed = dict.fromkeys([*keys, SUPPLIED, *columns, *arrival])
+    rows = dedup_latest(df.select(*needed), [*keys, SUPPLIED], arrival, ())
     last = recency(arrival)
     # Boxing each value in a struct keeps a supplied NULL apart from "not supplied".
-    per_column = [
-        F.max_by(
-            F.when(F.array_contains(SUPPLIED, c), F.struct(F.col(c).alias("v"))),
-            F.when(F.array_contains(SUPPLIED, c), last),
-        ).alias(c)
-        for c in columns
-    ]
-    folded = df.groupBy(*keys).agg(*per_column)
+    per_column = []
+    for c in columns:
+        given = F.array_contains(SUPPLIED, c)
+        box = F.when(given, F.struct(F.col(c).alias("v")))
+        per_column.append(F.max_by(box, F.when(given, last)).alias(f"_last_{c}"))
+    folded = rows.groupBy(*keys).agg(*per_column)
+    boxes = {c: F.col(f"_last_{c}") for c in columns}
     supplied = F.array_compact(
         F.array(
             *[F.lit(k) for k in keys],
-            *[F.when(F.col(c).isNotNull(), F.lit(c)) for c in columns],
+            *[F.when(box.isNotNull(), F.lit(c)) for c, box in boxes.items()],
         )
     )
     return folded.select(
-        *keys, *[F.col(c).getField("v").alias(c) for c in columns], supplied.alias(SUPPLIED)
+        *keys, *[box.getField("v").alias(c) for c, box in boxes.items()], supplied.alias(SUPPLIED)
     )
 
 

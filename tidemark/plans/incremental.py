@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -116,20 +116,15 @@ def run_incremental(
 
     picked = _pick_files(spark, source, ledger, options, files)
     with listing_splits(spark):
-        picked.write.mode("overwrite").parquet(f"{stage}/listing")
-    listing = spark.read.parquet(f"{stage}/listing")
-    if listing.isEmpty():
+        footers = _store(read_footers(picked), f"{stage}/footers")
+    if footers.isEmpty():
         log.info("no files to process")
         return _no_files(run_id, started)
-    read_footers(listing).write.mode("overwrite").parquet(f"{stage}/footers")
-    footers = spark.read.parquet(f"{stage}/footers")
 
     rows = _stage_rows(spark, footers, stage, options, ordered=files is not None and not isinstance(files, DataFrame))
-    _file_results(footers, rows).write.mode("overwrite").parquet(
-        f"{ledger.files_path}/run_id={run_id}"
-    )
-    results = spark.read.parquet(f"{ledger.files_path}/run_id={run_id}")
-    totals = run_totals(results).first().asDict()
+    results = _store(_file_results(footers, rows), f"{ledger.files_path}/run_id={run_id}")
+    last = F.max_by("path", F.struct(SEQ, "path")).alias("last_file")
+    totals = run_totals(results, last).first().asDict()
     enforce_error_rate(
         totals["records_processed"] + totals["records_failed"],
         totals["records_failed"],
@@ -156,11 +151,9 @@ def run_incremental(
         written = 0
 
     ended = now or utc_now()
-    last = results.agg(F.max_by("path", F.struct(SEQ, "path")).alias("path")).first()["path"]
-    row = mark_row(started, last, written)
     ledger.commit(
         {
-            **row,
+            **mark_row(started, totals["last_file"], written),
             **state,
             "run_id": run_id,
             "start_time": started.isoformat(),
@@ -208,6 +201,12 @@ def _pointers(run) -> dict:
     return {"base": run["base"], "pending": list(run["pending"] or []), "buckets": run["buckets"]}
 
 
+def _store(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` and go on from what was written; later steps never recompute it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _pick_files(
     spark: SparkSession,
     source: str,
@@ -241,7 +240,7 @@ def _stage_rows(
     """
     usable = footers.where("error_type IS NULL")
     members: dict[str, list[str]] = {}
-    for row in usable.select("signature", "path").toLocalIterator():
+    for row in usable.select("signature", "path").collect():
         members.setdefault(row["signature"], []).append(row["path"])
     groups, supplies = [], set()
     for signature, paths in sorted(members.items()):
@@ -267,8 +266,7 @@ def _stage_rows(
         rows = rows.join(F.broadcast(order) if usable.count() <= _SHORT_LIST else order, PATH)
     else:
         rows = rows.withColumn(SEQ, F.lit(0).cast("bigint"))
-    rows.write.mode("overwrite").parquet(f"{stage}/rows")
-    return spark.read.parquet(f"{stage}/rows")
+    return _store(rows, f"{stage}/rows")
 
 
 def _file_results(footers: DataFrame, rows: DataFrame | None) -> DataFrame:
@@ -333,16 +331,14 @@ def _apply(
     if partial:
         audit = F.array(*[F.lit(c) for c in AUDIT_COLUMNS])
         rows = rows.withColumn(SUPPLIED, F.concat(SUPPLIED, audit))
-    columns = [c for c in table.schema.fieldNames() if c in rows.columns]
     updates = fold_arrivals(
-        rows, [KEY], arrival_order(options.scope, options.conflict), columns
+        rows, [KEY], arrival_order(options.scope, options.conflict), table.schema.fieldNames()
     )
-    if not partial:
-        updates = updates.select(*columns)
-    changes = table.write_changes(updates, run_id)
-    stored = spark.read.parquet(f"{table.root}/{changes}")
-    written = stored.count()
+    counted = Observation()
+    changes = table.write_changes(updates.observe(counted, F.count(F.lit(1)).alias("n")), run_id)
+    written = counted.get["n"]
     if options.processed_root and written:
+        stored = spark.read.parquet(f"{table.root}/{changes}").drop(SUPPLIED)
         write_processed(stored, options.processed_root, started.date(), run_id)
 
     pending = [*state["pending"], changes]

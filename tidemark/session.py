@@ -53,6 +53,23 @@ def one_row(spark: SparkSession, values: Mapping, schema: StructType) -> DataFra
     )
 
 
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """``path`` with its filesystem, spelled as a listing spells it."""
+    filesystem, hadoop = _filesystem(spark, path)
+    return filesystem.makeQualified(hadoop).toString()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or anything matching a pattern, is there."""
+    filesystem, hadoop = _filesystem(spark, path)
+    return bool(filesystem.globStatus(hadoop))
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables.
 

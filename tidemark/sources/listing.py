@@ -6,13 +6,12 @@ from collections.abc import Mapping
 from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.convert import parse_mark_time
 from tidemark.schema import LISTING_SCHEMA
-from tidemark.session import empty_table
+from tidemark.session import empty_table, exists
 
 # Fixed value: part of the path that marks state files, which are never input.
 STATE_MARKER = ".watermark/"
@@ -32,17 +31,14 @@ def list_files(
     File contents are never opened: the content column is pruned. Large folders are
     listed by Spark's parallel listing job. A missing prefix is an empty listing.
     """
+    if not exists(spark, prefix):
+        return empty_table(spark, LISTING_SCHEMA)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    try:
-        files = reader.load(prefix).select("path", "modificationTime", "length")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_table(spark, LISTING_SCHEMA)
+    files = reader.load(prefix).select("path", "modificationTime", "length")
     if start_after:
         files = files.where(F.col("path") > start_after)
     return files

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import glob_literal, plain_path
 from tidemark.schema import KEY, PATH, RAW_SCHEMA, ROW, SEQ
+from tidemark.session import qualify
 
 # Times cross to Python as microseconds, so no session zone is involved.
 _CHECKED = T.StructType(
@@ -61,36 +62,14 @@ def read_parquet(
     )
 
 
-def _open(path: str):
-    """A pyarrow file for a path as Spark's listing spells it."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    if path.startswith(("s3a://", "s3n://")):
-        path = "s3://" + path.split("://", 1)[1]
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    scheme, rest = path.split("://", 1)
-    root, _, inner = rest.partition("/")
-    filesystem, base = fs.FileSystem.from_uri(f"{scheme}://{root}")
-    return filesystem, f"{base.strip('/')}/{inner}"
-
-
-def _spark_type(arrow_type) -> str:
-    """Spark name of a flat arrow type; empty for anything an expected column cannot be cast from."""
-    from pyarrow import types as pt
-
-    if pt.is_dictionary(arrow_type):
-        return _spark_type(arrow_type.value_type)
-    if pt.is_timestamp(arrow_type):
-        if arrow_type.unit == "ns":
-            return NANOS
-        return "timestamp" if arrow_type.tz else "timestamp_ntz"
-    if pt.is_decimal128(arrow_type):
-        return f"decimal({arrow_type.precision},{arrow_type.scale})"
+def _footer_check(expected: Sequence[str], required: Sequence[str]):
+    """The function tasks run over batches of listed files.
+
+    Everything it needs is defined inside, so it travels with the task and executors
+    need no copy of this package.
+    """
     # Arrow type name to the type Spark reads it as.
-    names = {
+    spark_types = {
         "int8": "tinyint",
         "int16": "smallint",
         "int32": "int",
@@ -109,41 +88,78 @@ def _spark_type(arrow_type) -> str:
         "date32[day]": "date",
         "null": "int",
     }
-    return names.get(str(arrow_type), "")
-
-
-def _footer(path: str, expected: Sequence[str], required: Sequence[str]) -> dict:
-    """Signature and row count of one file, or why it cannot be used. Reads the footer only."""
-    import pyarrow.parquet as pq
-
-    try:
-        filesystem, inner = _open(path)
-        info = filesystem.get_file_info(inner)
-        with filesystem.open_input_file(inner) as source:
-            meta = pq.read_metadata(source)
-        fields = {f.name: _spark_type(f.type) for f in meta.schema.to_arrow_schema()}
-        found = {}
-        for name in expected:
-            same = [f for f in fields if f.lower() == name.lower()]
-            if len(same) > 1:
-                raise ValueError(f"ambiguous columns {same}")
-            if same and not fields[same[0]]:
-                raise ValueError(f"column {name} has a nested or unsupported type")
-            if same:
-                found[name] = fields[same[0]]
-        missing = [name for name in required if name not in found]
-        if missing:
-            raise ValueError(f"missing columns {missing}")
-        # Milliseconds, the precision file listings have.
-        modified = info.mtime_ns // 1_000_000 * 1000 if info.mtime_ns else None
-        return {
-            "signature": json.dumps(found),
-            "num_rows": meta.num_rows,
-            "length": info.size,
-            "modified_micros": modified,
-        }
-    except Exception as error:  # any unreadable file is data here, not a task failure
-        return {"error_type": type(error).__name__, "error_message": str(error)}
+    nanos, output = NANOS, _CHECKED.fieldNames()
+
+    def locate(path: str):
+        """A pyarrow filesystem and path for a path as Spark's listing spells it."""
+        from pyarrow import fs
+
+        if path.startswith("file:"):
+            return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+        if path.startswith(("s3a://", "s3n://")):
+            path = "s3://" + path.split("://", 1)[1]
+        if "://" not in path:
+            return fs.LocalFileSystem(), path
+        scheme, rest = path.split("://", 1)
+        root, _, inner = rest.partition("/")
+        filesystem, base = fs.FileSystem.from_uri(f"{scheme}://{root}")
+        return filesystem, f"{base.strip('/')}/{inner}"
+
+    def spark_type(arrow_type) -> str:
+        """Empty for a type no expected column can be cast from."""
+        from pyarrow import types as pt
+
+        if pt.is_dictionary(arrow_type):
+            return spark_type(arrow_type.value_type)
+        if pt.is_timestamp(arrow_type):
+            if arrow_type.unit == "ns":
+                return nanos
+            return "timestamp" if arrow_type.tz else "timestamp_ntz"
+        if pt.is_decimal128(arrow_type):
+            return f"decimal({arrow_type.precision},{arrow_type.scale})"
+        return spark_types.get(str(arrow_type), "")
+
+    def footer(path: str) -> dict:
+        """Signature and row count of one file, or why it cannot be used. Reads the footer only."""
+        import pyarrow.parquet as pq
+
+        try:
+            filesystem, inner = locate(path)
+            info = filesystem.get_file_info(inner)
+            with filesystem.open_input_file(inner) as source:
+                meta = pq.read_metadata(source)
+            fields = {f.name: spark_type(f.type) for f in meta.schema.to_arrow_schema()}
+            found = {}
+            for name in expected:
+                same = [f for f in fields if f.lower() == name.lower()]
+                if len(same) > 1:
+                    raise ValueError(f"ambiguous columns {same}")
+                if same and not fields[same[0]]:
+                    raise ValueError(f"column {name} has a nested or unsupported type")
+                if same:
+                    found[name] = fields[same[0]]
+            missing = [name for name in required if name not in found]
+            if missing:
+                raise ValueError(f"missing columns {missing}")
+            return {
+                "signature": json.dumps(found),
+                "num_rows": meta.num_rows,
+                "length": info.size,
+                # Milliseconds, the precision file listings have.
+                "modified_micros": info.mtime_ns // 1_000_000 * 1000 if info.mtime_ns else None,
+            }
+        except Exception as error:  # any unreadable file is data here, not a task failure
+            return {"error_type": type(error).__name__, "error_message": str(error)}
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for listed in batch.to_dict("records"):
+                known = {k: v for k, v in listed.items() if not pd.isna(v)}
+                rows.append({**footer(listed["path"]), **known})
+            yield pd.DataFrame(rows, columns=output, dtype=object)
+
+    return check
 
 
 def read_footers(
@@ -159,7 +175,6 @@ def read_footers(
     and length (an explicit list of paths), which are then taken from the file.
     """
     spark = files.sparkSession
-    names, needed = expected.fieldNames(), list(required)
     tasks = tasks or max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
@@ -173,15 +188,7 @@ def read_footers(
         (F.col("length") if "length" in files.columns else F.lit(None).cast("bigint")).alias("length"),
         (F.col(SEQ) if SEQ in files.columns else F.lit(0)).cast("bigint").alias(SEQ),
     )
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for listed_file in batch.to_dict("records"):
-                known = {k: v for k, v in listed_file.items() if not pd.isna(v)}
-                rows.append({**_footer(listed_file["path"], names, needed), **known})
-            yield pd.DataFrame(rows, columns=_CHECKED.fieldNames(), dtype=object)
-
+    check = _footer_check(expected.fieldNames(), list(required))
     checked = listed.repartition(tasks).mapInPandas(check, _CHECKED)
     return checked.select(
         "path",
@@ -198,14 +205,6 @@ def signature_schema(signature: str) -> tuple[T.StructType, dict[str, str]]:
     return T.StructType.fromDDL(ddl), units
 
 
-def qualify(spark: SparkSession, path: str) -> str:
-    """``path`` with its filesystem, spelled as a listing spells it."""
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop.getFileSystem(conf).makeQualified(hadoop).toString()
-
-
 def explicit_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The caller's own list as a listing; ``_seq`` keeps its order. A repeated path counts once, last."""
     order = {qualify(spark, p): i for i, p in enumerate(paths)}

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import failed_log_name, short_message
 from tidemark.schema import FAILED_SCHEMA
-from tidemark.session import empty_table, one_row
+from tidemark.session import empty_table, exists, one_row
 
 LOG_SCHEMA = T.StructType(
     FAILED_SCHEMA.fields
@@ -74,12 +73,9 @@ def log_failure(
 
 def read_failed_log(spark: SparkSession, path: str, failed_date: date | str | None = None) -> DataFrame:
     """All failures, or those of one day (only that day's folder is read)."""
-    try:
-        rows = spark.read.schema(LOG_SCHEMA).json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return empty_table(spark, LOG_SCHEMA)
+    rows = spark.read.schema(LOG_SCHEMA).json(path)
     if failed_date is not None:
         rows = rows.where(F.col("failed_date") == F.lit(failed_date).cast("date"))
     return rows

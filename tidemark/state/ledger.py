@@ -10,14 +10,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.convert import parse_mark_time
 from tidemark.schema import MARK_SCHEMA
-from tidemark.session import empty_table, one_row
+from tidemark.session import empty_table, exists, one_row
 
 RUN_SCHEMA = T.StructType(
     MARK_SCHEMA.fields
@@ -53,34 +52,23 @@ FILE_SCHEMA = T.StructType(
 MARK_FIELDS = MARK_SCHEMA.fieldNames()
 
 
-def _or_empty(spark: SparkSession, schema: T.StructType, load) -> DataFrame:
-    try:
-        return load()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_table(spark, schema)
-
-
 def read_marks(spark: SparkSession, path: str, schema: T.StructType = MARK_SCHEMA) -> DataFrame:
-    """Marks stored as JSON, one object per line or one indented object per file.
+    """Marks stored as JSON, one object per line.
 
     Missing storage is an empty table, and an object that does not parse is no mark.
     """
-    marks = _or_empty(
-        spark, schema, lambda: spark.read.schema(schema).option("multiLine", "false").json(path)
-    )
+    if not exists(spark, path):
+        return empty_table(spark, schema)
+    marks = spark.read.schema(schema).json(path)
     return marks.where(parse_mark_time(F.col("last_successful_run")).isNotNull())
 
 
 def read_mark_file(spark: SparkSession, path: str) -> dict | None:
     """One indented JSON mark as other tools write it; None if missing or malformed."""
-    marks = _or_empty(
-        spark,
-        MARK_SCHEMA,
-        lambda: spark.read.schema(MARK_SCHEMA).option("multiLine", "true").json(path),
-    ).where(F.col("last_successful_run").isNotNull())
-    row = marks.first()
+    if not exists(spark, path):
+        return None
+    marks = spark.read.schema(MARK_SCHEMA).option("multiLine", "true").json(path)
+    row = marks.where(F.col("last_successful_run").isNotNull()).first()
     return row.asDict() if row else None
 
 
@@ -168,9 +156,9 @@ class Ledger:
 
     def files(self) -> DataFrame:
         """Per-file results of committed runs."""
-        rows = _or_empty(
-            self.spark, FILE_SCHEMA, lambda: self.spark.read.schema(FILE_SCHEMA).parquet(self.files_path)
-        )
+        if not exists(self.spark, self.files_path):
+            return empty_table(self.spark, FILE_SCHEMA)
+        rows = self.spark.read.schema(FILE_SCHEMA).parquet(self.files_path)
         return rows.join(self.runs().select("run_id").distinct(), "run_id", "left_semi").select(
             *FILE_SCHEMA.fieldNames()
         )
