@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.validate import ErrorRateExceeded
 from tidemark.plans.incremental import RunOptions, read_target, run_incremental
 from tidemark.state.deadletter import read_failed_log
-from tidemark.state.ledger import Ledger
+from tidemark.state.ledger import Ledger, starting_mark
 
 COLUMNS = ["id", "name", "email", "status", "updated_at", "payload"]
 NOW = datetime(2025, 5, 22, 3, 0, tzinfo=timezone.utc)
@@ -90,8 +90,27 @@ def test_highwater_skips_old_paths(spark, folder):
 def test_mark_stays_when_told_to(spark, folder):
     root = f"{folder}/out"
     deposit(folder, "a.parquet", [record(1, 20)])
-    run_incremental(spark, f"{folder}/raw", root, RunOptions(update_mark=False))
+    for _ in range(2):
+        result = run_incremental(spark, f"{folder}/raw", root, RunOptions(update_mark=False))
+        assert result["files_processed"] == 1
     assert Ledger(spark, f"{root}/state").mark() is None
+    assert names(spark, root) == {1: "n"}
+
+
+def test_highwater_from_a_seeded_mark(spark, folder):
+    root = f"{folder}/out"
+    deposit(folder, "a.parquet", [record(1, 20)])
+    ledger = Ledger(spark, f"{root}/state")
+    ledger.seed(starting_mark("now"))
+    options = RunOptions(mode="highwater")
+    assert run_incremental(spark, f"{folder}/raw", root, options)["files_processed"] == 0
+    path = deposit(folder, "b.parquet", [record(2, 20)])
+    os.utime(path, (2_000_000_000, 2_000_000_000))
+    assert run_incremental(spark, f"{folder}/raw", root, options)["files_processed"] == 1
+    assert names(spark, root) == {2: "n"}
+    other = Ledger(spark, f"{folder}/other")
+    other.seed({"last_successful_run": "2025-05-21T00:00:00Z", "last_processed_file": "raw/x", "records_processed": 5})
+    assert other.mark()["last_processed_file"] == "raw/x"
 
 
 @pytest.mark.parametrize(

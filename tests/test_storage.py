@@ -25,11 +25,12 @@ from tidemark.state.deadletter import (
     write_failed_log,
 )
 from tidemark.state.ledger import (
+    append_row,
     from_json_text,
-    initial_mark,
     latest_mark,
     read_mark_file,
     read_marks,
+    starting_mark,
     to_json_text,
     write_mark,
 )
@@ -89,7 +90,7 @@ def test_marks(spark, folder):
     path = f"{folder}/marks"
     assert read_marks(spark, path).count() == 0
     assert latest_mark(read_marks(spark, path)).count() == 0
-    initial_mark(spark, path)
+    append_row(spark, path, starting_mark(), MARK_SCHEMA)
     first = latest_mark(read_marks(spark, path)).first()
     assert (first["last_processed_file"], first["records_processed"]) == ("", 0)
     assert first["last_successful_run"].startswith("1970")
@@ -102,10 +103,9 @@ def test_marks(spark, folder):
     assert len(row["watermark_id"]) == 36
     text = to_json_text(read_marks(spark, path))
     assert sorted(from_json_text(text, MARK_SCHEMA).collect()) == sorted(read_marks(spark, path).collect())
-    now = initial_mark(spark, f"{folder}/other", "now")
-    assert now["last_successful_run"] > "2025"
+    assert starting_mark("now")["last_successful_run"] > "2025"
     with pytest.raises(ValueError):
-        initial_mark(spark, path, "never")
+        starting_mark("never")
 
 
 def test_foreign_mark_file(spark, folder):

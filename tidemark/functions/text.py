@@ -23,10 +23,12 @@ def short_message(message: Column, limit: int = MESSAGE_LIMIT) -> Column:
 def plain_path(file_uri: Column) -> Column:
     """``_metadata.file_path`` (percent-encoded) in the spelling a file listing uses.
 
-    ``url_decode`` follows the form convention where ``+`` means a space, so a
-    literal ``+`` is protected first.
+    Runs for every row, so paths without an escape, nearly all, are passed on as they
+    are. ``url_decode`` follows the form convention where ``+`` means a space; a literal
+    ``+`` is protected first.
     """
-    return F.url_decode(F.replace(file_uri, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(file_uri, F.lit("+"), F.lit("%2B")))
+    return F.when(file_uri.contains("%"), decoded).otherwise(file_uri)
 
 
 def glob_literal(path: str) -> str:

@@ -66,6 +66,9 @@ class RunOptions:
     ``scope``: where the latest row per key is chosen before arrival order decides:
     within a ``"file"``, a ``"batch"`` (slice) of it, or the whole ``"run"``.
     ``conflict``: ``"arrival"`` lets the later arrival overwrite, ``"latest"`` the later date.
+    ``update_mark=False`` changes the target but leaves the files to be picked again.
+    ``defaults`` replace NULL in columns a file has; they do not add columns.
+    ``compact_every``: runs between rewrites of the target's base.
     """
 
     mode: str = "ledger"

@@ -151,13 +151,18 @@ def _footer_check(expected: Sequence[str], required: Sequence[str]):
         except Exception as error:  # any unreadable file is data here, not a task failure
             return {"error_type": type(error).__name__, "error_message": str(error)}
 
+    def row(listed: dict) -> dict:
+        known = {k: v for k, v in listed.items() if not pd.isna(v)}
+        return {**footer(listed["path"]), **known}
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for listed in batch.to_dict("records"):
-                known = {k: v for k, v in listed.items() if not pd.isna(v)}
-                rows.append({**footer(listed["path"]), **known})
-            yield pd.DataFrame(rows, columns=output, dtype=object)
+        from concurrent.futures import ThreadPoolExecutor
+
+        # Each footer is a wait for storage; a few at once hide it.
+        with ThreadPoolExecutor(8) as pool:
+            for batch in batches:
+                rows = list(pool.map(row, batch.to_dict("records")))
+                yield pd.DataFrame(rows, columns=output, dtype=object)
 
     return check
 

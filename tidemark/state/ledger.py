@@ -121,15 +121,12 @@ def write_mark(
     return row
 
 
-def initial_mark(
-    spark: SparkSession, path: str, start: str = "earliest", now: datetime | None = None
-) -> dict:
-    """Seed the marks. ``"earliest"`` lets existing files in, ``"now"`` skips them."""
+def starting_mark(start: str = "earliest", now: datetime | None = None) -> dict:
+    """The first mark: ``"earliest"`` lets existing files in, ``"now"`` skips them."""
     if start not in ("earliest", "now"):
         raise ValueError("start must be 'earliest' or 'now'")
     epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
-    moment = epoch if start == "earliest" else now or datetime.now(timezone.utc)
-    return write_mark(spark, path, "", 0, moment)
+    return mark_row(epoch if start == "earliest" else now or datetime.now(timezone.utc), "", 0)
 
 
 class Ledger:
@@ -154,12 +151,18 @@ class Ledger:
         row = latest_mark(self.runs().where("advances_mark").select(*MARK_FIELDS)).first()
         return row.asDict() if row else None
 
+    def seed(self, mark: Mapping) -> None:
+        """Begin with a mark instead of a run: a starting mark, or one another tool left behind."""
+        row = {"watermark_id": str(uuid.uuid4()), **{k: v for k, v in mark.items() if v is not None}}
+        self.commit({**row, "run_id": f"seed-{row['watermark_id']}", "version": 0, "advances_mark": True})
+
     def files(self) -> DataFrame:
-        """Per-file results of committed runs."""
+        """Per-file results of committed runs, but for runs told not to advance."""
         if not exists(self.spark, self.files_path):
             return empty_table(self.spark, FILE_SCHEMA)
         rows = self.spark.read.schema(FILE_SCHEMA).parquet(self.files_path)
-        return rows.join(self.runs().select("run_id").distinct(), "run_id", "left_semi").select(
+        counted = self.runs().where("advances_mark").select("run_id")
+        return rows.join(counted, "run_id", "left_semi").select(
             *FILE_SCHEMA.fieldNames()
         )
 
