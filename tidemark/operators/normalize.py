@@ -75,17 +75,28 @@ def normalize(
     # The values are computed in one step and judged in the next, so each is cast once.
     cast = df.select("*", *[v.alias(f"_cast_{c}") for c, v in found.items()])
     bad = {c: _rejected(F.col(f"`{c}`"), F.col(f"`_cast_{c}`")) for c in found}
-    errors = F.array_compact(
-        F.array(*[F.when(flag, F.lit(f"cast:{c}")) for c, flag in bad.items()]).cast("array<string>")
-    )
+    failed = reduce(or_, bad.values(), F.lit(False))
     untouched = F.to_json(F.struct(*[F.col(f"`{c}`") for c in found]))
     return cast.select(
         *[F.col(f"`_cast_{c}`").alias(c) if c in found else F.col(f"`{c}`") for c in df.columns],
-        errors.alias(ERRORS),
-        F.when(reduce(or_, bad.values(), F.lit(False)), untouched).alias(RAW),
+        error_list({f"cast:{c}": flag for c, flag in bad.items()}).alias(ERRORS),
+        F.when(failed, untouched).alias(RAW),
     )
 
 
+def error_list(flags: Mapping[str, Column]) -> Column:
+    """The names of the flags that are set, as an array.
+
+    The list is only put together for rows with an error; for all others the flags are
+    tested and that is it.
+    """
+    none = F.array().cast("array<string>")
+    if not flags:
+        return none
+    found = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in flags.items()]))
+    return F.when(reduce(or_, flags.values()), found).otherwise(none)
+
+
 def fill_nulls(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Replace NULL by a default, column by column; columns without a default keep theirs."""
     return df.withColumns(

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.normalize import error_list
 from tidemark.schema import ERRORS, KEY, VARCHAR_LIMITS
 
 
@@ -24,20 +25,19 @@ def check_rows(
     A required column that the earlier casts already rejected is reported once,
     as the cast error.
     """
-    known = F.col(ERRORS) if ERRORS in df.columns else F.array().cast("array<string>")
-    flags = []
+    known = F.col(ERRORS) if ERRORS in df.columns else None
+    flags = {}
     for name in required:
-        if name in df.columns:
-            rejected = F.array_contains(known, f"cast:{name}")
-            flags.append(F.when(F.col(name).isNull() & ~rejected, F.lit(f"null:{name}")))
-        else:
-            flags.append(F.lit(f"null:{name}"))
+        empty = F.col(name).isNull() if name in df.columns else F.lit(True)
+        if known is not None:
+            empty = empty & ~F.array_contains(known, f"cast:{name}")
+        flags[f"null:{name}"] = empty
     for name, limit in limits.items():
         if name in df.columns:
-            flags.append(F.when(F.char_length(F.col(name)) > limit, F.lit(f"length:{name}")))
-    if not flags:
-        return df.withColumn(ERRORS, known)
-    return df.withColumn(ERRORS, F.concat(known, F.array_compact(F.array(*flags))))
+            too_long = F.char_length(F.col(name)) > limit
+            flags[f"length:{name}"] = F.coalesce(too_long, F.lit(False))
+    found = error_list(flags)
+    return df.withColumn(ERRORS, found if known is None else F.concat(known, found))
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
