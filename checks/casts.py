@@ -59,10 +59,12 @@ _ID_SQL = r"CASE WHEN regexp_full_match(trim(text), '[+-]?\d+') THEN TRY_CAST(tr
 
 
 def cast_int_try(spark, sf_dir):
-    return normalize(_text_ids(spark, sf_dir))
+    """The parsed numbers, written out as text again."""
+    rows = normalize(_text_ids(spark, sf_dir))
+    return rows.withColumn("id", F.col("id").cast("string"))
 
 
-CAST_INT_TRY = f"SELECT {_ID_SQL} AS id, name, o_orderkey FROM ({_TEXT_IDS_SQL})"
+CAST_INT_TRY = f"SELECT CAST({_ID_SQL} AS VARCHAR) AS id, name, o_orderkey FROM ({_TEXT_IDS_SQL})"
 
 
 def _text_dates(spark, sf_dir):
@@ -129,14 +131,14 @@ def cast_quarantine(spark, sf_dir):
     _, bad = split_quarantine(rows)
     return bad.select(
         "o_orderkey",
-        "id",
+        F.col("id").isNull().alias("id_rejected"),
         F.concat_ws(",", ERRORS).alias("errors"),
         F.get_json_object(RAW, "$.id").alias("raw_id"),
     )
 
 
 CAST_QUARANTINE = f"""
-    SELECT o_orderkey, CAST(NULL AS BIGINT) AS id, 'cast:id' AS errors, text AS raw_id
+    SELECT o_orderkey, true AS id_rejected, 'cast:id' AS errors, text AS raw_id
     FROM ({_TEXT_IDS_SQL}) WHERE {_ID_SQL} IS NULL
 """
 

@@ -66,11 +66,12 @@ def upsert_partial_columns(spark, sf_dir):
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("o_totalprice"),
         "o_orderdate",
     )
-    return upsert(_side(spark, sf_dir, "F", "P"), updates, KEYS)
+    rows = upsert(_side(spark, sf_dir, "F", "P"), updates, KEYS)
+    return rows.withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
 
 
 UPSERT_PARTIAL_COLUMNS = f"""
-    SELECT t.o_orderkey, coalesce(t.o_custkey, u.o_custkey) AS o_custkey, t.o_orderstatus,
+    SELECT CAST(t.o_orderkey AS VARCHAR) AS o_orderkey, coalesce(t.o_custkey, u.o_custkey) AS o_custkey, t.o_orderstatus,
            CASE WHEN u.o_custkey IS NULL THEN t.o_totalprice
                 WHEN u.o_orderstatus <> 'P' THEN u.o_totalprice END AS o_totalprice,
            CASE WHEN u.o_custkey IS NULL THEN t.o_orderdate ELSE u.o_orderdate END AS o_orderdate,

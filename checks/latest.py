@@ -53,11 +53,12 @@ def dedup_null_key(spark, sf_dir):
     """Rows without a key count as one key; here every error event loses its user."""
     rows = event_records(spark, sf_dir)
     rows = rows.withColumn("id", F.when(F.col("status") != "error", F.col("id")))
-    return dedup_latest(rows, tiebreak=["event_id"]).select("id", "status", "updated_at", "event_id")
+    rows = dedup_latest(rows, tiebreak=["event_id"])
+    return rows.select(F.col("id").cast("string").alias("id"), "status", "updated_at", "event_id")
 
 
 DEDUP_NULL_KEY = """
-    SELECT id, status, updated_at, event_id
+    SELECT CAST(id AS VARCHAR) AS id, status, updated_at, event_id
     FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC, event_id DESC) AS rn
           FROM (SELECT CASE WHEN event_type <> 'error' THEN user_id END AS id, event_type AS status,
                        event_id, ts AS updated_at FROM events))

@@ -77,7 +77,7 @@ RUN_INCREMENTAL_TWO_DAYS = f"""
 
 def run_incremental_latest_wins(spark, sf_dir):
     """The same days where only a later date overwrites, compacted after each run."""
-    root = _two_days(spark, sf_dir, RunOptions(scope="run", conflict="latest", compact_every=1))
+    root = _two_days(spark, sf_dir, RunOptions(scope="run", conflict="latest", compact_every=1, buckets=8))
     return read_target(spark, f"{root}/out", conflict="latest")
 
 

@@ -159,7 +159,7 @@ def _footer_check(expected: Sequence[str], required: Sequence[str]):
         from concurrent.futures import ThreadPoolExecutor
 
         # Each footer is a wait for storage; a few at once hide it.
-        with ThreadPoolExecutor(8) as pool:
+        with ThreadPoolExecutor(16) as pool:
             for batch in batches:
                 rows = list(pool.map(row, batch.to_dict("records")))
                 yield pd.DataFrame(rows, columns=output, dtype=object)
@@ -175,14 +175,11 @@ def read_footers(
 ) -> DataFrame:
     """Check each listed file by its footer: column types, row count, or the error.
 
-    The work is latency, not bytes, so the listing is spread over an explicit number
-    of tasks; sized by bytes it would collapse into one. ``files`` may lack the time
-    and length (an explicit list of paths), which are then taken from the file.
+    The listing is spread by path: adaptive execution makes one task of a short listing
+    and one per megabyte of a long one (some thousand files, read sixteen at a time);
+    ``tasks`` fixes their number. ``files`` may lack the time and length (an explicit
+    list of paths), which are then taken from the file.
     """
-    spark = files.sparkSession
-    tasks = tasks or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
     listed = files.select(
         "path",
         (
@@ -194,7 +191,8 @@ def read_footers(
         (F.col(SEQ) if SEQ in files.columns else F.lit(0)).cast("bigint").alias(SEQ),
     )
     check = _footer_check(expected.fieldNames(), list(required))
-    checked = listed.repartition(tasks).mapInPandas(check, _CHECKED)
+    spread = listed.repartition(tasks) if tasks else listed.repartition("path")
+    checked = spread.mapInPandas(check, _CHECKED)
     return checked.select(
         "path",
         F.timestamp_micros("modified_micros").alias("modificationTime"),
@@ -213,4 +211,7 @@ def signature_schema(signature: str) -> tuple[T.StructType, dict[str, str]]:
 def explicit_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The caller's own list as a listing; ``_seq`` keeps its order. A repeated path counts once, last."""
     order = {qualify(spark, p): i for i, p in enumerate(paths)}
-    return spark.createDataFrame(list(order.items()), f"path string, {SEQ} bigint")
+    listed = F.lit(sorted(order, key=order.get)).cast("array<string>")
+    return spark.range(0, 1, 1, 1).select(F.posexplode(listed).alias(SEQ, "path")).select(
+        "path", F.col(SEQ).cast("bigint").alias(SEQ)
+    )
