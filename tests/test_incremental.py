@@ -271,6 +271,32 @@ def test_explicit_files_keep_their_order(spark, folder):
     assert run_incremental(spark, f"{folder}/raw", root)["files_processed"] == 0
 
 
+def test_latest_mode_takes_files_in_any_order(spark, folder):
+    """Every order of the files ends in the same rows, in one run or in several."""
+    made = [
+        deposit(folder, f"{i}.parquet", [record(k, d, f"{k}-{d}") for k, d in rows])
+        for i, rows in enumerate([[(1, 21), (2, 28), (3, 5)], [(1, 25), (2, 20)], [(1, 23), (3, 9), (3, 7)]])
+    ]
+    want = {1: "1-25", 2: "2-28", 3: "3-9"}
+    options = RunOptions(conflict="latest", buckets=2, compact_every=2)
+    for n, runs in enumerate([[made], [made[::-1]], [[made[1]], [made[2], made[0]]]]):
+        for files in runs:
+            run_incremental(spark, "", f"{folder}/{n}", options, files=files)
+        assert names(spark, f"{folder}/{n}", conflict="latest") == want
+
+
+def test_staging_is_removed_after_the_commit(spark, folder):
+    root = f"{folder}/it's out"
+    deposit(folder, "a.parquet", [record(1, 20)])
+    options = RunOptions(compact_every=1, buckets=2, keep_staging=True)
+    run_incremental(spark, f"{folder}/raw", root, options, run_id="kept")
+    assert os.listdir(f"{root}/staging") == ["kept"]
+    deposit(folder, "b.parquet", [record(2, 20)])
+    run_incremental(spark, f"{folder}/raw", root, run_id="gone")
+    assert os.listdir(f"{root}/staging") == ["kept"]
+    assert names(spark, root) == {1: "n", 2: "n"}
+
+
 def test_empty_file_and_empty_source(spark, folder):
     root = f"{folder}/out"
     assert run_incremental(spark, f"{folder}/nowhere", root)["files_processed"] == 0

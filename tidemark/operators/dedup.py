@@ -40,7 +40,8 @@ def dedup_latest(
     """
     if nulls not in ("first", "last"):
         raise ValueError("nulls must be 'first' or 'last'")
-    group = [*within, *keys]
+    # Keys lead: they differ early, where a path repeats through a whole file.
+    group = [*keys, *within]
     if tiebreak is None:
         positioned = [c for c in (PATH, ROW) if c in df.columns]
         tiebreak = positioned or [c for c in df.columns if c not in group and c not in order]

@@ -33,7 +33,7 @@ from tidemark.schema import (
     SEQ,
     SUPPLIED,
 )
-from tidemark.session import empty_table
+from tidemark.session import empty_table, remove
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sinks.processed import write_processed
 from tidemark.sources.listing import (
@@ -69,6 +69,7 @@ class RunOptions:
     ``update_mark=False`` changes the target but leaves the files to be picked again.
     ``defaults`` replace NULL in columns a file has; they do not add columns.
     ``compact_every``: runs between rewrites of the target's base.
+    ``keep_staging`` keeps the rows as read and checked, which are deleted after the commit.
     """
 
     mode: str = "ledger"
@@ -81,6 +82,7 @@ class RunOptions:
     compact_every: int = 8
     buckets: int | None = None
     processed_root: str | None = None
+    keep_staging: bool = False
 
     def __post_init__(self) -> None:
         for value, allowed in (
@@ -168,6 +170,8 @@ def run_incremental(
             "advances_mark": options.update_mark,
         }
     )
+    if not options.keep_staging:
+        remove(spark, stage)
     return {
         "run_id": run_id,
         "files_processed": totals["files_processed"],

@@ -70,6 +70,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(filesystem.globStatus(hadoop))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder the caller has written itself."""
+    filesystem, hadoop = _filesystem(spark, path)
+    filesystem.delete(hadoop, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables.
 

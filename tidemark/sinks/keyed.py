@@ -36,9 +36,18 @@ def create_table(spark: SparkSession, name: str, location: str | None = None) ->
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{at}")
 
 
+def _passing_name() -> str:
+    """A catalog name for the moment it takes to plan a bucketed read or write."""
+    return f"spark_catalog.`default`.keyed_{uuid.uuid4().hex}"
+
+
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
-    """Write ``df`` bucketed and sorted by key. The catalog entry Spark needs for this is dropped again."""
-    name = f"keyed_{uuid.uuid4().hex}"
+    """Write ``df`` bucketed and sorted by key.
+
+    Spark only buckets catalog tables, so the folder is entered as an external one and
+    taken out of the catalog again; the files stay.
+    """
+    name = _passing_name()
     writer = df.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
     writer.option("path", path).mode("overwrite").saveAsTable(name)
     df.sparkSession.sql(f"DROP TABLE {name}")
@@ -48,11 +57,12 @@ def read_bucketed(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int
 ) -> DataFrame:
     """Read such a folder in a way that lets joins on the key use its buckets."""
-    name = f"keyed_{uuid.uuid4().hex}"
+    name = _passing_name()
     by = ", ".join(f"`{k}`" for k in keys)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({_columns(schema)}) USING parquet "
-        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'"
+        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{location}'"
     )
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
