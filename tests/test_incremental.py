@@ -285,6 +285,21 @@ def test_latest_mode_takes_files_in_any_order(spark, folder):
         assert names(spark, f"{folder}/{n}", conflict="latest") == want
 
 
+def test_partial_rows_where_dates_decide(spark, folder):
+    """A row with missing columns is compared with the stored date in its own run."""
+    root = f"{folder}/out"
+    options = RunOptions(conflict="latest", compact_every=9, buckets=2)
+    deposit(folder, "1.parquet", [record(1, 22, "a"), record(2, 22, "b")])
+    run_incremental(spark, f"{folder}/raw", root, options)
+    late, early = {"id": 1, "updated_at": "2025-05-25T10:00:00"}, {"id": 2, "updated_at": "2025-05-01T10:00:00"}
+    deposit(folder, "2.parquet", [{**late, "payload": "new"}, {**early, "payload": "old"}])
+    run_incremental(spark, f"{folder}/raw", root, options)
+    deposit(folder, "3.parquet", [record(1, 24, "c")])
+    run_incremental(spark, f"{folder}/raw", root, options)
+    got = {r["id"]: (r["name"], r["payload"]) for r in read_target(spark, root, "latest").collect()}
+    assert got == {1: ("a", "new"), 2: ("b", "p")}
+
+
 def test_staging_is_removed_after_the_commit(spark, folder):
     root = f"{folder}/it's out"
     deposit(folder, "a.parquet", [record(1, 20)])

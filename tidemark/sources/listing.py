@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.convert import parse_mark_time
 from tidemark.schema import LISTING_SCHEMA
-from tidemark.session import empty_table, exists
+from tidemark.session import empty_table, exists, settings
 
 # Fixed value: part of the path that marks state files, which are never input.
 STATE_MARKER = ".watermark/"
@@ -44,20 +43,13 @@ def list_files(
     return files
 
 
-@contextmanager
 def listing_splits(spark: SparkSession):
     """Pack many listed files into each task while a listing is being written.
 
     The planner sizes splits by file length, which for a listing is the size of data
     nobody reads: 100 TB would become a million tasks of one row each.
     """
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(1 << 40))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return settings(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 40)})
 
 
 def exclude_state(files: DataFrame, marker: str = STATE_MARKER) -> DataFrame:

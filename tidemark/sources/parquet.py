@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import glob_literal, plain_path
 from tidemark.schema import KEY, PATH, RAW_SCHEMA, ROW, SEQ
-from tidemark.session import qualify
+from tidemark.session import qualify, settings
 
 # Times cross to Python as microseconds, so no session zone is involved.
 _CHECKED = T.StructType(
@@ -52,7 +52,12 @@ def read_parquet(
     if isinstance(paths, str):
         df = reader.parquet(paths)
     else:
-        df = reader.parquet(*[glob_literal(p) for p in paths])
+        # Long path lists are looked up by a job that would have a task per path.
+        lookups = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+        )
+        with settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(lookups)}):
+            df = reader.parquet(*[glob_literal(p) for p in paths])
     if not positions:
         return df
     return df.select(
