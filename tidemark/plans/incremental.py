@@ -109,13 +109,16 @@ def run_incremental(
 
     Unreadable, damaged or schema-less files are logged and left for a later run; the
     others go through as one job. Rows that fail validation are set aside. Nothing
-    counts until the ledger row at the end is written. Returns the run's totals.
+    counts until the ledger row at the end is written; a run that died may be repeated
+    under its ``run_id``, one that was committed may not. Returns the run's totals.
     One run at a time per ``root``.
     """
     options = options or RunOptions()
-    run_id = run_id or new_batch_id()
     started = now or utc_now()
     ledger = Ledger(spark, f"{root}/state")
+    if run_id is not None and ledger.has(run_id):
+        raise ValueError(f"run {run_id} is committed; its folders must not be written again")
+    run_id = run_id or new_batch_id()
     previous = ledger.latest()
     stage = f"{root}/staging/{run_id}"
 
@@ -124,9 +127,11 @@ def run_incremental(
         footers = _store(read_footers(picked), f"{stage}/footers")
     if footers.isEmpty():
         log.info("no files to process")
+        remove(spark, stage)
         return _no_files(run_id, started)
 
-    rows = _stage_rows(spark, footers, stage, options, ordered=files is not None and not isinstance(files, DataFrame))
+    ordered = files is not None and not isinstance(files, DataFrame)
+    rows = _stage_rows(spark, footers, stage, options, ordered)
     results = _store(_file_results(footers, rows), f"{ledger.files_path}/run_id={run_id}")
     last = F.max_by("path", F.struct(SEQ, "path")).alias("last_file")
     totals = run_totals(results, last).first().asDict()

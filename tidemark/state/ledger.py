@@ -146,6 +146,9 @@ class Ledger:
         best = F.max_by(F.struct(*runs.columns), F.struct("version", "watermark_id"))
         return runs.agg(best.alias("run")).first()["run"]
 
+    def has(self, run_id: str) -> bool:
+        return not self.runs().where(F.col("run_id") == run_id).isEmpty()
+
     def mark(self) -> dict | None:
         """The high-water mark: from the newest run that was to advance it."""
         row = latest_mark(self.runs().where("advances_mark").select(*MARK_FIELDS)).first()

@@ -42,10 +42,11 @@ def run_available(
     totals: list[dict] = []
 
     def one_run(batch: DataFrame, number: int) -> None:
-        run_id = f"stream-{number}"
+        # The files are part of the name: after a lost checkpoint numbers start over.
+        files = F.bit_xor(F.xxhash64("path", "modificationTime")).alias("files")
+        run_id = f"stream-{number}-{batch.agg(files).first()['files']}"
         session = batch.sparkSession
-        done = Ledger(session, f"{root}/state").runs().where(F.col("run_id") == run_id)
-        if done.isEmpty():
+        if not Ledger(session, f"{root}/state").has(run_id):
             totals.append(run_incremental(session, source, root, options, batch, run_id))
 
     query = (
