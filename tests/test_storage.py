@@ -6,9 +6,11 @@ from datetime import datetime, timezone
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from tests.test_incremental import deposit, record
+from tidemark.operators.upsert import merge_into_table
 from tidemark.plans.incremental import read_target
 from tidemark.schema import MARK_SCHEMA, TARGET_SCHEMA
 from tidemark.sinks import jdbc
@@ -182,6 +184,10 @@ def test_target_declaration(spark):
     kinds = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE declared_target").collect()}
     assert kinds["status"] == "varchar(50)" and kinds["id"] == "bigint"
     assert list(kinds) == TARGET_SCHEMA.fieldNames()
+    updates = spark.range(1).select("id", F.lit("a").alias("name"))
+    with pytest.raises(UnsupportedOperationException) as refused:  # plain parquet has no row-level operations
+        merge_into_table(updates, "declared_target")
+    assert refused.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
     spark.sql("DROP TABLE declared_target")
 
 
