@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, tokencount
+from tidemark.llm import bpe, mixing, repetition, simhash, tokencount
 from tidemark.llm.common import table
 
 
@@ -25,8 +25,23 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality(table(spark, sf_dir, "documents"))
+
+
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=3)
+
+
+def mix_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 #: name -> (query, SQL)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_token_count": (token_count, None),
+    "op4_repetition_quality": (repetition_quality, None),
+    "op8_simhash_near_dedup": (simhash_near_dedup, None),
+    "op9_mix_cube": (mix_cube, None),
     "op10_bpe_round_trip": (bpe_round_trip, None),
 }
