@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, repetition, simhash, tokencount
+from tidemark.llm import bpe, mixing, repetition, simhash, suffixes, tokencount
 from tidemark.llm.common import table
 
 
@@ -37,10 +37,50 @@ def mix_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf_dir, "documents"), length=50)
+
+
+SUFFIX_DEDUP_SQL = """
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(0, CAST(length(digits) / 2 AS BIGINT) - 49)) AS pos, digits FROM texts
+), cut AS (
+    SELECT doc_id, pos, substr(digits, CAST(2 * pos + 1 AS BIGINT), 100) AS piece FROM windows
+), least AS (
+    SELECT piece, min(doc_id) AS first FROM cut GROUP BY piece HAVING min(doc_id) < max(doc_id)
+), hits AS (
+    SELECT DISTINCT c.doc_id, c.pos FROM cut c JOIN least l USING (piece) WHERE c.doc_id > l.first
+), marked AS (
+    SELECT doc_id, pos, CASE WHEN pos - lag(pos) OVER w <= 50 THEN 0 ELSE 1 END AS fresh
+    FROM hits WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), runs AS (
+    SELECT doc_id, run, min(pos) AS s, max(pos) + 50 AS e FROM (
+        SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked
+    ) GROUP BY doc_id, run
+), around AS (
+    SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before,
+           row_number() OVER (PARTITION BY doc_id ORDER BY s DESC) AS back FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(
+        substr(digits, CAST(2 * before + 1 AS BIGINT), CAST(2 * (s - before) AS BIGINT)) ||
+        CASE WHEN back = 1 THEN substr(digits, CAST(2 * e + 1 AS BIGINT)) ELSE '' END, '' ORDER BY s) AS rest,
+        CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) AS n_spans
+    FROM around JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(length(digits) / 2 AS BIGINT) AS n_bytes,
+       coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, digits))) AS kept_sha256
+FROM texts t LEFT JOIN kept USING (doc_id)
+"""
+
+
 #: name -> (query, SQL)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_token_count": (token_count, None),
     "op4_repetition_quality": (repetition_quality, None),
+    "op6_suffix_dedup": (suffix_dedup, SUFFIX_DEDUP_SQL),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
     "op9_mix_cube": (mix_cube, None),
     "op10_bpe_round_trip": (bpe_round_trip, None),
