@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, repetition, simhash, suffixes, tokencount
+from tidemark.llm import bpe, lm, mixing, repetition, simhash, suffixes, tokencount
 from tidemark.llm.common import table
 
 
@@ -76,9 +76,14 @@ FROM texts t LEFT JOIN kept USING (doc_id)
 """
 
 
+def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), folds=7, held=2)
+
+
 #: name -> (query, SQL)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_token_count": (token_count, None),
+    "op3_lm_score": (lm_score, None),
     "op4_repetition_quality": (repetition_quality, None),
     "op6_suffix_dedup": (suffix_dedup, SUFFIX_DEDUP_SQL),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
