@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, lm, mixing, repetition, simhash, suffixes, tokencount
+from tidemark.llm import bpe, gridjoin, lm, mixing, repetition, simhash, suffixes, tokencount
 from tidemark.llm.common import table
 
 
@@ -80,12 +80,38 @@ def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), folds=7, held=2)
 
 
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gridjoin.near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE sound AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+    SELECT vec_id AS node, vec_id AS least FROM embeddings
+    UNION
+    SELECT l.b, r.least FROM reach r JOIN links l ON l.a = r.node WHERE r.least < l.b
+), component AS (SELECT node, min(least) AS component_id FROM reach GROUP BY node)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, c.component_id,
+       e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN component c ON c.node = e.vec_id
+"""
+
+
 #: name -> (query, SQL)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_token_count": (token_count, None),
     "op3_lm_score": (lm_score, None),
     "op4_repetition_quality": (repetition_quality, None),
     "op6_suffix_dedup": (suffix_dedup, SUFFIX_DEDUP_SQL),
+    "op7_near_vectors": (near_vectors, NEAR_VECTORS_SQL),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
     "op9_mix_cube": (mix_cube, None),
     "op10_bpe_round_trip": (bpe_round_trip, None),
