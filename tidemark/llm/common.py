@@ -38,8 +38,23 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Bytes of one Arrow batch where the session names no bound: rows are long texts, and 10,000 of them may be too many.
+BATCH_BYTES = 8 << 20
+_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, unless the bound it has is as low."""
+    now = spark.conf.get(_BOUND).rstrip("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:
+        spark.conf.set(_BOUND, str(BATCH_BYTES))
+
+
 def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function from one batch to columns by name; empty results are skipped."""
+    """``mapInArrow`` for a function from one batch to columns by name; empty results are skipped.
+
+    Batches are bounded by bytes, so memory depends on the longest text, not on the number of rows.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -55,4 +70,5 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str
                 if made.num_rows:
                     yield made
 
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -36,7 +36,7 @@ from tidemark.llm.common import per_batch
 ANCHOR = 16
 #: Bytes of text that are worked on together, and bytes of text for each part of the first digit.
 PACK = 1 << 21
-PART = 1 << 25
+PART = 1 << 23
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Low bits of a hash that give way to the place: the least hash, then the leftmost, whatever stands around.
