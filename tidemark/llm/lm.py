@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, per_batch, stored
+from tidemark.llm.common import bounded_batches, fold, per_batch, stored
 
 #: Words whose counts are at hand in every task.
 FREQUENT = 60_000
@@ -181,6 +181,7 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def train(docs: DataFrame, own: tuple[bytes, ...], frequencies: np.ndarray, text: str = "text", rounds: int = ROUNDS):
     """Parameters after ``rounds`` passes over ``docs``."""
+    bounded_batches(docs.sparkSession)
     p = start(frequencies)
     for round_ in range(rounds):
         packed = _pack(p)

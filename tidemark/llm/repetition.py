@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import per_batch
+from tidemark.llm.common import bounded_batches, per_batch
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\v\f\r"
@@ -158,4 +158,5 @@ def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
             if any(mask):
                 yield batch.filter(pa.array(mask))
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
