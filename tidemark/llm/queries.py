@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, gridjoin, lm, mixing, repetition, simhash, suffixes, tokencount
+from tidemark.llm import bpe, gridjoin, lm, mixing, repetition, simhash, suffixes, tokencount, toxicity
 from tidemark.llm.common import table
 
 
@@ -105,11 +105,16 @@ FROM embeddings e JOIN component c ON c.node = e.vec_id
 """
 
 
+def toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held=0)
+
+
 #: name -> (query, SQL)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_token_count": (token_count, None),
     "op3_lm_score": (lm_score, None),
     "op4_repetition_quality": (repetition_quality, None),
+    "op5_toxicity_score": (toxicity_score, None),
     "op6_suffix_dedup": (suffix_dedup, SUFFIX_DEDUP_SQL),
     "op7_near_vectors": (near_vectors, NEAR_VECTORS_SQL),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
