@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, gridjoin, lm, mixing, repetition, simhash, suffixes, tokencount, toxicity
+from tidemark.llm import bpe, gridjoin, lm, mixing, repetition, simhash, suffixes, template, tokencount, toxicity
 from tidemark.llm.common import table
 
 
@@ -109,8 +109,13 @@ def toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held=0)
 
 
+def template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.extract(table(spark, sf_dir, "pages"))
+
+
 #: name -> (query, SQL)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_template_text": (template_text, None),
     "op2_token_count": (token_count, None),
     "op3_lm_score": (lm_score, None),
     "op4_repetition_quality": (repetition_quality, None),
