@@ -211,3 +211,26 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", key: str = "doc_i
         work,
         f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )
+
+
+def encoded_documents(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """key, ids, n_tokens, ids_sha256, decoded_sha256: the ids of each text beside the digests of ``round_trip``."""
+
+    def work(batch: pa.RecordBatch) -> dict:
+        coder = codec(path)
+        ids = [coder.encode(t or "") for t in batch.column(1).to_pylist()]
+        sha = hashlib.sha256
+        return {
+            key: batch.column(0),
+            "ids": ids,
+            "n_tokens": list(map(len, ids)),
+            "ids_sha256": [sha(",".join(map(str, i)).encode()).hexdigest() for i in ids],
+            "decoded_sha256": [sha(coder.decode(i).encode()).hexdigest() for i in ids],
+        }
+
+    kind = docs.schema[key].dataType.simpleString()
+    return per_batch(
+        docs.select(F.col(key), F.col(text)),
+        work,
+        f"{key} {kind}, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )

@@ -151,8 +151,8 @@ def mix(
     docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, chunk: int = CHUNK,
     text: str = "text", key: str = "doc_id", source: str = "source",
 ) -> DataFrame:
-    """key, size, source_size, target, taken (words), copies: how often the mix takes each document."""
-    sized = docs.select(F.col(key), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    """key, size, source_size, target, taken (words), copies: how often the mix takes each document; text_hash."""
+    sized = docs.select(F.col(key), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("text_hash"))
     # The row number only tells equal rows apart; the order of flights never depends on it otherwise.
     sized = stored(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
     goal = targets(sized, weights, share)
@@ -160,7 +160,7 @@ def mix(
     known = (
         sized.alias("s")
         .join(goal.alias("g"), F.expr("s.source <=> g.source"))
-        .select("s.row", f"s.{key}", "s.size", "s.source", "g.n_docs", "g.source_size", "g.target")
+        .select("s.row", f"s.{key}", "s.size", "s.source", "s.text_hash", "g.n_docs", "g.source_size", "g.target")
     )
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     known = known.withColumn("whole", F.floor(times)).withColumn("p", times - F.floor(times))
@@ -186,5 +186,17 @@ def mix(
     return (
         known.join(decided.withColumnRenamed("p", "q"), "row", "left")
         .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long"))
-        .select(key, "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+        .select(key, "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "text_hash")
     )
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with all its columns.
+
+    Rows equal in key and text stand for each other: together they are taken as often as all of them are.
+    """
+    taken = mix(docs, text=text, key=key, **how).groupBy(key, "text_hash").agg(F.sum("copies").alias("copies"))
+    taken = taken.where("copies > 0").withColumnsRenamed({key: "_key", "text_hash": "_hash"})
+    once = docs.withColumn("_text", F.xxhash64(text)).dropDuplicates([key, "_text"])
+    joined = once.join(taken, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_hash")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)

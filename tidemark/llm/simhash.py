@@ -130,3 +130,16 @@ def near_duplicates(
     by_print = grouped.join(least, "component").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return made.join(by_print, "fp").select(key, digits.alias("fingerprint"), "component_id")
+
+
+def kept_documents(docs: DataFrame, shingle: int = 3, bits: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the smallest key.
+
+    Rows that repeat a key and its text are copies, one stays. Documents without a key cannot stand for a
+    group; they are not compared and stay.
+    """
+    named = docs.where(F.col(key).isNotNull())
+    near = near_duplicates(named, shingle, bits, text, key)
+    keys = near.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    once = named.join(keys, key, "left_semi").withColumn("_text", F.xxhash64(text)).dropDuplicates([key, "_text"])
+    return once.select(docs.columns).union(docs.where(F.col(key).isNull()))

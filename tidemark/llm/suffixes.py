@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import per_batch
+from tidemark.llm.common import bounded_batches, per_batch
 
 #: Bytes of an anchor: two 8-byte digits.
 ANCHOR = 16
@@ -427,3 +427,41 @@ def deduplicated(docs: DataFrame, length: int = 50, text: str = "text", key: str
 
     kind = docs.schema[key].dataType.simpleString()
     return per_batch(marked, work, f"{key} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def whole_characters(data: bytes, spans: np.ndarray) -> str:
+    """What is left of UTF-8 bytes when only characters that lie in a span with all their bytes go."""
+    kept, at = [], 0
+    for start, end in spans.tolist():
+        while start < end and data[start] & 0xC0 == 0x80:
+            start += 1
+        while end > start and end < len(data) and data[end] & 0xC0 == 0x80:
+            end -= 1
+        kept.append(data[at:start])
+        at = end
+    return b"".join([*kept, data[at:]]).decode()
+
+
+def shortened_documents(docs: DataFrame, length: int = 50, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` without their repeated windows; ``n_chars``, where there is such a column, counts what is left."""
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for t, spans in zip(batch.column(text).to_pylist(), batch.column("removed_spans").to_pylist()):
+                if spans:
+                    data, _, pairs = cut(t, spans)
+                    t = whole_characters(data, pairs)
+                texts.append(t)
+            columns = [batch.column(n) for n in names]
+            columns[names.index(text)] = pa.array(texts, pa.string())
+            if "n_chars" in names:
+                i = names.index("n_chars")
+                counts = [None if t is None else len(t) for t in texts]
+                columns[i] = pa.array(counts, pa.int64()).cast(columns[i].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    marked = with_spans(docs, length, text, key)
+    bounded_batches(docs.sparkSession)
+    return marked.mapInArrow(run, docs.schema)
