@@ -7,7 +7,8 @@ The first digit is chosen so that few suffixes have to travel. Of every window,
 anchor) are a function of the window's content, so equal windows have equal anchors at equal offsets; about one
 position in 17 is an anchor, and all windows with one anchor in one place lie side by side.
 
-1. Pass one deals (anchor hash, document) by the hash's leading bits; groups with one document are done.
+1. Pass one deals (anchor hash, document) by leading bits of the hash, mixed once more since the least hashes are all
+   small; groups with one document are done.
 2. The other anchors' stretches of text (their windows overlaid, at most 84 bytes) are dealt the same way. Equal
    stretches settle all their windows at once; of the rest, the windows are sorted by the anchor's 16 bytes and the offset,
    then by 8-byte digits to the depth of 50 bytes, dropping groups of one document after every digit.
@@ -185,7 +186,7 @@ def shared_anchors(docs: DataFrame, length: int, parts: int) -> DataFrame:
             many = _two(hashes, owner)
             again = ~new
             again[1:] &= owner[1:] != owner[:-1]  # a further document of a group
-            for part, h, d, m in _split(*[c[new] for c in (hashes >> shift, hashes & _LOW48, owner, many)]):
+            for part, h, d, m in _split(*[c[new] for c in (_mixed(hashes) >> shift, hashes & _LOW48, owner, many)]):
                 by = np.argsort(d, kind="stable")
                 out.append((part, pack, _put(h[by].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6], d[by], m[by])))
             if again.any():
@@ -279,7 +280,7 @@ def repeated_spans(marked: DataFrame, length: int, parts: int) -> DataFrame:
             if made:
                 h, d, t, s, o, stretch = zip(*made)
                 columns = [np.array(c, np.int64) for c in (d, t, s)] + [np.array(o, np.uint8)]
-                part = np.array(h, np.uint64) >> shift
+                part = _mixed(np.array(h, np.uint64)) >> shift
                 for k, rows_, d, t, s, o in _split(part, np.arange(len(made)), *columns):
                     own = [stretch[r] for r in rows_]
                     sizes = np.array([len(x) for x in own], np.uint8)
