@@ -29,6 +29,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a like one that no column of ``df`` has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def fold(key: Column, parts: int) -> Column:
     """Remainder of the CRC-32 of the key written as text; a null key is remainder 0 of the empty text."""
     return (F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts).cast("int")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import per_batch, stored, word_count
+from tidemark.llm.common import fresh, per_batch, stored, word_count
 
 #: Documents of one source that fly together.
 CHUNK = 2000
@@ -196,7 +196,9 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", **
     Rows equal in key and text stand for each other: together they are taken as often as all of them are.
     """
     taken = mix(docs, text=text, key=key, **how).groupBy(key, "text_hash").agg(F.sum("copies").alias("copies"))
-    taken = taken.where("copies > 0").withColumnsRenamed({key: "_key", "text_hash": "_hash"})
-    once = docs.withColumn("_text", F.xxhash64(text)).dropDuplicates([key, "_text"])
-    joined = once.join(taken, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_hash")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
+    own, same, copies, each = (fresh(docs, name) for name in ("own", "same", "copies", "each"))
+    taken = taken.where("copies > 0").withColumnsRenamed({key: own, "text_hash": same, "copies": copies})
+    hashed = fresh(docs, "hashed")
+    once = docs.withColumn(hashed, F.xxhash64(text)).dropDuplicates([key, hashed])
+    joined = once.join(taken, F.col(key).eqNullSafe(F.col(own)) & (F.col(hashed) == F.col(same)))
+    return joined.withColumn(each, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(docs.columns)

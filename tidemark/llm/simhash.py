@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import per_batch
+from tidemark.llm.common import fresh, per_batch
 from tidemark.llm.components import components
 
 #: Fingerprints of one key that are compared in one piece.
@@ -141,5 +141,6 @@ def kept_documents(docs: DataFrame, shingle: int = 3, bits: int = 3, text: str =
     named = docs.where(F.col(key).isNotNull())
     near = near_duplicates(named, shingle, bits, text, key)
     keys = near.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    once = named.join(keys, key, "left_semi").withColumn("_text", F.xxhash64(text)).dropDuplicates([key, "_text"])
+    same = fresh(docs, "same")
+    once = named.join(keys, key, "left_semi").withColumn(same, F.xxhash64(text)).dropDuplicates([key, same])
     return once.select(docs.columns).union(docs.where(F.col(key).isNull()))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, per_batch
+from tidemark.llm.common import bounded_batches, fresh, per_batch
 
 #: Bytes of an anchor: two 8-byte digits.
 ANCHOR = 16
@@ -250,7 +250,7 @@ def repeated_spans(marked: DataFrame, length: int, parts: int) -> DataFrame:
         out = []
         rows = [
             (i, t.encode(), h, np.frombuffer(b"".join(a), np.uint64))
-            for i, t, h, a in zip(*[c.to_pylist() for c in batch.columns])
+            for i, t, h, a in zip(*[c.to_pylist() for c in batch.columns[:4]])
             if a
         ]
         for run in packed(rows):
@@ -378,7 +378,9 @@ def repeated_spans(marked: DataFrame, length: int, parts: int) -> DataFrame:
             [(int(d[heads[r[0]]]), int(t[heads[r[0]]]), pairs[r].tobytes()) for _, r in _split(np.cumsum(fresh)[heads], np.arange(len(heads)))]
         )
 
-    dealt = per_batch(marked.select("doc_id", "text", "text_hash", "anchors"), deal, DEALT)
+    # All columns go along: what is read of the documents is then the same for both joins, and shuffled once.
+    first = ["doc_id", "text", "text_hash", "anchors"]
+    dealt = per_batch(marked.select(*first, *[c for c in marked.columns if c not in first]), deal, DEALT)
     return (
         dealt.groupBy("part")
         .applyInArrow(settle, DEALT)
@@ -403,13 +405,20 @@ def with_spans(docs: DataFrame, length: int = 50, text: str = "text", key: str =
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = 1 << max(4, (total // PART).bit_length())
     # Both joins keep all documents and have the same left side, so its shuffle is made once and read twice.
-    named = docs.withColumns({"doc_id": F.col(key).cast("long"), "text": F.col(text), "text_hash": F.xxhash64(text)})
+    rest = [c for c in docs.columns if c not in (text, key)]
+    given = [F.struct(*rest).alias("rest")] if rest else []
+    long_id = F.col(key).cast("long").alias("doc_id")
+    named = docs.select(long_id, F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"), *given)
     marked = named.join(shared_anchors(named, length, parts), "doc_id", "left")
     spans = repeated_spans(marked, length, parts)
     spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("text_hash", "spans")).alias("of"))
     own = F.filter("of", lambda x: x["text_hash"] == F.col("text_hash"))
     found = named.join(spans, "doc_id", "left").withColumn("removed_spans", F.get(own, F.lit(0))["spans"])
-    return found.select(*docs.columns, "removed_spans")
+    columns = [
+        F.col("text").alias(c) if c == text else F.col("doc_id").cast(docs.schema[c].dataType).alias(c) if c == key else F.col(f"rest.{c}").alias(c)
+        for c in docs.columns
+    ]
+    return found.select(*columns, F.col("removed_spans").alias(fresh(docs, "removed_spans")))
 
 
 def deduplicated(docs: DataFrame, length: int = 50, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -450,7 +459,7 @@ def shortened_documents(docs: DataFrame, length: int = 50, text: str = "text", k
     def run(batches):
         for batch in batches:
             texts = []
-            for t, spans in zip(batch.column(text).to_pylist(), batch.column("removed_spans").to_pylist()):
+            for t, spans in zip(batch.column(text).to_pylist(), batch.columns[-1].to_pylist()):
                 if spans:
                     data, _, pairs = cut(t, spans)
                     t = whole_characters(data, pairs)
