@@ -251,7 +251,7 @@ def repeated_spans(marked: DataFrame, length: int, parts: int) -> DataFrame:
         rows = [
             (i, t.encode(), h, np.frombuffer(b"".join(a), np.uint64))
             for i, t, h, a in zip(*[c.to_pylist() for c in batch.columns[:4]])
-            if a
+            if a and t
         ]
         for run in packed(rows):
             spans, seen = [], {}
