@@ -45,6 +45,23 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows with the largest counts, at most ``most``: all above a level of the count that is found first.
+
+    Levels are sixty-fourths of a logarithmic unit, so their table is small whatever the input, and no
+    task has to hand over more rows than there are in the end.
+    """
+    level = F.floor(F.log(F.col(count)) * 64)
+    sizes = sorted(df.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    least, total = None, 0
+    for row in sizes:
+        total += row["n"]
+        if total > most:
+            break
+        least = row["level"]
+    return df.where(level >= least if least is not None else F.lit(False))
+
+
 #: Bytes of one Arrow batch where the session names no bound: rows are long texts, and 10,000 of them may be too many.
 BATCH_BYTES = 8 << 20
 _BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"

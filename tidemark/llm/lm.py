@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, fold, per_batch, stored
+from tidemark.llm.common import bounded_batches, fold, most_frequent, per_batch, stored
 
 #: Words whose counts are at hand in every task.
 FREQUENT = 60_000
@@ -230,7 +230,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, text: str = "text", ke
     totals = known.agg(F.count("word"), F.sum("c")).first()
     n, v = (totals[1] or 0) + texts, totals[0] + (1 if texts else 0)
     # At most FREQUENT rows come to the driver, whatever the input.
-    top = known.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    top = sorted(most_frequent(known, "c", FREQUENT).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
     frequent = {bytes(r["word"]): math.log10(r["c"] + 1) for r in top}
     own = tuple(bytes(r["word"]) for r in top[:OWN])
 
