@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, per_batch, stored
+from tidemark.llm.common import fold, most_frequent, per_batch, stored
 
 #: Labelled training rows the classifier is fitted on, at most; and features it knows, at most.
 SAMPLE = 40_000
@@ -190,7 +190,7 @@ def mine(training: DataFrame) -> list[str]:
 
     toxic = per_batch(training.where("toxic = 1").select("text"), of_toxic, "feature string, n long")
     toxic = toxic.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TEXTS)
-    candidates = [(r["feature"], r["n"]) for r in toxic.orderBy(F.desc("n"), "feature").limit(20 * FEATURES).collect()]
+    candidates = [(r["feature"], r["n"]) for r in most_frequent(toxic, "n", 20 * FEATURES).collect()]
     wanted = frozenset(f for f, _ in candidates)
 
     def of_clean(batch: pa.RecordBatch) -> dict:
@@ -200,6 +200,7 @@ def mine(training: DataFrame) -> list[str]:
         return {"feature": list(found), "n": list(found.values())}
 
     clean = per_batch(training.where("toxic = 0").select("text"), of_clean, "feature string, n long")
+    # One row for each candidate at most.
     others = {r["feature"]: r["n"] for r in clean.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
     totals = {r["toxic"]: r["n"] for r in training.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     ratio = (totals.get(0, 0) + 1) / (totals.get(1, 0) + 1)
