@@ -273,7 +273,7 @@ def templates(counted: DataFrame) -> DataFrame:
             best = max(mass, key=lambda p: (mass[p], p), default=None)
             out["host"].append(name)
             out["element_keys"].append(sorted(_key(p) for p in nested))
-            out["text_keys"].append(sorted({t["text_key"] for t in valid if t["text_key"] is not None and t["path"] in nested}))
+            out["text_keys"].append(sorted({t["text_key"] for t in valid if t["text_key"] is not None and t["path"].rpartition(">")[0] in nested}))
             out["main"].append(best)
         return out
 
