@@ -126,7 +126,7 @@ def test_conflict_modes_whatever_the_compaction(spark, folder, conflict, expecte
     run_incremental(spark, f"{folder}/raw", root, options)
     deposit(folder, "3.parquet", [record(1, 22, "late"), record(4, 22, "four")])
     run_incremental(spark, f"{folder}/raw", root, options)
-    assert names(spark, root, conflict=conflict) == {1: expected, 9: "other", 4: "four"}
+    assert names(spark, root) == {1: expected, 9: "other", 4: "four"}
 
 
 @pytest.mark.parametrize(
@@ -282,7 +282,7 @@ def test_latest_mode_takes_files_in_any_order(spark, folder):
     for n, runs in enumerate([[made], [made[::-1]], [[made[1]], [made[2], made[0]]]]):
         for files in runs:
             run_incremental(spark, "", f"{folder}/{n}", options, files=files)
-        assert names(spark, f"{folder}/{n}", conflict="latest") == want
+        assert names(spark, f"{folder}/{n}") == want
 
 
 def test_partial_rows_where_dates_decide(spark, folder):
@@ -296,7 +296,7 @@ def test_partial_rows_where_dates_decide(spark, folder):
     run_incremental(spark, f"{folder}/raw", root, options)
     deposit(folder, "3.parquet", [record(1, 24, "c")])
     run_incremental(spark, f"{folder}/raw", root, options)
-    got = {r["id"]: (r["name"], r["payload"]) for r in read_target(spark, root, "latest").collect()}
+    got = {r["id"]: (r["name"], r["payload"]) for r in read_target(spark, root).collect()}
     assert got == {1: ("a", "new"), 2: ("b", "p")}
 
 

@@ -56,8 +56,9 @@ def run_totals(files: DataFrame, *more: Column) -> DataFrame:
 
 
 def throughput(runs: DataFrame) -> DataFrame:
-    """Latency and rows per second of each run in a ledger with start and end times."""
-    seconds = (F.unix_micros("end_time") - F.unix_micros("start_time")) / F.lit(1e6)
+    """Latency and rows per second of each run in a ledger; its times are instants or ISO text."""
+    start, end = (F.unix_micros(F.col(name).cast("timestamp")) for name in ("start_time", "end_time"))
+    seconds = (end - start) / F.lit(1e6)
     return runs.select(
         "run_id",
         seconds.alias("latency_seconds"),

@@ -33,7 +33,7 @@ from tidemark.schema import (
     SEQ,
     SUPPLIED,
 )
-from tidemark.session import empty_table, remove
+from tidemark.session import empty_table, folder_bytes, remove
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sinks.processed import write_processed
 from tidemark.sources.listing import (
@@ -53,8 +53,8 @@ log = logging.getLogger(__name__)
 MODES = ("ledger", "highwater", "all")
 SCOPES = ("file", "batch", "run")
 
-# Failed paths are only sent to every executor while the list is this short.
-_SHORT_LIST = 10_000
+# A bucket of the target's base is to hold about this much.
+BUCKET_BYTES = 512 << 20
 
 
 @dataclass
@@ -69,6 +69,7 @@ class RunOptions:
     ``update_mark=False`` changes the target but leaves the files to be picked again.
     ``defaults`` replace NULL in columns a file has; they do not add columns.
     ``compact_every``: runs between rewrites of the target's base.
+    ``buckets``: of the base from its next rewrite on; by default its size decides.
     ``keep_staging`` keeps the rows as read and checked, which are deleted after the commit.
     """
 
@@ -111,7 +112,7 @@ def run_incremental(
     others go through as one job. Rows that fail validation are set aside. Nothing
     counts until the ledger row at the end is written; a run that died may be repeated
     under its ``run_id``, one that was committed may not. Returns the run's totals.
-    One run at a time per ``root``.
+    Of two runs at a time on one ``root``, the second to commit is refused.
     """
     options = options or RunOptions()
     started = now or utc_now()
@@ -120,6 +121,9 @@ def run_incremental(
         raise ValueError(f"run {run_id} is committed; its folders must not be written again")
     run_id = run_id or new_batch_id()
     previous = ledger.latest()
+    kept = previous["conflict"] if previous else None
+    if kept and kept != options.conflict:
+        raise ValueError(f"the target is kept by conflict={kept!r}; a run cannot change that")
     stage = f"{root}/staging/{run_id}"
 
     picked = _pick_files(spark, source, ledger, options, files)
@@ -135,19 +139,12 @@ def run_incremental(
     results = _store(_file_results(footers, rows), f"{ledger.files_path}/run_id={run_id}")
     last = F.max_by("path", F.struct(SEQ, "path")).alias("last_file")
     totals = run_totals(results, last).first().asDict()
-    enforce_error_rate(
-        totals["records_processed"] + totals["records_failed"],
-        totals["records_failed"],
-        options.max_error_rate,
-    )
-
     failures = results.where("status = 'failed'")
     if totals["files_failed"]:
-        write_failed_log(failed_rows(failures, started.isoformat()), f"{root}/failed")
-    state = _pointers(previous)
+        write_failed_log(failed_rows(failures, started.isoformat()), f"{root}/failed", run_id)
     if rows is not None and totals["files_processed"]:
         if totals["files_failed"]:
-            rows = _without_files(rows, failures, totals["files_failed"])
+            rows = rows.join(failures.select(F.col("path").alias(PATH)), PATH, "left_anti")
         if totals["records_failed"]:
             (
                 rows.where(F.size(ERRORS) > 0)
@@ -155,6 +152,14 @@ def run_incremental(
                 .write.mode("overwrite")
                 .parquet(f"{root}/quarantine/run_id={run_id}")
             )
+    # The gate comes after the evidence: what it refuses can be looked up.
+    enforce_error_rate(
+        totals["records_processed"] + totals["records_failed"],
+        totals["records_failed"],
+        options.max_error_rate,
+    )
+    state = _pointers(previous)
+    if rows is not None and totals["files_processed"]:
         good = rows.where(F.size(ERRORS) == 0).drop(ERRORS, RAW)
         state, written = _apply(spark, good, root, state, options, run_id, started)
     else:
@@ -173,6 +178,7 @@ def run_incremental(
             "records_failed": totals["records_failed"],
             "version": (previous["version"] if previous else 0) + 1,
             "advances_mark": options.update_mark,
+            "conflict": options.conflict,
         }
     )
     if not options.keep_staging:
@@ -188,9 +194,11 @@ def run_incremental(
     }
 
 
-def read_target(spark: SparkSession, root: str, conflict: str = "arrival") -> DataFrame:
-    """The target as of the newest committed run."""
-    state = _pointers(Ledger(spark, f"{root}/state").latest())
+def read_target(spark: SparkSession, root: str) -> DataFrame:
+    """The target as of the newest committed run, by the rule of conflict its runs keep."""
+    run = Ledger(spark, f"{root}/state").latest()
+    state = _pointers(run)
+    conflict = (run["conflict"] if run else None) or "arrival"
     table = KeyedTable(spark, f"{root}/target", conflict=conflict)
     return table.read(state["base"], state["pending"], state["buckets"])
 
@@ -232,7 +240,9 @@ def _pick_files(
         return explicit_files(spark, files)
     listing = list_files(spark, source)
     if options.mode == "highwater":
-        return newer_than_mark(listing, ledger.mark())
+        # A file that failed stays due, whatever came after it.
+        again = only_parquet(listing).join(ledger.failed(), "path", "left_semi")
+        return newer_than_mark(listing, ledger.mark()).union(again.select(*listing.columns)).distinct()
     listing = only_parquet(listing)
     if options.mode == "ledger":
         return new_or_changed(listing, ledger.files())
@@ -275,7 +285,7 @@ def _stage_rows(
     rows = number_batches(rows, options.batch_size)
     if ordered:
         order = usable.select(F.col("path").alias(PATH), SEQ)
-        rows = rows.join(F.broadcast(order) if usable.count() <= _SHORT_LIST else order, PATH)
+        rows = rows.join(order, PATH)
     else:
         rows = rows.withColumn(SEQ, F.lit(0).cast("bigint"))
     return _store(rows, f"{stage}/rows")
@@ -311,9 +321,14 @@ def _file_results(footers: DataFrame, rows: DataFrame | None) -> DataFrame:
     )
 
 
-def _without_files(rows: DataFrame, failures: DataFrame, count: int) -> DataFrame:
-    bad = failures.select(F.col("path").alias(PATH))
-    return rows.join(F.broadcast(bad) if count <= _SHORT_LIST else bad, PATH, "left_anti")
+def bucket_count(size: int, now: int | None, target: int | None = None) -> int:
+    """Buckets for a base of ``size`` bytes: as they are while they fit, else doubled until they do."""
+    target = target or BUCKET_BYTES
+    if now is None:
+        return max(1, -(-size // target))
+    while size > 2 * target * now:
+        now *= 2
+    return now
 
 
 def arrival_order(scope: str, conflict: str) -> list[str]:
@@ -358,6 +373,8 @@ def _apply(
     now_or_never = partial and options.conflict == "latest"
     if len(pending) < options.compact_every and not now_or_never:
         return {**state, "pending": pending}, written
-    buckets = state["buckets"] or options.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = table.rewrite(state["base"], pending, buckets, run_id)
+    folders = [f"{table.root}/{name}" for name in [*pending, *([state["base"]] if state["base"] else [])]]
+    size = sum(folder_bytes(spark, folder) for folder in folders)
+    buckets = options.buckets or bucket_count(size, state["buckets"])
+    base = table.rewrite(state["base"], pending, buckets, run_id, state["buckets"])
     return {"base": base, "pending": [], "buckets": buckets}, written

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -84,6 +85,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(filesystem.globStatus(hadoop))
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file unless the path is there; whether it was written."""
+    filesystem, hadoop = _filesystem(spark, path)
+    exists_already = spark.sparkContext._jvm.org.apache.hadoop.fs.FileAlreadyExistsException
+    try:
+        out = filesystem.create(hadoop, False)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() == exists_already._fqn:
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder, from the filesystem's own summary."""
+    filesystem, hadoop = _filesystem(spark, path)
+    return filesystem.getContentSummary(hadoop).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder the caller has written itself."""
     filesystem, hadoop = _filesystem(spark, path)

@@ -49,8 +49,10 @@ def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int)
     """
     name = _passing_name()
     writer = df.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
-    writer.option("path", path).mode("overwrite").saveAsTable(name)
-    df.sparkSession.sql(f"DROP TABLE {name}")
+    try:
+        writer.option("path", path).mode("overwrite").saveAsTable(name)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def read_bucketed(
@@ -64,9 +66,10 @@ def read_bucketed(
         f"CREATE TABLE {name} ({_columns(schema)}) USING parquet "
         f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{location}'"
     )
-    table = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
-    return table
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 class KeyedTable:
@@ -121,10 +124,18 @@ class KeyedTable:
         return upsert(stored, changes, self.keys, self.conflict, self.order_by)
 
     def rewrite(
-        self, base: str | None, pending: Sequence[str], buckets: int, run_id: str
+        self,
+        base: str | None,
+        pending: Sequence[str],
+        buckets: int,
+        run_id: str,
+        stored_buckets: int | None = None,
     ) -> str:
         """Write a new base with the pending changes in it; returns the folder's name.
 
+        ``stored_buckets``: the buckets the old base has, where they differ from the new ones;
+        the base is then dealt anew, once.
+
         The merge hint keeps the join on the base's buckets: each task then holds one
         bucket of the result and writes one file, without moving the base.
         """
@@ -134,8 +145,11 @@ class KeyedTable:
             result = upsert(self._base(None, None), changes, self.keys, self.conflict, self.order_by)
             result = result.repartition(buckets, *self.keys)
         else:
-            stored = self._base(base, buckets)
-            changes = changes.repartition(buckets, *self.keys).hint("merge")
+            now = stored_buckets or buckets
+            stored = self._base(base, now)
+            changes = changes.repartition(now, *self.keys).hint("merge")
             result = merge_rows(stored, changes, self.keys, self.conflict, self.order_by)
+            if now != buckets:
+                result = result.repartition(buckets, *self.keys)
         write_bucketed(result, f"{self.root}/{name}", self.keys, buckets)
         return name

@@ -133,7 +133,13 @@ def _footer_check(expected: Sequence[str], required: Sequence[str]):
             info = filesystem.get_file_info(inner)
             with filesystem.open_input_file(inner) as source:
                 meta = pq.read_metadata(source)
-            fields = {f.name: spark_type(f.type) for f in meta.schema.to_arrow_schema()}
+            leaves = [meta.schema.column(i) for i in range(len(meta.schema))]
+            # Arrow shows 96-bit times as nanoseconds; Spark reads them as instants.
+            wide = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
+            fields = {
+                f.name: "timestamp" if f.name in wide else spark_type(f.type)
+                for f in meta.schema.to_arrow_schema()
+            }
             found = {}
             for name in expected:
                 same = [f for f in fields if f.lower() == name.lower()]
@@ -153,7 +159,14 @@ def _footer_check(expected: Sequence[str], required: Sequence[str]):
                 # Milliseconds, the precision file listings have.
                 "modified_micros": info.mtime_ns // 1_000_000 * 1000 if info.mtime_ns else None,
             }
-        except Exception as error:  # any unreadable file is data here, not a task failure
+        except (FileNotFoundError, ValueError, NotImplementedError) as error:
+            return {"error_type": type(error).__name__, "error_message": str(error)}
+        except OSError as error:
+            # A footer that does not decode is a damaged file. Whatever else storage says
+            # (credentials, throttling, time-outs) is no fault of the file: the task fails
+            # and Spark repeats it.
+            if not any(word in str(error).lower() for word in ("thrift", "corrupt", "magic", "footer")):
+                raise
             return {"error_type": type(error).__name__, "error_message": str(error)}
 
     def row(listed: dict) -> dict:

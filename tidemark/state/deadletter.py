@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,8 +47,11 @@ def failed_rows(
     )
 
 
-def write_failed_log(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").partitionBy("failed_date").json(path)
+def write_failed_log(rows: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add rows to the log. A repeated ``run_id`` replaces what it wrote before for the same days."""
+    named = rows.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("failed_date", "run_id").json(path)
 
 
 def log_failure(
@@ -75,7 +79,7 @@ def read_failed_log(spark: SparkSession, path: str, failed_date: date | str | No
     """All failures, or those of one day (only that day's folder is read)."""
     if not exists(spark, path):
         return empty_table(spark, LOG_SCHEMA)
-    rows = spark.read.schema(LOG_SCHEMA).json(path)
+    rows = spark.read.schema(LOG_SCHEMA).json(path).select(*LOG_SCHEMA.fieldNames())
     if failed_date is not None:
         rows = rows.where(F.col("failed_date") == F.lit(failed_date).cast("date"))
     return rows

@@ -6,6 +6,7 @@ once its row is there, so everything a crashed run wrote before is simply ignore
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.convert import parse_mark_time
 from tidemark.schema import MARK_SCHEMA
-from tidemark.session import empty_table, exists, one_row
+from tidemark.session import create_text, empty_table, exists, one_row
 
 RUN_SCHEMA = T.StructType(
     MARK_SCHEMA.fields
@@ -32,6 +33,7 @@ RUN_SCHEMA = T.StructType(
         T.StructField("pending", T.ArrayType(T.StringType())),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("advances_mark", T.BooleanType()),
+        T.StructField("conflict", T.StringType()),
     ]
 )
 
@@ -157,7 +159,8 @@ class Ledger:
     def seed(self, mark: Mapping) -> None:
         """Begin with a mark instead of a run: a starting mark, or one another tool left behind."""
         row = {"watermark_id": str(uuid.uuid4()), **{k: v for k, v in mark.items() if v is not None}}
-        self.commit({**row, "run_id": f"seed-{row['watermark_id']}", "version": 0, "advances_mark": True})
+        row |= {"run_id": f"seed-{row['watermark_id']}", "version": 0, "advances_mark": True}
+        append_row(self.spark, self.runs_path, row, RUN_SCHEMA)
 
     def files(self) -> DataFrame:
         """Per-file results of committed runs, but for runs told not to advance."""
@@ -169,5 +172,22 @@ class Ledger:
             *FILE_SCHEMA.fieldNames()
         )
 
+    def failed(self) -> DataFrame:
+        """Paths whose newest result is a failure."""
+        if not exists(self.spark, self.files_path):
+            return empty_table(self.spark, FILE_SCHEMA).select("path")
+        rows = self.spark.read.schema(FILE_SCHEMA).parquet(self.files_path)
+        runs = self.runs().where("advances_mark").select("run_id", "version")
+        newest = rows.join(runs, "run_id").groupBy("path").agg(F.max_by("status", "version").alias("status"))
+        return newest.where("status = 'failed'").select("path")
+
     def commit(self, row: Mapping) -> None:
-        append_row(self.spark, self.runs_path, row, RUN_SCHEMA)
+        """Make a run count. Its file is named by its version and must not be there yet.
+
+        Of two runs that began from one state, the second to commit is refused: what it wrote
+        does not count, and its files are picked again.
+        """
+        name = f"{self.runs_path}/version-{row['version']:012d}.json"
+        known = {k: row[k] for k in RUN_SCHEMA.fieldNames() if row.get(k) is not None}
+        if not create_text(self.spark, name, json.dumps(known) + "\n"):
+            raise RuntimeError(f"another run has committed version {row['version']}; repeat this one")
