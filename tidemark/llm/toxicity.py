@@ -8,8 +8,8 @@ training rows hold their label. What two voters share beyond the label is measur
 evidence is divided by the number of voters it effectively repeats. The model's posterior labels of training rows train
 a linear classifier on the mined words and the votes; its logistic output is the score of any text.
 
-Labels come only from rows of the training folds. The classifier is fitted on at most SAMPLE labelled training rows, chosen
-by hash; votes and patterns cover all texts. Null and empty texts get the score of a text without any feature. Without labels
+Labels come only from rows of the training folds. Lists are mined and the classifier is fitted on about SAMPLE labelled
+training rows, chosen by hash (all, where there are fewer); votes, patterns and the label model cover all texts. Null and empty texts get the score of a text without any feature. Without labels
 or toxic examples the fixed lists alone vote. Repeated rows are scored row by row; a null key is in the fold of the empty
 text and has no label; empty tables give empty results; no other column is read.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, most_frequent, per_batch, stored
 
-#: Labelled training rows the classifier is fitted on, at most; and features it knows, at most.
+#: Labelled training rows the lists and the classifier are fitted on, about; and features it knows, at most.
 SAMPLE = 40_000
 FEATURES = 4_000
 #: A mined feature stands in so many toxic training texts, and there so many times as often as in others.
@@ -94,6 +94,15 @@ class Voters:
         return sorted(numbers), votes
 
 
+def _coded(votes: np.ndarray) -> np.ndarray:
+    """Each row of votes as one number of base three."""
+    return ((votes + 1) * 3 ** np.arange(votes.shape[1])).sum(axis=1)
+
+
+def _decoded(codes: np.ndarray, voters: int) -> np.ndarray:
+    return codes[:, None] // 3 ** np.arange(voters) % 3 - 1
+
+
 @lru_cache(maxsize=1)
 def _voters(mined: tuple[str, ...]) -> Voters:
     return Voters({f: i for i, f in enumerate(mined)})
@@ -215,22 +224,29 @@ def score(
     """key, held_out, score, predicted of every row of ``docs``; ``labels``: key, toxic (0, 1 or null)."""
     docs = docs.select(F.col(key), F.col(text).alias("text"), (fold(F.col(key), folds) == held).alias("held_out"))
     known = labels.where(F.col("toxic").isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max("toxic").alias("toxic"))
-    training = docs.where("not held_out").join(known, key).select("text", "toxic")
+    known = known.where(fold(F.col(key), folds) != held)
+    total = known.count()
+    share = min(1.0, SAMPLE / total) if total else 0.0
+    chosen = known.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000))
+    # About SAMPLE rows of a key and a number, whatever the input: no text has to move to its label.
+    training = docs.join(F.broadcast(chosen), key).select("text", "toxic")
     mined = tuple(mine(training))
     names = _voters(mined).names
 
     def look(batch: pa.RecordBatch) -> dict:
         voters = _voters(mined)
         made = [voters.look(t) for t in batch.column(1).to_pylist()]
-        return {key: batch.column(0), "held_out": batch.column(2), "found": [m[0] for m in made], "votes": [m[1] for m in made]}
+        return {
+            key: batch.column(0), "held_out": batch.column(2), "found": [m[0] for m in made],
+            "votes": _coded(np.array([m[1] for m in made])),
+        }
 
     kind = docs.schema[key].dataType.simpleString()
     seen = stored(
-        per_batch(docs.select(key, "text", "held_out"), look, f"{key} {kind}, held_out boolean, found array<int>, votes array<int>"),
+        per_batch(docs.select(key, "text", "held_out"), look, f"{key} {kind}, held_out boolean, found array<int>, votes long"),
         "votes",
     )
-    label = F.when(~F.col("held_out"), F.col("toxic"))
-    labelled = seen.join(known, key, "left").withColumn("label", label)
+    labelled = seen.select(key, "votes").join(known.withColumnRenamed("toxic", "label"), key, "left")
     # Votes have three values, so the patterns are few and bounded by 3 ^ voters, whatever the number of texts.
     patterns = labelled.groupBy("votes").agg(
         F.count(F.when(F.col("label").isNull(), 1)).alias("free"),
@@ -240,16 +256,14 @@ def score(
     rows = sorted(patterns.collect(), key=lambda r: r["votes"])
     if not rows:
         return seen.select(key, "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    votes = np.array([r["votes"] for r in rows])
+    votes = _decoded(np.array([r["votes"] for r in rows]), len(names))
     known_mass = np.array([[r["clean"] for r in rows], [r["toxic"] for r in rows]], float)
     model = LabelModel(len(names)).fit(votes, np.array([r["free"] for r in rows], float), known_mass)
-    total = known_mass.sum()
-    share = min(1.0, SAMPLE / total) if total else 0.0
-    chosen = F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000)
-    sample = labelled.where(F.col("label").isNotNull() & chosen).select(key, "found", "votes", "label").limit(2 * SAMPLE).collect()
-    sample = sorted(sample, key=lambda r: r[key])
+    sample = seen.join(F.broadcast(chosen.withColumnRenamed("toxic", "label")), key)
+    sample = sample.select(key, "found", "votes", "label").dropDuplicates([key]).collect()
+    sample = sorted(sample, key=lambda r: (r[key], r["found"]))
     if sample:
-        own = np.array([r["votes"] for r in sample])
+        own = _decoded(np.array([r["votes"] for r in sample]), len(names))
         soft = model.posterior(own)
         # The posterior of a labelled row takes its label as one more, reliable vote.
         told = np.array([r["label"] for r in sample], float)
@@ -259,7 +273,7 @@ def score(
         w, d, b = None, None, 0.0
 
     def judge(batch: pa.RecordBatch) -> dict:
-        own = np.array(batch.column(3).to_pylist(), np.int64).reshape(-1, len(names))
+        own = _decoded(np.asarray(batch.column(3), np.int64), len(names))
         if w is None:
             out = model.posterior(own)
         else:
