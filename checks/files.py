@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.mapping import ORDER_LISTING_SQL, order_listing
 from tidemark.schema import PATH, RAW_SCHEMA
+from tidemark.session import qualify
 from tidemark.sources.listing import (
     exclude_state,
     list_files,
@@ -14,6 +15,7 @@ from tidemark.sources.listing import (
     only_parquet,
 )
 from tidemark.sources.parquet import explicit_files, read_footers, read_parquet
+from tidemark.state.ledger import starting_mark
 
 # Names of the shared tables.
 TABLES = (
@@ -60,10 +62,20 @@ LISTING_MARK_TIME_ONLY = f"""
 
 
 def listing_start_after(spark, sf_dir):
-    return order_listing(spark, sf_dir).where(F.col("path") > _half(spark, sf_dir))
+    """The table files after a path, from storage."""
+    start = qualify(spark, f"{sf_dir}/labels.parquet")
+    files = list_files(spark, sf_dir, start_after=start, glob="*.parquet")
+    return read_footers(files, RAW_SCHEMA, required=()).select(_name(F.col("path")).alias("file"), F.col("num_rows").alias("n"))
 
 
-LISTING_START_AFTER = f"SELECT * FROM ({ORDER_LISTING_SQL}) WHERE path > {_HALF_SQL}"
+LISTING_START_AFTER = " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS file, count(*) AS n FROM {t}" for t in TABLES if t > "labels"
+)
+
+
+def listing_starting_mark(spark, sf_dir):
+    """The earliest starting mark lets every listed file in."""
+    return newer_than_mark(order_listing(spark, sf_dir), starting_mark())
 
 
 def _mixed_listing(spark, sf_dir):
@@ -176,6 +188,7 @@ READ_EXPLICIT_FILES = """
 CHECKS = {
     "listing_highwater": (listing_highwater, LISTING_HIGHWATER),
     "listing_mark_time_only": (listing_mark_time_only, LISTING_MARK_TIME_ONLY),
+    "listing_starting_mark": (listing_starting_mark, f"SELECT * FROM ({ORDER_LISTING_SQL})"),
     "listing_start_after": (listing_start_after, LISTING_START_AFTER),
     "listing_exclude_state": (
         listing_exclude_state,

@@ -11,9 +11,14 @@ from checks.mapping import BATCH, table
 from checks.records import PROCESS_TABLE_EVENTS, process_table_events
 from tidemark.functions.convert import iso_text
 from tidemark.plans.incremental import RunOptions, read_target, run_incremental
-from tidemark.session import scratch_dir
+from tidemark.operators.audit import add_audit_columns
+from tidemark.operators.dedup import dedup_latest
+from tidemark.operators.metrics import TableStats, throughput
+from tidemark.session import create_text, replace_file, scratch_dir, settings
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sinks.processed import read_processed, write_processed
+from tidemark.sources.listing import list_files
+from tidemark.state.ledger import Ledger
 
 DAY_1 = datetime(2024, 6, 1, 2, 0, 0, tzinfo=timezone.utc)
 DAY_2 = datetime(2024, 6, 2, 2, 0, 0, tzinfo=timezone.utc)
@@ -114,9 +119,142 @@ def keyed_table_merge(spark, sf_dir):
     return target.read(base, [second], 8)
 
 
+def _full_records(spark, sf_dir):
+    when = F.timestamp_add("MICROSECOND", F.col("o_orderkey"), F.col("o_orderdate"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"),
+        F.concat(F.lit("order "), F.col("o_orderkey")).alias("name"),
+        F.concat(F.lit("customer"), F.col("o_custkey"), F.lit("@"), F.col("o_orderkey")).alias("email"),
+        F.col("o_orderstatus").alias("status"),
+        when.alias("updated_at"),
+        F.col("o_orderpriority").alias("payload"),
+    )
+
+
+def run_incremental_int96(spark, sf_dir):
+    """Files with 96-bit times, as Spark and others have long written them."""
+    root = scratch_dir(spark, "runs")
+    utc = F.concat(iso_text(F.col("updated_at")), F.lit("Z"))
+    rows = _full_records(spark, sf_dir).withColumn("updated_at", utc.cast("timestamp"))
+    with settings(spark, {"spark.sql.parquet.outputTimestampType": "INT96"}):
+        rows.write.parquet(f"{root}/raw/day-1")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", RunOptions(scope="run"), run_id="day-1", now=DAY_1)
+    return read_target(spark, f"{root}/out")
+
+
+RUN_INCREMENTAL_INT96 = f"""
+    SELECT *, TIMESTAMP '2024-06-01 02:00:00' AS _etl_processed_at, 'day-1' AS _etl_batch_id
+    FROM {_latest_sql("true")}
+"""
+
+
+def run_highwater_retry(spark, sf_dir):
+    """A file that failed and was repaired is taken up although the mark has passed it."""
+    root, options = scratch_dir(spark, "runs"), RunOptions(mode="highwater", scope="run")
+    rows = _full_records(spark, sf_dir)
+    create_text(spark, f"{root}/raw/a.parquet", "no parquet at all")
+    rows.where("status <> 'O'").write.parquet(f"{root}/raw/b")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-1", now=DAY_1)
+    rows.where("status = 'O'").coalesce(1).write.parquet(f"{root}/repaired")
+    part = list_files(spark, f"{root}/repaired", glob="*.parquet").first()["path"]
+    replace_file(spark, part, f"{root}/raw/a.parquet")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-2", now=DAY_2)
+    return read_target(spark, f"{root}/out")
+
+
+RUN_HIGHWATER_RETRY = f"""
+    SELECT *, TIMESTAMP '2024-06-02 02:00:00' AS _etl_processed_at, 'day-2' AS _etl_batch_id
+    FROM {_latest_sql("status = 'O'")}
+    UNION ALL
+    SELECT *, TIMESTAMP '2024-06-01 02:00:00', 'day-1' FROM {_latest_sql("status <> 'O'")}
+    WHERE id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
+"""
+
+
+def run_nothing_new(spark, sf_dir):
+    """A run without new files leaves the target as it was."""
+    options = RunOptions(scope="run")
+    root = _two_days(spark, sf_dir, options)
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-3", now=DAY_2)
+    return read_target(spark, f"{root}/out")
+
+
+def run_throughput_ledger(spark, sf_dir):
+    """Throughput from the rows that runs leave in the ledger, beside their counts; an instant run has no rate."""
+    root = _two_days(spark, sf_dir, RunOptions(scope="run"))
+    runs = Ledger(spark, f"{root}/out/state").runs()
+    return throughput(runs).join(runs.select("run_id", "records_processed", "records_failed"), "run_id")
+
+
+RUN_THROUGHPUT_LEDGER = """
+    SELECT CASE WHEN o_orderstatus = 'O' THEN 'day-2' ELSE 'day-1' END AS run_id,
+           CAST(0 AS DOUBLE) AS latency_seconds, CAST(NULL AS DOUBLE) AS rows_per_second,
+           count(DISTINCT o_custkey) AS records_processed, CAST(0 AS BIGINT) AS records_failed
+    FROM orders GROUP BY ALL
+"""
+
+
+def run_scope_file(spark, sf_dir):
+    """Two files of one run, file by file: the later file overwrites whatever its dates are."""
+    root, options = scratch_dir(spark, "runs"), RunOptions(scope="file")
+    rows = _full_records(spark, sf_dir)
+    rows.where("status <> 'O'").coalesce(1).write.parquet(f"{root}/raw/1")
+    rows.where("status = 'O'").coalesce(1).write.parquet(f"{root}/raw/2")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-1", now=DAY_1)
+    return read_target(spark, f"{root}/out")
+
+
+RUN_SCOPE_FILE = f"""
+    SELECT *, TIMESTAMP '2024-06-01 02:00:00' AS _etl_processed_at, 'day-1' AS _etl_batch_id FROM (
+        SELECT * FROM {_latest_sql("status = 'O'")}
+        UNION ALL SELECT * FROM {_latest_sql("status <> 'O'")}
+        WHERE id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'))
+"""
+
+
+def table_stats_observed(spark, sf_dir):
+    """Rows before and after keeping the latest, counted while the result is written."""
+    stats = TableStats("one")
+    rows = stats.watch_input(_full_records(spark, sf_dir))
+    latest = stats.watch_output(dedup_latest(rows, ["id"], ["updated_at"]))
+    latest.write.format("noop").mode("overwrite").save()
+    found = stats.result()
+    return spark.range(0, 1, 1, 1).select(
+        F.lit(found["batch_id"]).alias("batch_id"),
+        *[F.lit(found[n]).cast("bigint").alias(n) for n in ("input_rows", "output_rows", "duplicates_removed")],
+    )
+
+
+TABLE_STATS_OBSERVED = """
+    SELECT 'one' AS batch_id, count(*) AS input_rows, count(DISTINCT o_custkey) AS output_rows,
+           count(*) - count(DISTINCT o_custkey) AS duplicates_removed FROM orders
+"""
+
+
+def batch_id_generated(spark, sf_dir):
+    """A table without a given batch id gets one id for all its rows."""
+    stamped = add_audit_columns(_full_records(spark, sf_dir))
+    return stamped.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("_etl_batch_id").alias("named"),
+        F.count_distinct("_etl_batch_id").alias("ids"),
+        F.count_distinct("_etl_processed_at").alias("times"),
+    )
+
+
+BATCH_ID_GENERATED = "SELECT count(*) AS n, count(*) AS named, 1::BIGINT AS ids, 1::BIGINT AS times FROM orders"
+
+
 CHECKS = {
     "run_incremental_two_days": (run_incremental_two_days, RUN_INCREMENTAL_TWO_DAYS),
     "run_incremental_latest_wins": (run_incremental_latest_wins, RUN_INCREMENTAL_LATEST_WINS),
+    "run_incremental_int96": (run_incremental_int96, RUN_INCREMENTAL_INT96),
+    "run_highwater_retry": (run_highwater_retry, RUN_HIGHWATER_RETRY),
+    "run_nothing_new": (run_nothing_new, RUN_INCREMENTAL_TWO_DAYS),
+    "run_throughput_ledger": (run_throughput_ledger, RUN_THROUGHPUT_LEDGER),
+    "run_scope_file": (run_scope_file, RUN_SCOPE_FILE),
+    "table_stats_observed": (table_stats_observed, TABLE_STATS_OBSERVED),
+    "batch_id_generated": (batch_id_generated, BATCH_ID_GENERATED),
     "processed_roundtrip": (processed_roundtrip, PROCESS_TABLE_EVENTS),
     "keyed_table_merge": (
         keyed_table_merge,

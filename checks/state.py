@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from checks.mapping import ORDER_LISTING_SQL, table
 from tidemark.schema import MARK_SCHEMA
 from tidemark.session import scratch_dir
-from tidemark.state.deadletter import failed_rows, failures_of, read_failed_log, write_failed_log
+from tidemark.state.deadletter import failed_rows, failures_of, log_failure, read_failed_log, write_failed_log
 from tidemark.state.ledger import from_json_text, latest_mark, read_marks, to_json_text
 
 
@@ -125,7 +127,24 @@ def failed_one_file(spark, sf_dir):
     return _flat(failures_of(log, last))
 
 
+def log_failure_row(spark, sf_dir):
+    """An exception raised on the driver, with the number of orders at stake."""
+    path, orders = scratch_dir(spark, "failed"), table(spark, sf_dir, "orders").count()
+    log_failure(spark, path, "raw/a.parquet", ValueError("no key"), orders, datetime(2024, 6, 1, 2, tzinfo=timezone.utc))
+    return _flat(read_failed_log(spark, path))
+
+
+LOG_FAILURE_ROW = """
+    SELECT 'ValueError' AS error_type, 'no key' AS error_message, count(*) AS record_count,
+           '2024-06-01T02:00:00+00:00' AS logged_at, 'raw/a.parquet' AS original_filename,
+           'raw/a.parquet' AS file_key, 'ValueError' AS exception_type, 'raw_a.parquet.error' AS log_name,
+           '2024-06-01' AS failed_date
+    FROM orders
+"""
+
+
 CHECKS = {
+    "log_failure_row": (log_failure_row, LOG_FAILURE_ROW),
     "state_latest_mark": (state_latest_mark, STATE_LATEST_MARK),
     "state_json_roundtrip": (state_json_roundtrip, _MARKS_SQL),
     "state_marks_stored": (state_marks_stored, STATE_MARKS_STORED),

@@ -1,13 +1,15 @@
 import os
 from datetime import datetime, timezone
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.validate import ErrorRateExceeded
-from tidemark.plans.incremental import RunOptions, read_target, run_incremental
+from tidemark.plans.incremental import RunOptions, bucket_count, read_target, run_incremental
+from tidemark.sources import parquet
 from tidemark.state.deadletter import read_failed_log
 from tidemark.state.ledger import Ledger, starting_mark
 
@@ -368,3 +370,96 @@ def test_base_is_joined_without_a_shuffle(spark, folder):
     files = [f for f in os.listdir(f"{root}/target/base=z") if f.endswith(".parquet")]
     assert len(files) == 4  # one file per bucket
     assert read_target(spark, root).agg(F.count("*"), F.count_distinct("id")).first() == (51, 51)
+
+
+def test_times_of_every_kind_in_one_run(spark, folder):
+    """96-bit, milli-, micro- and nanosecond times, with and without a zone, mean the same moment."""
+    root = f"{folder}/out"
+    moment = datetime(2025, 5, 20, 10, 0, 0)
+    kinds = {
+        1: pa.timestamp("ms"), 2: pa.timestamp("us"), 3: pa.timestamp("ns"), 4: pa.timestamp("us", "UTC"),
+    }
+    for key, kind in kinds.items():
+        row = {**record(key, 20, "n"), "updated_at": moment}
+        rows = pa.Table.from_pylist([row])
+        place = rows.schema.get_field_index("updated_at")
+        rows = rows.set_column(place, "updated_at", pa.array([moment], pa.timestamp("us")).cast(kind))
+        os.makedirs(f"{folder}/raw", exist_ok=True)
+        pq.write_table(rows, f"{folder}/raw/{key}.parquet")
+    row = {**record(5, 20, "n"), "updated_at": moment}
+    pq.write_table(pa.Table.from_pylist([row]), f"{folder}/raw/5.parquet", use_deprecated_int96_timestamps=True)
+    made = run_incremental(spark, f"{folder}/raw", root, run_id="r1", now=NOW)
+    assert (made["files_processed"], made["files_failed"]) == (5, 0)
+    assert {r["id"]: r["updated_at"] for r in read_target(spark, root).collect()} == dict.fromkeys(range(1, 6), moment)
+
+
+def test_of_two_runs_on_one_state_one_commits(spark, folder):
+    root = f"{folder}/out"
+    deposit(folder, "a.parquet", [record(1, 20, "a")])
+    first = Ledger(spark, f"{root}/state")
+    run_incremental(spark, f"{folder}/raw", root, run_id="r1", now=NOW)
+    deposit(folder, "b.parquet", [record(2, 20, "b")])
+    with pytest.raises(RuntimeError, match="another run"):
+        first.commit({"run_id": "late", "version": 1, "last_successful_run": NOW.isoformat()})
+    run_incremental(spark, f"{folder}/raw", root, run_id="r2", now=NOW)
+    assert names(spark, root) == {1: "a", 2: "b"}
+
+
+def test_failed_file_stays_due_beyond_the_mark(spark, folder):
+    root, options = f"{folder}/out", RunOptions(mode="highwater")
+    broken = deposit(folder, "a.parquet", [record(1, 20, "a")])
+    with open(broken, "wb") as file:
+        file.write(b"broken")
+    deposit(folder, "b.parquet", [record(2, 20, "b")])
+    first = run_incremental(spark, f"{folder}/raw", root, options, run_id="r1", now=NOW)
+    assert (first["files_processed"], first["files_failed"]) == (1, 1)
+    deposit(folder, "a.parquet", [record(1, 21, "mended")])
+    second = run_incremental(spark, f"{folder}/raw", root, options, run_id="r2", now=NOW)
+    assert second["files_processed"] == 1 and names(spark, root) == {1: "mended", 2: "b"}
+
+
+def test_target_keeps_its_rule(spark, folder):
+    root = f"{folder}/out"
+    deposit(folder, "a.parquet", [record(1, 22, "new")])
+    run_incremental(spark, f"{folder}/raw", root, RunOptions(conflict="latest"), run_id="r1", now=NOW)
+    deposit(folder, "b.parquet", [record(1, 20, "old")])
+    with pytest.raises(ValueError, match="conflict"):
+        run_incremental(spark, f"{folder}/raw", root, RunOptions(conflict="arrival"), run_id="r2", now=NOW)
+    run_incremental(spark, f"{folder}/raw", root, RunOptions(conflict="latest"), run_id="r3", now=NOW)
+    assert names(spark, root) == {1: "new"}
+
+
+def test_buckets_can_change(spark, folder):
+    root = f"{folder}/out"
+    for n, buckets in ((1, 2), (2, 4), (3, None)):
+        deposit(folder, f"{n}.parquet", [record(k, 20 + n, f"{n}") for k in range(n, 40 + n)])
+        options = RunOptions(compact_every=1, buckets=buckets)
+        run_incremental(spark, f"{folder}/raw", root, options, run_id=f"r{n}", now=NOW)
+        assert Ledger(spark, f"{root}/state").latest()["buckets"] == (buckets or 4)
+    assert names(spark, root) == {1: "1", 2: "2", **dict.fromkeys(range(3, 43), "3")}
+    assert bucket_count(10, None, 4) == 3 and bucket_count(100, 3, 4) == 24 and bucket_count(8, 3, 4) == 3
+
+
+def test_gate_leaves_evidence_and_repeats_do_not_double_it(spark, folder):
+    root = f"{folder}/out"
+    deposit(folder, "a.parquet", [record(1, 20, "a"), record(None, 20, "b")])
+    with open(deposit(folder, "b.parquet", [record(2, 20, "b")]), "wb") as file:
+        file.write(b"broken")
+    for _ in range(2):
+        with pytest.raises(ErrorRateExceeded):
+            run_incremental(spark, f"{folder}/raw", root, RunOptions(max_error_rate=0.1), run_id="r1", now=NOW)
+    assert read_failed_log(spark, f"{root}/failed").count() == 1
+    assert spark.read.parquet(f"{root}/quarantine/run_id=r1").count() == 1
+    assert Ledger(spark, f"{root}/state").latest() is None
+
+
+def test_storage_errors_are_no_bad_files(monkeypatch):
+    from pyarrow import fs
+
+    def refused(self, path):
+        raise OSError("When reading information for key: AWS Error ACCESS_DENIED")
+
+    check = parquet._footer_check(["id"], ["id"])
+    monkeypatch.setattr(fs, "LocalFileSystem", type("Refused", (), {"get_file_info": refused}))
+    with pytest.raises(OSError, match="ACCESS_DENIED"):
+        list(check(iter([pd.DataFrame({"path": ["/x/a.parquet"]})])))

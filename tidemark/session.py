@@ -102,6 +102,13 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def replace_file(spark: SparkSession, path: str, target: str) -> None:
+    """Move one file onto another's place."""
+    filesystem, to = _filesystem(spark, target)
+    filesystem.delete(to, False)
+    filesystem.rename(_filesystem(spark, path)[1], to)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Bytes below a folder, from the filesystem's own summary."""
     filesystem, hadoop = _filesystem(spark, path)
