@@ -288,7 +288,7 @@ def test_latest_mode_takes_files_in_any_order(spark, folder):
 
 
 def test_partial_rows_where_dates_decide(spark, folder):
-    """A row with missing columns is compared with the stored date in its own run."""
+    """Each column comes from the latest row that supplies it."""
     root = f"{folder}/out"
     options = RunOptions(conflict="latest", compact_every=9, buckets=2)
     deposit(folder, "1.parquet", [record(1, 22, "a"), record(2, 22, "b")])
@@ -299,7 +299,7 @@ def test_partial_rows_where_dates_decide(spark, folder):
     deposit(folder, "3.parquet", [record(1, 24, "c")])
     run_incremental(spark, f"{folder}/raw", root, options)
     got = {r["id"]: (r["name"], r["payload"]) for r in read_target(spark, root).collect()}
-    assert got == {1: ("a", "new"), 2: ("b", "p")}
+    assert got == {1: ("c", "new"), 2: ("b", "p")}
 
 
 def test_staging_is_removed_after_the_commit(spark, folder):
@@ -463,3 +463,28 @@ def test_storage_errors_are_no_bad_files(monkeypatch):
     monkeypatch.setattr(fs, "LocalFileSystem", type("Refused", (), {"get_file_info": refused}))
     with pytest.raises(OSError, match="ACCESS_DENIED"):
         list(check(iter([pd.DataFrame({"path": ["/x/a.parquet"]})])))
+
+
+def test_partial_rows_in_any_order_and_grouping(spark, folder):
+    """Whatever runs the files come in, and whenever the base is rewritten, each column is the latest."""
+    made = [
+        deposit(folder, "1.parquet", [record(1, 26, "base"), record(2, 20, "two")]),
+        deposit(folder, "2.parquet", [record(1, 25, "stale"), record(3, 21, "three")]),
+        deposit(folder, "3.parquet", [record(k, 27, "part", payload=f"new{k}") for k in (1, 2, 4)], ["id", "updated_at", "payload"]),
+    ]
+    day = {r: datetime(2025, 5, r, 10) for r in (21, 27)}
+    want = {
+        1: ("base", "new1", day[27]), 2: ("two", "new2", day[27]), 3: ("three", "p", day[21]), 4: (None, "new4", day[27]),
+    }
+    n = 0
+    for order in ([0, 1, 2], [2, 1, 0], [1, 2, 0]):
+        for runs in ([order], [order[:1], order[1:]], [[i] for i in order]):
+            for every in (1, 8):
+                n += 1
+                if n % 2 and len(runs) == 1:
+                    continue
+                options = RunOptions(conflict="latest", compact_every=every, buckets=2)
+                for files in runs:
+                    run_incremental(spark, "", f"{folder}/{n}", options, files=[made[i] for i in files])
+                got = {r["id"]: (r["name"], r["payload"], r["updated_at"]) for r in read_target(spark, f"{folder}/{n}").collect()}
+                assert got == want, (order, runs, every)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import dedup_latest, recency
-from tidemark.schema import AUDIT_COLUMNS, KEY, ORDER, SUPPLIED
+from tidemark.schema import AUDIT_COLUMNS, DATES, KEY, ORDER, SUPPLIED
 
 CONFLICTS = ("arrival", "latest")
 
@@ -42,28 +42,59 @@ def merge_rows(
     conflict: str = "arrival",
     order_by: str = ORDER,
 ) -> DataFrame:
-    """The general form of ``upsert``: one full outer join, every column decided by a presence flag."""
+    """The general form of ``upsert``: one full outer join, every column decided by itself.
+
+    With ``conflict="latest"`` a column is taken if its date is not before the stored
+    column's. A column's date is its row's, but for those the hidden ``_dates`` map names: a
+    target that has this map keeps it up to date, so partial rows may come in any order
+    and any grouping. A column no row has supplied yet is older than any date.
+    """
     _check(target, updates, keys, conflict)
+    if conflict == "latest" and order_by not in updates.columns:
+        raise ValueError(f"updates have no column {order_by} to be compared by")
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     u = updates.withColumn("_in_updates", F.lit(True)).alias("u")
     joined = t.join(u, _same_key(keys), "full_outer")
     present = F.coalesce(F.col("u._in_updates"), F.lit(False))
-    if conflict == "latest":
-        stored, incoming = F.col(f"t.{order_by}"), F.col(f"u.{order_by}")
-        newer = F.col("t._in_target").isNull() | stored.isNull() | (incoming >= stored)
-        present = present & F.coalesce(newer, F.lit(False))
-    out = []
+    kind = target.schema[order_by].dataType if order_by in target.columns else None
+    out, dates = [], {}
     for name in target.columns:
+        if name == DATES:
+            continue
         if name in keys:
             out.append(F.coalesce(F.col(f"t.{name}"), F.col(f"u.{name}")).alias(name))
-        elif name not in updates.columns:
-            out.append(F.col(f"t.{name}"))
-        else:
-            take = present
-            if SUPPLIED in updates.columns:
-                take = take & F.array_contains(F.col(f"u.{SUPPLIED}"), name)
-            out.append(F.when(take, F.col(f"u.{name}")).otherwise(F.col(f"t.{name}")).alias(name))
-    return joined.select(*out)
+            continue
+        given = F.lit(name in updates.columns)
+        if name in updates.columns and SUPPLIED in updates.columns:
+            given = F.array_contains(F.col(f"u.{SUPPLIED}"), name)
+        take = present & F.coalesce(given, F.lit(False))
+        if conflict == "latest":
+            stored = _date_of("t", name, target, order_by)
+            incoming = _date_of("u", name, updates, order_by)
+            newer = F.col("t._in_target").isNull() | stored.isNull() | (incoming >= stored)
+            take = take & F.coalesce(newer, F.lit(False))
+            dates[name] = F.when(take, incoming).when(F.col("t._in_target"), stored).cast(kind)
+        fresh = F.col(f"u.{name}") if name in updates.columns else F.lit(None)
+        out.append(F.when(take, fresh).otherwise(F.col(f"t.{name}")).alias(name))
+    if DATES not in target.columns:
+        return joined.select(*out)
+    return joined.select(*out, _own_dates(dates, order_by).alias(DATES))
+
+
+def _date_of(alias: str, name: str, df: DataFrame, order_by: str) -> Column:
+    """The date of a column in a row: its own, where the row has one for it, else the row's."""
+    row = F.col(f"{alias}.{order_by}")
+    if DATES not in df.columns:
+        return row
+    own = F.col(f"{alias}.{DATES}")
+    return F.when(F.coalesce(F.map_contains_key(own, name), F.lit(False)), own[name]).otherwise(row)
+
+
+def _own_dates(dates: dict[str, Column], order_by: str) -> Column:
+    """The map of the columns whose date is not the row's; NULL where there is none."""
+    every = F.map_from_arrays(F.array(*[F.lit(c) for c in dates]), F.array(*dates.values()))
+    own = F.map_filter(every, lambda c, d: ~d.eqNullSafe(dates[order_by]))
+    return F.when(F.size(own) > 0, own)
 
 
 def fold_arrivals(
@@ -71,6 +102,7 @@ def fold_arrivals(
     keys: Sequence[str] = (KEY,),
     arrival: Sequence[str] = (ORDER,),
     columns: Sequence[str] | None = None,
+    dated: str | None = None,
 ) -> DataFrame:
     """What remains per key after upserting all rows one by one in ``arrival`` order.
 
@@ -78,21 +110,33 @@ def fold_arrivals(
     the last row that supplies it, and the result carries the union of the arrays.
     At most one row per key and task is shuffled (with ``_supplied``: per key and set of
     supplied columns, then once more), however many files or slices the rows came from.
+
+    ``dated`` names the date that leads ``arrival``: columns are then compared by their own
+    dates (``_dates`` of the rows, else the row's), and the result has such a map.
     """
-    columns = [c for c in (columns or df.columns) if c not in keys and c != SUPPLIED]
+    columns = [c for c in (columns or df.columns) if c not in keys and c not in (SUPPLIED, DATES)]
     if SUPPLIED not in df.columns:
         needed = dict.fromkeys([*keys, *columns, *arrival])
         return dedup_latest(df.select(*needed), keys, arrival, ()).select(*keys, *columns)
     # First the last row of each set of supplied columns, then each column's last among
     # those few: the wide comparison never sees the full input.
-    needed = dict.fromkeys([*keys, SUPPLIED, *columns, *arrival])
-    rows = dedup_latest(df.select(*needed), [*keys, SUPPLIED], arrival, ())
-    last = recency(arrival)
+    aged = dated is not None and DATES in df.columns
+    needed = dict.fromkeys([*keys, SUPPLIED, *columns, *arrival, *([DATES] if aged else [])])
+    rows = df.select(*needed)
+    if not aged:  # columns as old as their rows: of each set of columns, one row has the last of all
+        rows = dedup_latest(rows, [*keys, SUPPLIED], arrival, ())
+    rows = rows.alias("r")
+    last, per_dates = recency(arrival), []
     # Boxing each value in a struct keeps a supplied NULL apart from "not supplied".
     per_column = []
     for c in columns:
         given = F.array_contains(SUPPLIED, c)
-        box = F.when(given, F.struct(F.col(c).alias("v")))
+        if dated:
+            date = _date_of("r", c, rows, dated)
+            last = F.struct(date.alias("o0"), *[F.col(x).alias(f"o{i}") for i, x in enumerate(arrival[1:], 1)])
+            box = F.when(given, F.struct(F.col(c).alias("v"), date.alias("d")))
+        else:
+            box = F.when(given, F.struct(F.col(c).alias("v")))
         per_column.append(F.max_by(box, F.when(given, last)).alias(f"_last_{c}"))
     folded = rows.groupBy(*keys).agg(*per_column)
     boxes = {c: F.col(f"_last_{c}") for c in columns}
@@ -102,8 +146,10 @@ def fold_arrivals(
             *[F.when(box.isNotNull(), F.lit(c)) for c, box in boxes.items()],
         )
     )
+    if dated:
+        per_dates = [_own_dates({c: box.getField("d") for c, box in boxes.items()}, dated).alias(DATES)]
     return folded.select(
-        *keys, *[box.getField("v").alias(c) for c, box in boxes.items()], supplied.alias(SUPPLIED)
+        *keys, *[box.getField("v").alias(c) for c, box in boxes.items()], supplied.alias(SUPPLIED), *per_dates
     )
 
 

@@ -23,6 +23,7 @@ from tidemark.schema import (
     AUDIT_COLUMNS,
     BATCH,
     BATCH_SIZE,
+    DATES,
     ERRORS,
     KEY,
     ORDER,
@@ -358,20 +359,19 @@ def _apply(
     if partial:
         audit = F.array(*[F.lit(c) for c in AUDIT_COLUMNS])
         rows = rows.withColumn(SUPPLIED, F.concat(SUPPLIED, audit))
+    dated = ORDER if partial and options.conflict == "latest" else None
     updates = fold_arrivals(
-        rows, [KEY], arrival_order(options.scope, options.conflict), table.schema.fieldNames()
+        rows, [KEY], arrival_order(options.scope, options.conflict), table.schema.fieldNames(), dated
     )
     counted = Observation()
     changes = table.write_changes(updates.observe(counted, F.count(F.lit(1)).alias("n")), run_id)
     written = counted.get["n"]
     if options.processed_root and written:
-        stored = spark.read.parquet(f"{table.root}/{changes}").drop(SUPPLIED)
+        stored = spark.read.parquet(f"{table.root}/{changes}").drop(SUPPLIED, DATES)
         write_processed(stored, options.processed_root, started.date(), run_id)
 
     pending = [*state["pending"], changes]
-    # A partial row's date is compared with the stored one, so it cannot wait.
-    now_or_never = partial and options.conflict == "latest"
-    if len(pending) < options.compact_every and not now_or_never:
+    if len(pending) < options.compact_every:
         return {**state, "pending": pending}, written
     folders = [f"{table.root}/{name}" for name in [*pending, *([state["base"]] if state["base"] else [])]]
     size = sum(folder_bytes(spark, folder) for folder in folders)

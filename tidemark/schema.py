@@ -96,3 +96,5 @@ SEQ = "_seq"
 ERRORS = "_errors"
 RAW = "_raw_record"
 SUPPLIED = "_supplied"
+# Dates of single columns where they are not the row's: partial rows leave columns of several ages.
+DATES = "_dates"

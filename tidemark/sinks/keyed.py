@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.upsert import fold_arrivals, merge_rows, upsert
-from tidemark.schema import KEY, ORDER, SUPPLIED, TARGET_SCHEMA, VARCHAR_LIMITS
+from tidemark.schema import DATES, KEY, ORDER, SUPPLIED, TARGET_SCHEMA, VARCHAR_LIMITS
 from tidemark.session import empty_table
 
 
@@ -86,11 +86,16 @@ class KeyedTable:
     ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.order_by, self.conflict = list(keys), order_by, conflict
+        # Where dates decide, the base keeps the dates of columns that are not their row's.
+        self.stored_schema = schema
+        if conflict == "latest":
+            dates = T.MapType(T.StringType(), schema[order_by].dataType)
+            self.stored_schema = T.StructType([*schema.fields, T.StructField(DATES, dates)])
 
     def _base(self, base: str | None, buckets: int | None) -> DataFrame:
         if base is None:
-            return empty_table(self.spark, self.schema)
-        return read_bucketed(self.spark, f"{self.root}/{base}", self.schema, self.keys, buckets)
+            return empty_table(self.spark, self.stored_schema)
+        return read_bucketed(self.spark, f"{self.root}/{base}", self.stored_schema, self.keys, buckets)
 
     def _changes(self, pending: Sequence[str]) -> DataFrame:
         """All pending upserts folded into one row per key."""
@@ -107,7 +112,8 @@ class KeyedTable:
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         arrival = [self.order_by, "_run"] if self.conflict == "latest" else ["_run"]
         columns = [c for c in self.schema.fieldNames() if c in rows.columns]
-        return fold_arrivals(rows, self.keys, arrival, columns)
+        dated = self.order_by if self.conflict == "latest" and mixed else None
+        return fold_arrivals(rows, self.keys, arrival, columns, dated)
 
     def write_changes(self, df: DataFrame, run_id: str) -> str:
         """Store one run's upserts (one row per key); returns the folder's name."""
@@ -118,10 +124,9 @@ class KeyedTable:
     def read(self, base: str | None, pending: Sequence[str], buckets: int | None) -> DataFrame:
         """The current table."""
         stored = self._base(base, buckets)
-        if not pending:
-            return stored
-        changes = self._changes(pending)
-        return upsert(stored, changes, self.keys, self.conflict, self.order_by)
+        if pending:
+            stored = upsert(stored, self._changes(pending), self.keys, self.conflict, self.order_by)
+        return stored.drop(DATES)
 
     def rewrite(
         self,
