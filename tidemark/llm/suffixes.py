@@ -253,9 +253,10 @@ def repeated_spans(marked: DataFrame, length: int, parts: int) -> DataFrame:
             for i, t, h, a in zip(*[c.to_pylist() for c in batch.columns[:4]])
             if a and t
         ]
+        # One table for all of the batch: runs come by ascending document, and larger blobs pack better.
+        spans, seen = [], {}
+        made: list[tuple] = []
         for run in packed(rows):
-            spans, seen = [], {}
-            made: list[tuple] = []
             for data, ends, at in _pieces(run, length):
                 hashes, anchor, first, last, piece = stretches(data, ends, length)
                 cuts = np.searchsorted(piece, np.arange(len(ends) + 1))
@@ -277,15 +278,15 @@ def repeated_spans(marked: DataFrame, length: int, parts: int) -> DataFrame:
                             spans.append((doc, text_hash, base + a, base + b + length))
                         else:
                             made.append((h, doc, text_hash, base + a, p - a, stretch))
-            if made:
-                h, d, t, s, o, stretch = zip(*made)
-                columns = [np.array(c, np.int64) for c in (d, t, s)] + [np.array(o, np.uint8)]
-                part = _mixed(np.array(h, np.uint64)) >> shift
-                for k, rows_, d, t, s, o in _split(part, np.arange(len(made)), *columns):
-                    own = [stretch[r] for r in rows_]
-                    sizes = np.array([len(x) for x in own], np.uint8)
-                    out.append((k, 0, _put(d, t, s, o, sizes, np.frombuffer(b"".join(own), np.uint8))))
-            out += shards(spans)
+        if made:
+            h, d, t, s, o, stretch = zip(*made)
+            columns = [np.array(c, np.int64) for c in (d, t, s)] + [np.array(o, np.uint8)]
+            part = _mixed(np.array(h, np.uint64)) >> shift
+            for k, rows_, d, t, s, o in _split(part, np.arange(len(made)), *columns):
+                own = [stretch[r] for r in rows_]
+                sizes = np.array([len(x) for x in own], np.uint8)
+                out.append((k, 0, _put(d, t, s, o, sizes, np.frombuffer(b"".join(own), np.uint8))))
+        out += shards(spans)
         part, pack, blob = zip(*out) if out else ((), (), ())
         return {"part": part, "pack": pack, "blob": blob}
 
