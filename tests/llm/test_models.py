@@ -104,6 +104,23 @@ def test_labels_of_the_held_out_fold_change_nothing(spark):
     assert runs[0] == runs[1]
 
 
+def test_lists_are_mined_from_all_labelled_rows(spark, monkeypatch):
+    rows, labels = toxic_texts()
+    mined, mine = [], toxicity.mine
+    monkeypatch.setattr(toxicity, "SAMPLE", 30)
+    monkeypatch.setattr(toxicity, "mine", lambda training: mined.extend(mine(training)) or mined)
+    toxicity.score(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    truth = {i: y for i, _, y in labels if not held(i, 5, 0)}
+    counts, totals = [Counter(), Counter()], Counter(truth.values())
+    for i, text in rows:
+        if i in truth:
+            words = set(text.split())
+            counts[truth[i]].update(words | {w[:n] + "*" for w in words for n in (4, 5, 6) if len(w) > n})
+    ratio = (totals[0] + 1) / (totals[1] + 1)
+    want = {f for f, n in counts[1].items() if n >= 5 and n / (counts[0][f] + 0.5) * ratio >= 4}
+    assert set(mined) == want and len(mined) == len(want) and {"grubnik", "grubnikly", "grub*"} <= want
+
+
 def test_toxicity_without_labels(spark):
     rows = [(1, "you are an idiot and a loser"), (2, "a calm line of plain words"), (3, None)]
     empty = spark.createDataFrame([], "doc_id long, toxic int")

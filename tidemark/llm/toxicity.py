@@ -8,9 +8,9 @@ training rows hold their label. What two voters share beyond the label is measur
 evidence is divided by the number of voters it effectively repeats. The model's posterior labels of training rows train
 a linear classifier on the mined words and the votes; its logistic output is the score of any text.
 
-Labels come only from rows of the training folds. Lists are mined and the classifier is fitted on about SAMPLE labelled
-training rows, chosen by hash (all, where there are fewer); votes, patterns and the label model cover all texts. Null and empty texts get the score of a text without any feature. Without labels
-or toxic examples the fixed lists alone vote. Repeated rows are scored row by row; a null key is in the fold of the empty
+Labels come only from rows of the training folds. Lists are mined from all labelled training rows; only the linear
+classifier is fitted on about SAMPLE of them, chosen by hash (all, where there are fewer). Votes, patterns and the label
+model cover all texts. Null and empty texts get the score of a text without any feature. Without labels or toxic examples the fixed lists alone vote. Repeated rows are scored row by row; a null key is in the fold of the empty
 text and has no label; empty tables give empty results; no other column is read.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, most_frequent, per_batch, stored
 
-#: Labelled training rows the lists and the classifier are fitted on, about; and features it knows, at most.
+#: Labelled training rows the linear classifier is fitted on, about; and features it knows, at most.
 SAMPLE = 40_000
 FEATURES = 4_000
 #: A mined feature stands in so many toxic training texts, and there so many times as often as in others.
@@ -60,9 +60,12 @@ _PATTERN = re.compile("|".join(PATTERNS))
 _LISTS = {name: frozenset(words.split()) for name, words in LISTS.items()}
 
 
-def features(text: str | None) -> set[str]:
-    """Words of a text in lower case, and beginnings of its longer words (marked by a star)."""
-    words = set(_WORD.findall((text or "").lower()))
+def _words(text: str | None) -> list[str]:
+    return list(dict.fromkeys(_WORD.findall((text or "").lower())))
+
+
+def features(words: list[str]) -> set[str]:
+    """Distinct words, and beginnings of the longer ones (marked by a star)."""
     found = set(words)
     for n in BEGINNINGS:
         found.update(w[:n] + "*" for w in words if len(w) > n)
@@ -189,31 +192,30 @@ def _linear(rows: list[list[int]], dense: np.ndarray, target: np.ndarray, size:
 
 
 def mine(training: DataFrame) -> list[str]:
-    """Features of toxic training texts by how much more often they stand there; ``training``: text, toxic."""
-
-    def of_toxic(batch: pa.RecordBatch) -> dict:
-        found: Counter = Counter()
-        for t in batch.column(0).to_pylist():
-            found.update(features(t))
-        return {"feature": list(found), "n": list(found.values())}
-
-    toxic = per_batch(training.where("toxic = 1").select("text"), of_toxic, "feature string, n long")
-    toxic = toxic.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TEXTS)
-    candidates = [(r["feature"], r["n"]) for r in most_frequent(toxic, "n", 20 * FEATURES).collect()]
-    wanted = frozenset(f for f, _ in candidates)
-
-    def of_clean(batch: pa.RecordBatch) -> dict:
-        found: Counter = Counter()
-        for t in batch.column(0).to_pylist():
-            found.update(features(t) & wanted)
-        return {"feature": list(found), "n": list(found.values())}
-
-    clean = per_batch(training.where("toxic = 0").select("text"), of_clean, "feature string, n long")
-    # One row for each candidate at most.
-    others = {r["feature"]: r["n"] for r in clean.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
-    totals = {r["toxic"]: r["n"] for r in training.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ratio = (totals.get(0, 0) + 1) / (totals.get(1, 0) + 1)
-    lifts = [(n / (others.get(f, 0) + 0.5) * ratio, n, f) for f, n in candidates]
+    """Features of toxic training texts by how much more often they stand there.
+
+    ``training``: words (the distinct words of a text, parted by spaces), toxic.
+    """
+
+    def count(batch: pa.RecordBatch) -> dict:
+        # The feature without a name counts the texts.
+        found: dict[str | None, list[int]] = {None: [0, 0]}
+        for words, toxic in zip(*[c.to_pylist() for c in batch.columns]):
+            for feature in (None, *features(words.split())):
+                found.setdefault(feature, [0, 0])[toxic] += 1
+        clean, toxic = zip(*found.values())
+        return {"feature": list(found), "clean": clean, "toxic": toxic}
+
+    counted = per_batch(training.select("words", F.col("toxic").cast("int")), count, "feature string, clean long, toxic long")
+    counted = stored(counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(
+        (F.col("toxic") >= LEAST_TEXTS) | F.col("feature").isNull()
+    ), "features")
+    texts = counted.where("feature is null").first()
+    if not texts:
+        return []
+    ratio = (texts["clean"] + 1) / (texts["toxic"] + 1)
+    candidates = most_frequent(counted.where("feature is not null"), "toxic", 20 * FEATURES).collect()
+    lifts = [(r["toxic"] / (r["clean"] + 0.5) * ratio, r["toxic"], r["feature"]) for r in candidates]
     good = [(math.log(lift) * n, f) for lift, n, f in lifts if lift >= LEAST_LIFT]
     return [f for _, f in sorted(good, reverse=True)[:FEATURES]]
 
@@ -228,8 +230,14 @@ def score(
     total = known.count()
     share = min(1.0, SAMPLE / total) if total else 0.0
     chosen = known.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000))
-    # About SAMPLE rows of a key and a number, whatever the input: no text has to move to its label.
-    training = docs.join(F.broadcast(chosen), key).select("text", "toxic")
+    kind = docs.schema[key].dataType.simpleString()
+
+    def bag(batch: pa.RecordBatch) -> dict:
+        return {key: batch.column(0), "words": [" ".join(_words(t)) for t in batch.column(1).to_pylist()]}
+
+    bags = docs.where(~F.col("held_out") & F.col(key).isNotNull()).select(key, "text")
+    # Only the distinct words of a text move to its label, once, and by the same join whatever the size.
+    training = per_batch(bags, bag, f"{key} {kind}, words string").join(known.hint("merge"), key)
     mined = tuple(mine(training))
     names = _voters(mined).names
 
@@ -241,7 +249,6 @@ def score(
             "votes": _coded(np.array([m[1] for m in made])),
         }
 
-    kind = docs.schema[key].dataType.simpleString()
     seen = stored(
         per_batch(docs.select(key, "text", "held_out"), look, f"{key} {kind}, held_out boolean, found array<int>, votes long"),
         "votes",
@@ -259,6 +266,7 @@ def score(
     votes = _decoded(np.array([r["votes"] for r in rows]), len(names))
     known_mass = np.array([[r["clean"] for r in rows], [r["toxic"] for r in rows]], float)
     model = LabelModel(len(names)).fit(votes, np.array([r["free"] for r in rows], float), known_mass)
+    # About SAMPLE rows of a key and a number, whatever the input.
     sample = seen.join(F.broadcast(chosen.withColumnRenamed("toxic", "label")), key)
     sample = sample.select(key, "found", "votes", "label").dropDuplicates([key]).collect()
     sample = sorted(sample, key=lambda r: (r[key], r["found"]))
