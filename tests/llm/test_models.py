@@ -121,6 +121,14 @@ def test_lists_are_mined_from_all_labelled_rows(spark, monkeypatch):
     assert set(mined) == want and len(mined) == len(want) and {"grubnik", "grubnikly", "grub*"} <= want
 
 
+def test_telling_words_are_not_crowded_out_by_common_ones(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FEATURES", 1)
+    common = " ".join(f"{a}{b}" for a in "abcdef" for b in "xyzuv")
+    rows = [(f"{common} grub" if k < 5 else common, int(k < 40)) for k in range(100)]
+    training = spark.createDataFrame(rows, "words string, toxic int")
+    assert toxicity.mine(training) == ["grub"]
+
+
 def test_toxicity_without_labels(spark):
     rows = [(1, "you are an idiot and a loser"), (2, "a calm line of plain words"), (3, None)]
     empty = spark.createDataFrame([], "doc_id long, toxic int")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, most_frequent, per_batch, stored
+from tidemark.llm.common import fold, per_batch, stored
 
 #: Labelled training rows the linear classifier is fitted on, about; and features it knows, at most.
 SAMPLE = 40_000
@@ -213,11 +213,11 @@ def mine(training: DataFrame) -> list[str]:
     texts = counted.where("feature is null").first()
     if not texts:
         return []
-    ratio = (texts["clean"] + 1) / (texts["toxic"] + 1)
-    candidates = most_frequent(counted.where("feature is not null"), "toxic", 20 * FEATURES).collect()
-    lifts = [(r["toxic"] / (r["clean"] + 0.5) * ratio, r["toxic"], r["feature"]) for r in candidates]
-    good = [(math.log(lift) * n, f) for lift, n, f in lifts if lift >= LEAST_LIFT]
-    return [f for _, f in sorted(good, reverse=True)[:FEATURES]]
+    lift = F.col("toxic") / (F.col("clean") + 0.5) * F.lit((texts["clean"] + 1) / (texts["toxic"] + 1))
+    good = counted.where(F.col("feature").isNotNull() & (lift >= LEAST_LIFT))
+    # Every feature's lift is known before any is left out.
+    best = good.orderBy((F.log(lift) * F.col("toxic")).desc(), F.col("feature").desc()).limit(FEATURES)
+    return [r["feature"] for r in best.select("feature").collect()]
 
 
 def score(
