@@ -241,6 +241,23 @@ def test_pages(spark):
     assert template.extract(spark.createDataFrame([], schema)).collect() == []
 
 
+@pytest.mark.parametrize(
+    "inside, text",
+    [
+        ("<section id='related-work'><p>Old work</p></section>", "Start\n\nOld work\n\nEnd"),
+        ("<h2 id='search-and-replace'>Search and replace</h2>", "Start\n\nSearch and replace\n\nEnd"),
+        ("<div class='print'>A print</div><figure class='share-price'>Ten</figure>", "Start\n\nA print\n\nTen\n\nEnd"),
+        ("<div class='related'><a href=1>One more</a> <a href=2>Two more</a></div>", "Start\n\nEnd"),
+        ("<p>If <math><mi>x</mi></math> <object>fallback</object></p>", "Start\n\nIf x fallback\n\nEnd"),
+        ("<select><option>gone</option></select><svg><text>gone</text></svg>", "Start\n\nEnd"),
+        ("<p><svg><math><object>", "Start\n\nEnd"),
+    ],
+)
+def test_names_and_odd_elements_keep_the_article(inside, text):
+    made = template.main_text(f"<article><p>Start</p>{inside}<p>End</p></article>", frozenset(), None)
+    assert made == text
+
+
 def test_template_is_one_class_of_the_host(spark):
     rows = [r for r in pages()[0] if 12 <= r[0] < 20]
     counted = template.tokens(spark.createDataFrame(rows, "page_id long, url string, html string"))

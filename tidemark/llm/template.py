@@ -5,7 +5,7 @@ vectors over the host's pages form an equivalence class; the vectors are never g
 pages, its occurrences and a hash folded over (page, count). Classes that stand on enough of the pages and hold more than one
 token are valid and are nested into the host's template, outermost paths first, each below a path that is in it. What is
 not template fills slots. Slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments, known by
-their elements and attributes, are dropped; of the others the article's are the main text, or, where the page marks no
+their elements and attributes, are dropped (inside an article a name must be borne out by a text that is mostly links); of the others the article's are the main text, or, where the page marks no
 article, those of the container that holds most text on the host. Template texts inside the main text are dropped as long
 as they are its smaller part, so pages that copy one another keep their text.
 
@@ -37,7 +37,11 @@ BROADCAST_BYTES = 32 << 20
 
 #: Elements of the markup language by what they mean here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select object audio video canvas".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select".split())
+#: Of these, the ones that take the whole rest of the page where they are not closed.
+ENDLESS = frozenset("script style noscript textarea title iframe".split())
+#: Elements whose ids are made from titles, so that parts of an id say nothing.
+TITLED = frozenset("section h1 h2 h3 h4 h5 h6".split())
 BLOCK = frozenset(
     """address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
     figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre search section summary
@@ -71,12 +75,12 @@ _P_ENDERS = BLOCK - {"body", "html", "head"}
 
 
 class Frame:
-    """An open element: name, path, whether it is dropped, inside an article, inside a link."""
+    """An open element: name, path, whether it is dropped, inside an article, inside a link; number of the named element."""
 
-    __slots__ = ("name", "path", "dropped", "article", "link")
+    __slots__ = ("name", "path", "dropped", "article", "link", "named")
 
-    def __init__(self, name, path, dropped, article, link):
-        self.name, self.path, self.dropped, self.article, self.link = name, path, dropped, article, link
+    def __init__(self, name, path, dropped, article, link, named):
+        self.name, self.path, self.dropped, self.article, self.link, self.named = name, path, dropped, article, link, named
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -84,37 +88,46 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 @lru_cache(maxsize=4096)
-def _kind(name: str, source: str) -> tuple[str, bool, bool]:
-    """Step of the path, whether the element is dropped anywhere, whether only outside of articles."""
+def _kind(name: str, source: str) -> tuple[str, bool, bool, bool]:
+    """Step of the path, whether the element is dropped anywhere, whether only outside of articles, whether by its name."""
     given = _attributes(source) if source.strip(" /") else {}
     classes = given.get("class", "")
-    parts = {p.lower() for p in _PART.findall(f"{classes} {given.get('id', '')}")}
+    own = given.get("id", "")
+    parts = {p.lower() for p in _PART.findall(classes if name in TITLED else f"{classes} {own}")} | {own.lower()}
     dropped = (
         name in DROPPED
         or given.get("role", "") in ROLES
         or "hidden" in given
         or given.get("aria-hidden") == "true"
         or "display:none" in given.get("style", "").replace(" ", "")
-        or (bool(parts & NAMES) and name not in ("html", "body", "article", "main"))
     )
+    named = bool(parts & NAMES) and name not in ("html", "body", "article", "main")
     step = name + "".join("." + re.sub(r"\d+", "#", c) for c in sorted(set(classes.split())))
-    return step, dropped, name == "header" or bool(parts & _OUTER)
+    return step, dropped, name == "header" or bool(parts & _OUTER), named
 
 
 def blocks(html: str | None):
-    """(paths, blocks): how often each element path opens; (path, text, dropped, article, link letters) of each block."""
+    """(paths, blocks): how often each element path opens; (path, text, dropped, article, link letters) of each block.
+
+    Inside an article a name alone drops nothing: its element must hold more letters in links than others.
+    """
     html = html or ""
-    root = Frame("", "", False, False, False)
+    root = Frame("", "", False, False, False, 0)
     stack, paths, out = [root], Counter(), []
     held: list[str] = []
-    linked, at = 0, 0
+    linked, at, named_elements = 0, 0, 0
+    unclosed: set[str] = set()
+    letters: dict[int, list[int]] = defaultdict(lambda: [0, 0])
 
     def flush():
         nonlocal linked
         text = " ".join("".join(held).split())
         if text:
             frame = next((f for f in reversed(stack) if f.name in BLOCK), stack[-1])
-            out.append((frame.path, text, stack[-1].dropped, stack[-1].article, min(linked, len(text))))
+            own = min(linked, len(text))
+            out.append((frame.path, text, stack[-1].dropped, stack[-1].article, own, stack[-1].named))
+            letters[stack[-1].named][0] += len(text)
+            letters[stack[-1].named][1] += own
         held.clear()
         linked = 0
 
@@ -127,7 +140,8 @@ def blocks(html: str | None):
                 linked += len(text)
 
     def drop_to(depth):
-        if any(f.name in BLOCK or f.dropped != stack[depth - 1].dropped for f in stack[depth:]):
+        above = stack[depth - 1]
+        if any(f.name in BLOCK or f.dropped != above.dropped or f.named != above.named for f in stack[depth:]):
             flush()
         del stack[depth:]
 
@@ -155,9 +169,14 @@ def blocks(html: str | None):
                     flush()
             continue
         if name in RAW:
-            if not rest.rstrip().endswith("/"):
+            if not rest.rstrip().endswith("/") and name not in unclosed:
                 close = re.compile(rf"</{name}\s*>", re.I).search(html, at)
-                at = close.end() if close else end
+                if close:
+                    at = close.end()
+                elif name in ENDLESS:
+                    at = end
+                else:
+                    unclosed.add(name)
             continue
         if name == "br":
             held.append("\n")
@@ -173,23 +192,29 @@ def blocks(html: str | None):
                 break
             if stack[depth].name in LIMITS:
                 break
-        step, dropped, outer = _kind(name, rest)
+        step, dropped, outer, by_name = _kind(name, rest)
         above = stack[-1]
         article = above.article or name in ARTICLE
+        named = above.named
+        if by_name and above.article and not named:
+            named_elements += 1
+            named = named_elements
         frame = Frame(
             name,
             f"{above.path}>{step}" if name in BLOCK else above.path,
-            above.dropped or dropped or (outer and not above.article),
+            above.dropped or dropped or ((outer or by_name) and not above.article),
             article,
             above.link or name == "a",
+            named,
         )
-        if name in BLOCK or frame.dropped != above.dropped:
+        if name in BLOCK or frame.dropped != above.dropped or frame.named != above.named:
             flush()
             if name in BLOCK:
                 paths[frame.path] += 1
         stack.append(frame)
     flush()
-    return paths, out
+    menus = {n for n, (all_, own) in letters.items() if n and 2 * own > all_}
+    return paths, [(*b[:2], b[2] or b[5] in menus, *b[3:5]) for b in out]
 
 
 def host(url: str | None) -> str:
