@@ -258,6 +258,22 @@ def test_names_and_odd_elements_keep_the_article(inside, text):
     assert made == text
 
 
+def test_template_decides_without_names(spark):
+    """Menus, adverts and notices in plain divs go by the template alone, also where they are longer than the text."""
+    menu = "<div><span>Home</span><div>World news of the day and the week</div><div>Sport and weather for you</div></div>"
+    notice = "<div>All rights are kept by the house and whoever else may hold some of them</div>"
+    rows = []
+    for n in range(10):
+        wrap = ("<article>{}</article>", "<div><div>{}</div></div>")[n % 2]
+        rows.append((n, f"http://h{n % 2}.example/{n}", wrap.format(f"{menu}<p>{prose(n, 6)}</p><p>{prose(100 + n, 6)}</p>{notice}")))
+    rows += [(20 + n, "http://h0.example/copy", rows[0][2]) for n in range(30)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    made = {r.page_id: r.text for r in template.extract(frame).collect()}
+    for n in range(10):
+        assert made[n] == f"{prose(n, 6)}\n\n{prose(100 + n, 6)}"
+    assert all(made[20 + n] == made[0] for n in range(30))
+
+
 def test_template_is_one_class_of_the_host(spark):
     rows = [r for r in pages()[0] if 12 <= r[0] < 20]
     counted = template.tokens(spark.createDataFrame(rows, "page_id long, url string, html string"))

@@ -6,12 +6,12 @@ pages, its occurrences and a hash folded over (page, count). Classes that stand
 token are valid and are nested into the host's template, outermost paths first, each below a path that is in it. What is
 not template fills slots. Slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments, known by
 their elements and attributes, are dropped (inside an article a name must be borne out by a text that is mostly links); of the others the article's are the main text, or, where the page marks no
-article, those of the container that holds most text on the host. Template texts inside the main text are dropped as long
-as they are its smaller part, so pages that copy one another keep their text.
+article, those of the template's element that holds most slot text on the host. A text of the template is dropped wherever it
+stands. Pages of a host whose whole texts are equal are copies and count once, so pages that copy one another keep their text.
 
-Tokens are counted per batch before the shuffle, so a host with a third of all pages is no hot group; a template holds only
+Tokens are counted per batch before the shuffle, so a host with a third of all pages is no hot group; pages move once, to find copies; a template holds only
 tokens that stand on half of the host's pages, so its size follows the size of a page. Null or empty html, and pages
-without main text, give the empty string. Null or broken urls share the host "". Repeated rows count and are extracted row
+without main text, give the empty string. Null or broken urls share the host "". Repeated rows are copies and are extracted row
 by row; empty tables give empty results; other columns are ignored.
 """
 
@@ -30,8 +30,6 @@ from tidemark.llm.common import per_batch, stored
 
 #: A valid class stands on this share of a host's pages, on so many pages, and has so many tokens.
 SUPPORT, LEAST_PAGES, LEAST_TOKENS = 0.5, 3, 2
-#: Template texts inside the main text go only while they are at most this share of it.
-FURNITURE = 0.2
 #: Templates up to this size are sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -235,21 +233,32 @@ TOKENS = "host string, path string, text_key long, pages long, times long, vecto
 def tokens(pages: DataFrame) -> DataFrame:
     """The tokens of every host with their folded occurrence vectors; ``pages``: page_id, url, html."""
 
+    def whole(batch: pa.RecordBatch) -> dict:
+        """The page's host, and a key of its whole text outside of what is dropped."""
+        names, keys = [], []
+        for url, html in zip(*[c.to_pylist() for c in batch.columns]):
+            _, found = blocks(html)
+            names.append(host(url))
+            keys.append(_key("", "\n\n".join(b[1] for b in found if not b[2])))
+        return {"host": names, "page": keys, "html": batch.column(1)}
+
     def work(batch: pa.RecordBatch) -> dict:
         from xxhash import xxh64_intdigest
 
         sums: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
         sizes: Counter = Counter()
-        for page, url, html in zip(*[c.to_pylist() for c in batch.columns]):
-            name, (paths, found) = host(url), blocks(html)
+        for name, page, html in zip(*[c.to_pylist() for c in batch.columns]):
+            paths, found = blocks(html)
             sizes[name] += 1
             counts: Counter = Counter({(path, None): n for path, n in paths.items()})
             letters: Counter = Counter()
             for path, text, dropped, _, linked in found:
-                counts[path, _key(path, text)] += 1
+                token = path, _key(path, text)
+                counts[token] += 1
                 if not dropped:
                     letters[path, None] += len(text) - 2 * linked
-            mark = f"{page}\n{url}\n"
+                    letters[token] += len(text) - 2 * linked
+            mark = f"{page}\n"
             for token, n in counts.items():
                 own = sums[name, *token]
                 own[0] += 1
@@ -260,7 +269,10 @@ def tokens(pages: DataFrame) -> DataFrame:
         rows = [(*token, *own) for token, own in sums.items()] + [(n, None, None, c, c, 0, 0) for n, c in sizes.items()]
         return dict(zip(("host", "path", "text_key", "pages", "times", "vector", "letters"), zip(*rows)))
 
-    made = per_batch(pages.select("page_id", "url", "html"), work, TOKENS)
+    # Copies of a page say nothing of what its host repeats on different pages: one of them counts.
+    named = per_batch(pages.select("url", "html"), whole, "host string, page long, html string")
+    once = named.groupBy("host", "page").agg(F.min("html").alias("html"))
+    made = per_batch(once, work, TOKENS)
     return made.groupBy("host", "path", "text_key").agg(
         F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.bit_xor("vector").alias("vector"),
         F.sum("letters").alias("letters"),
@@ -289,16 +301,19 @@ def templates(counted: DataFrame) -> DataFrame:
             for t in elements:
                 if t["path"].rpartition(">")[0] in nested:
                     nested.add(t["path"])
+            texts = [t for t in valid if t["text_key"] is not None]
+            # A slot's letters, without those of template texts, are those of the nested element around it.
             mass: Counter = Counter()
-            for c in classes:
-                for t in c["tokens"]:
-                    if t["text_key"] is None and t["letters"] > 0:
-                        # A paragraph's letters are its container's.
-                        mass[t["path"].rpartition(">")[0]] += t["letters"]
+            for t in [*(t for c in classes for t in c["tokens"] if t["text_key"] is None), *texts]:
+                top = t["path"].rpartition(">")[0]
+                while top not in nested:
+                    top = top.rpartition(">")[0]
+                mass[top] += t["letters"] if t["text_key"] is None else -t["letters"]
+            mass = Counter({path: n for path, n in mass.items() if path and n > 0})
             best = max(mass, key=lambda p: (mass[p], p), default=None)
             out["host"].append(name)
             out["element_keys"].append(sorted(_key(p) for p in nested))
-            out["text_keys"].append(sorted({t["text_key"] for t in valid if t["text_key"] is not None and t["path"].rpartition(">")[0] in nested}))
+            out["text_keys"].append(sorted({t["text_key"] for t in texts if t["path"].rpartition(">")[0] in nested}))
             out["main"].append(best)
         return out
 
@@ -308,7 +323,8 @@ def templates(counted: DataFrame) -> DataFrame:
 def main_text(html: str | None, text_keys: frozenset[int], main: str | None) -> str:
     """The main text of a page, given its host's template."""
     _, found = blocks(html)
-    slots = [b for b in found if not b[2]]
+    # What is not template fills slots; names only judge slots.
+    slots = [b for b in found if not b[2] and _key(b[0], b[1]) not in text_keys]
     chosen = [b for b in slots if b[3]]
     if not chosen:
         # No article: the slots in the host's main container, else in the one with most text on this page.
@@ -320,10 +336,6 @@ def main_text(html: str | None, text_keys: frozenset[int], main: str | None) ->
                 mass[path.rpartition(">")[0]] += len(text) - 2 * linked
             top = max(mass, key=lambda p: (mass[p], p), default="")
             chosen = [b for b in slots if inside(b[0], top) and len(b[1]) > 2 * b[4] - 1]
-    fixed = [_key(b[0], b[1]) in text_keys for b in chosen]
-    total = sum(len(b[1]) for b in chosen)
-    if sum(len(b[1]) for b, f in zip(chosen, fixed) if f) <= FURNITURE * total:
-        chosen = [b for b, f in zip(chosen, fixed) if not f]
     return "\n\n".join(b[1] for b in chosen)
 
 
