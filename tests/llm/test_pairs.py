@@ -108,6 +108,13 @@ def test_one_of_each_group_stays(spark):
     assert not {2, 3, 7, 8} & set(ids) and {4, 5, 6, 9, 10, 12, 13} <= set(ids)
 
 
+def test_rows_that_share_a_key_or_have_none_are_compared(spark):
+    base, far, third = prose(21, 50), prose(22, 50), prose(23, 50)
+    rows = [(1, base), (1, base.upper()), (5, third), (5, base), (None, far), (None, far.upper()), (None, far)]
+    kept = [(r.doc_id, r.text.lower()) for r in simhash.kept_documents(documents(spark, rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, base), (5, third), (None, far)], key=repr)
+
+
 def cut_by_brute_force(rows, length=50):
     first = {}
     for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):

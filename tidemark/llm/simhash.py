@@ -135,12 +135,28 @@ def near_duplicates(
 def kept_documents(docs: DataFrame, shingle: int = 3, bits: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, the one with the smallest key.
 
-    Rows that repeat a key and its text are copies, one stays. Documents without a key cannot stand for a
-    group; they are not compared and stay.
+    Of rows that share that key, the one whose text has the least hash stays, and one of its copies. Documents without
+    a key do not give way to those with one: of them, one of each group stays as well.
     """
-    named = docs.where(F.col(key).isNotNull())
-    near = near_duplicates(named, shingle, bits, text, key)
-    keys = near.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    same = fresh(docs, "same")
-    once = named.join(keys, key, "left_semi").withColumn(same, F.xxhash64(text)).dropDuplicates([key, same])
-    return once.select(docs.columns).union(docs.where(F.col(key).isNull()))
+    from tidemark.llm.common import stored
+
+    same, other = fresh(docs, "same"), fresh(docs, "other")
+    # A row is known by its key and text; two hashes of 64 bits name it, so null keys are like any other.
+    names = [F.xxhash64(F.lit(i), F.col(key).isNull(), F.col(key), F.col(text)) for i in (0, 1)]
+    kind = docs.schema[key].dataType.simpleString()
+
+    def work(batch: pa.RecordBatch) -> dict:
+        made = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
+        prints = np.array(made, np.uint64).view(np.int64)
+        return {"key": batch.column(0), "same": batch.column(2), "other": batch.column(3), "fp": prints}
+
+    marked = docs.select(F.col(key), F.col(text), names[0].alias(same), names[1].alias(other))
+    made = stored(per_batch(marked, work, f"key {kind}, same long, other long, fp long"), "fingerprints")
+    keyless = F.col("key").isNull().alias("keyless")
+    prints = made.groupBy("fp", keyless).agg(F.min(F.struct("key", "same", "other")).alias("first"))
+    reached = components(links(prints.select("fp").distinct(), bits)).withColumnRenamed("node", "fp")
+    grouped = prints.join(reached, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component"), "keyless")
+    chosen = grouped.agg(F.min("first").alias("first")).select(F.col("first.same").alias(same), F.col("first.other").alias(other))
+    # Copies are merged per task, before the shuffle by which the join goes too.
+    once = docs.withColumns({same: names[0], other: names[1]}).dropDuplicates([same, other])
+    return once.join(chosen, [same, other], "left_semi").select(docs.columns)
