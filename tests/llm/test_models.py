@@ -185,6 +185,19 @@ def test_mix(spark, chunk):
     assert sum(len((r.text or "").split()) for r in mixed.collect()) == sum(r.taken for r in made)
 
 
+def test_repeated_rows_are_dealt_to_many_chunks(spark, monkeypatch):
+    rows = [(None, "one two three")] * 900 + [(None, f"{k} b c") for k in range(300)]
+    docs = documents(spark, rows).drop("source").selectExpr("*", "'a' as source")
+    largest, fly = [], mixing._fly
+    size = "max(size(units))"
+    monkeypatch.setattr(mixing, "_fly", lambda g, last: largest.append(g.selectExpr(size).first()[0]) or fly(g, last))
+    made = mixing.mix(docs, chunk=20).collect()
+    assert len(made) == len(rows) and largest[0] <= 60
+    assert abs(sum(r.taken for r in made) - made[0].target) <= 6
+    again = mixing.mix(docs.repartition(5), chunk=20).collect()
+    assert sorted(map(repr, made)) == sorted(map(repr, again))
+
+
 def test_mix_of_no_rows(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
 

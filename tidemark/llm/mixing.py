@@ -8,10 +8,10 @@ the key; a chunk leaves at most two open documents, which are dealt anew into fa
 per source is left. What is then open (at most two documents per source) lands on the choice whose words are
 nearest, helped by one exchange within that last chunk.
 
-Deterministic: chunks, their order and every random choice come from hashes of the key and text size, so
-reruns and other partitionings agree. Null texts have size 0 and, like any text without words, are taken 0 words;
-null sources form a source of their own, last in order; a document with a null key keeps its row. Rows equal in
-key and size are ordered at random but alike. Empty tables give empty results; other columns are kept by ``mixed_documents``.
+Deterministic: chunks, their order and every random choice come from hashes of the key, text and text size, so
+reruns and other partitionings agree; repeated rows are numbered, and dealt by their number too. Null texts have size 0 and, like any text without words, are taken 0 words;
+null sources form a source of their own, last in order; a document with a null key keeps its row. Which of the
+rows equal in key and text has which number makes no difference. Empty tables give empty results; other columns are kept by ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import random
 from bisect import bisect_left
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,6 +147,28 @@ def _fly(groups: DataFrame, last: bool) -> DataFrame:
     return per_batch(groups.select("units"), work, "row long, size long, p double")
 
 
+def _numbered(units: DataFrame) -> DataFrame:
+    """``units`` with rows of one source and hash ``h`` told apart by their number in a new ``h``; the first keeps its own.
+
+    They are numbered within each task's rows and then by the counts of the tasks before, so no window holds
+    all of them; which of the equal rows has which number makes no difference.
+    """
+    units = units.withColumn("task", F.shiftright("row", 33))
+    # A third of a table may be one row: its rows are parted by hundreds as well, as the row number is dense in a task.
+    units = units.withColumn("piece", F.floor(F.col("row").bitwiseAND((1 << 33) - 1) / 1000))
+    counted = units.groupBy("source", "h", "task", "piece").agg(F.count(F.lit(1)).alias("n"))
+    several = Window.partitionBy("source", "h").orderBy("task", "piece")
+    before = counted.withColumn("before", F.sum("n").over(several) - F.col("n"))
+    repeated = before.withColumn("most", F.max("before").over(Window.partitionBy("source", "h"))).where("n > 1 or most > 0")
+    local = F.row_number().over(Window.partitionBy("source", "h", "task", "piece").orderBy("row")) - 1
+    met = units.withColumn("local", local).alias("u").join(
+        repeated.alias("b"), F.expr("u.source <=> b.source and u.h = b.h and u.task = b.task and u.piece = b.piece"), "left"
+    )
+    number = F.col("u.local") + F.coalesce("b.before", F.lit(0))
+    own = F.when(number > 0, F.xxhash64("u.h", number)).otherwise(F.col("u.h"))
+    return met.select("u.row", "u.size", "u.p", "u.source", "u.n_docs", own.alias("h"))
+
+
 def mix(
     docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, chunk: int = CHUNK,
     text: str = "text", key: str = "doc_id", source: str = "source",
@@ -164,10 +186,11 @@ def mix(
     )
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     known = known.withColumn("whole", F.floor(times)).withColumn("p", times - F.floor(times))
-    order = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("size"))
+    order = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("size"), F.col("text_hash"))
     units = known.select("row", "size", "p", "source", "n_docs", order.alias("h")).where(
         (F.col("p") > _EPSILON) & (F.col("p") < 1 - _EPSILON) & (F.col("size") > 0)
     )
+    units = stored(_numbered(units), "units")
     decided = None
     levels = max(1, math.ceil(math.log(max(2, most), chunk // 2)))
     for level in range(levels):
