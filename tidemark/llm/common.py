@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,3 +96,32 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str
 
     bounded_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+#: A key with more than one row in ``HOT`` is hot: there are fewer than ``HOT`` such keys, whatever the input.
+HOT = 1_000
+_SALTS = 4_096
+
+
+def looked_up(rows: DataFrame, keys: Sequence[str], found: DataFrame, size: str) -> DataFrame:
+    """``rows`` with the other columns of ``found`` for their keys (null for a key it lacks; null keys are equal).
+
+    ``found`` has one row per key, and in ``size`` how many of ``rows`` have it. The rows of hot keys, fewer than
+    ``HOT``, are sent to every task; all other rows meet theirs by hash, and rows already answered are dealt evenly.
+    """
+    values = [c for c in found.columns if c not in keys and c != size]
+    total = found.agg(F.sum(F.col(size).cast("decimal(38,0)")).alias("n")).first()["n"] or 0
+    hot = F.coalesce(F.col(size), F.lit(0)).cast("decimal(38,0)") * HOT > F.lit(total)
+    names = [f"_looked_{i}" for i in range(len(keys))]
+
+    def side(part: DataFrame, answer: str) -> DataFrame:
+        return part.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.struct(*values).alias(answer))
+
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    first = rows.join(F.broadcast(side(found.where(hot), "_hot")), same, "left").drop(*names)
+    dealt = F.monotonically_increasing_id() % _SALTS + 1
+    first = first.withColumn("_salt", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(dealt).cast("int"))
+    rest = side(found.where(~hot), "_rest").withColumn("_none", F.lit(0))
+    both = first.join(rest, [*same, F.col("_salt") == F.col("_none")], "left")
+    answer = F.coalesce("_hot", "_rest")
+    return both.select(*rows.columns, *[answer.getField(v).alias(v) for v in values])

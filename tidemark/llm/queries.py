@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, gridjoin, lm, mixing, repetition, simhash, suffixes, template, tokencount, toxicity
+from tidemark.llm import (
+    bpe,
+    codes,
+    divergence,
+    gridjoin,
+    hosts,
+    lm,
+    mixing,
+    repetition,
+    simhash,
+    statements,
+    suffixes,
+    template,
+    tokencount,
+    toxicity,
+)
 from tidemark.llm.common import table
 
 
@@ -113,6 +128,29 @@ def template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template.extract(table(spark, sf_dir, "pages"))
 
 
+#: Rules of the url filter: (verdict, host, path), fixed values of its contract.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = hosts.judged(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least=3, top=200)
+
+
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6).drop("label")
+
+
 #: name -> (query, SQL)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_template_text": (template_text, None),
@@ -125,4 +163,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
     "op9_mix_cube": (mix_cube, None),
     "op10_bpe_round_trip": (bpe_round_trip, None),
+    "op11_host_reputation": (host_reputation, statements.host_filter(URL_RULES)),
+    "op12_source_divergence": (source_divergence, statements.source_divergence()),
+    "op13_vector_codes": (vector_codes, statements.vector_codes()),
 }
