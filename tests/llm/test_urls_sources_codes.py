@@ -191,8 +191,11 @@ def source_rows():
     return rows
 
 
-@pytest.mark.parametrize("top", [200, 3])
-def test_audit_equals_brute_force(spark, top):
+@pytest.mark.parametrize("top, few", [(200, True), (3, True), (200, False), (3, False)])
+def test_audit_equals_brute_force(spark, monkeypatch, top, few):
+    if not few:
+        monkeypatch.setattr(divergence, "GROUPS", 0)
+        monkeypatch.setattr(divergence, "PAIRS", 7)
     rows = source_rows()
     schema = "text string, lang string, source string, prefix string, n long, place int"
     df = spark.createDataFrame([(*r, "p", 1, 2) for r in rows], schema).repartition(5)
@@ -207,6 +210,14 @@ def test_audit_of_no_rows_and_of_no_terms(spark):
     assert got == {("en", "", "pair", "x", 0, 1), ("en", "x", "pair", "", 0, 1)}
 
 
+def test_shares_are_exact():
+    rng = random.Random(4)
+    for of in (1, 7, 10**6 + 3, 2**52 + 1):
+        n = [0, of - 1, *(rng.randrange(of) for _ in range(50))]
+        got = divergence.shares_of(np.array(n), np.full(len(n), of))
+        assert got.tolist() == [1 + 10**9 * (x + 1) // of for x in n]
+
+
 @pytest.mark.parametrize("first", [1, 2, 6])
 def test_refinement_keeps_exactly_the_frequent_terms(spark, monkeypatch, first):
     monkeypatch.setattr(divergence, "FIRST_PREFIX", first)

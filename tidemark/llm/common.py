@@ -122,6 +122,8 @@ def looked_up(rows: DataFrame, keys: Sequence[str], found: DataFrame, size: str)
     dealt = F.monotonically_increasing_id() % _SALTS + 1
     first = first.withColumn("_salt", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(dealt).cast("int"))
     rest = side(found.where(~hot), "_rest").withColumn("_none", F.lit(0))
+    if rest.isEmpty():
+        return first.select(*rows.columns, *[F.col("_hot").getField(v).alias(v) for v in values])
     both = first.join(rest, [*same, F.col("_salt") == F.col("_none")], "left")
     answer = F.coalesce("_hot", "_rest")
     return both.select(*rows.columns, *[answer.getField(v).alias(v) for v in values])
