@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -10,7 +10,9 @@ from checks.changes import KEYS, _merged_sql, _side
 from checks.mapping import BATCH, table
 from checks.records import PROCESS_TABLE_EVENTS, process_table_events
 from tidemark.functions.convert import iso_text
-from tidemark.plans.incremental import RunOptions, read_target, run_incremental
+from tidemark.plans.expiry import expire
+from tidemark.plans.incremental import RunOptions, read_target, run_changes, run_incremental, target_diff
+from tidemark.plans.replay import replay_quarantine
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.metrics import TableStats, throughput
@@ -245,6 +247,297 @@ def batch_id_generated(spark, sf_dir):
 BATCH_ID_GENERATED = "SELECT count(*) AS n, count(*) AS named, 1::BIGINT AS ids, 1::BIGINT AS times FROM orders"
 
 
+def segment_rewrite_orders(spark, sf_dir):
+    """The latest order per customer and priority in a bucketed base; then one key changes, and only its bucket is written
+    again. ``segments`` shows that the base then lies in two folders."""
+    orders = table(spark, sf_dir, "orders")
+    latest = dedup_latest(orders, KEYS, ["o_orderdate"], tiebreak=["o_orderkey"])
+    target = KeyedTable(spark, scratch_dir(spark, "keyed"), orders.schema, KEYS, "o_orderdate")
+    base = target.rewrite(None, [target.write_changes(latest, "1")], 16, "1")
+    newest = orders.agg(F.max_by(F.struct(*orders.columns), F.struct("o_orderdate", "o_orderkey")).alias("o")).select("o.*")
+    second = target.write_changes(newest.withColumn("o_totalprice", F.lit(None).cast("double")), "2")
+    segments = target.rewrite(base, [second], 16, "2")
+    return target.read(segments, [], 16).withColumn("segments", F.lit(len(segments)))
+
+
+SEGMENT_REWRITE_ORDERS = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN newest THEN NULL ELSE o_totalprice END AS o_totalprice,
+           o_orderdate, o_orderpriority, 2 AS segments FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn,
+               row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) = 1 AS newest FROM orders)
+    WHERE rn = 1
+"""
+
+
+def ledger_checkpoint_orders(spark, sf_dir):
+    """Orders as results of files, a run a year, with a checkpoint every two runs: the newest result of each outcome."""
+    ledger = Ledger(spark, f"{scratch_dir(spark, 'ledger')}/state", checkpoint_every=2)
+    results = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("year"),
+        F.concat(F.lit("customer/"), F.col("o_custkey")).alias("path"),
+        F.lit("2024-01-01").cast("timestamp").alias("modificationTime"),
+        F.col("o_orderkey").alias("length"),
+        F.when(F.col("o_orderstatus") == "F", "failed").otherwise("ok").alias("status"),
+        F.lit(0).cast("bigint").alias("records"),
+        F.lit(0).cast("bigint").alias("records_failed"),
+        F.lit(None).cast("string").alias("error_type"),
+        F.col("o_orderpriority").alias("error_message"),
+    )
+    results = dedup_latest(results, ["path", "status", "year"], ["length"], ())
+    years = sorted(r["year"] for r in results.select("year").distinct().collect())
+    for version, year in enumerate(years, 1):
+        results.where(F.col("year") == year).drop("year").write.parquet(f"{ledger.files_path}/run_id={year}-run")
+        row = {"last_successful_run": f"{year}-12-31T00:00:00Z", "records_processed": version, "watermark_id": str(year)}
+        ledger.commit({**row, "run_id": f"{year}-run", "version": version, "advances_mark": True})
+    return ledger.files().select("path", "status", "length", "error_message", "run_id")
+
+
+LEDGER_CHECKPOINT_ORDERS = """
+    SELECT 'customer/' || o_custkey AS path, status, o_orderkey AS length, o_orderpriority AS error_message,
+           year(o_orderdate) || '-run' AS run_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey, status ORDER BY year(o_orderdate) DESC, o_orderkey DESC) AS rn
+        FROM (SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'ok' END AS status FROM orders))
+    WHERE rn = 1
+"""
+
+
+def _tracked_days(spark, sf_dir, options=None):
+    """Two days of whole records, states F and P, then O and P again; the later date wins."""
+    root = scratch_dir(spark, "runs")
+    options = options or RunOptions(scope="run", conflict="latest", track_changes=True)
+    rows = _full_records(spark, sf_dir)
+    rows.where("status <> 'O'").write.parquet(f"{root}/raw/day-1")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-1", now=DAY_1)
+    rows.where("status <> 'F'").write.parquet(f"{root}/raw/day-2")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-2", now=DAY_2)
+    return f"{root}/out"
+
+
+def run_change_counts(spark, sf_dir):
+    """What the ledger says each run inserted, updated, found unchanged and found older."""
+    runs = Ledger(spark, f"{_tracked_days(spark, sf_dir)}/state").runs()
+    return runs.select("run_id", "inserted", "updated", "unchanged", "stale", "records_processed")
+
+
+_KINDS_SQL = f"""(SELECT b.*, CASE WHEN a.id IS NULL THEN 'insert' WHEN b.updated_at < a.updated_at THEN 'stale'
+                    WHEN b.updated_at = a.updated_at THEN 'unchanged' ELSE 'update' END AS kind
+    FROM {_latest_sql("status <> 'F'")} b LEFT JOIN {_latest_sql("status <> 'O'")} a ON a.id = b.id)"""
+
+RUN_CHANGE_COUNTS = f"""
+    SELECT 'day-1' AS run_id, count(*) AS inserted, 0::BIGINT AS updated, 0::BIGINT AS unchanged, 0::BIGINT AS stale,
+           count(*) AS records_processed FROM {_latest_sql("status <> 'O'")}
+    UNION ALL
+    SELECT 'day-2', count(*) FILTER (kind = 'insert'), count(*) FILTER (kind = 'update'), count(*) FILTER (kind = 'unchanged'),
+           count(*) FILTER (kind = 'stale'), count(*) FILTER (kind IN ('insert', 'update')) FROM {_KINDS_SQL}
+"""
+
+
+def run_change_log(spark, sf_dir):
+    """The rows of the second day with what each did."""
+    log = run_changes(spark, _tracked_days(spark, sf_dir), "day-2")
+    return log.withColumnRenamed("_change_type", "change_type")
+
+
+RUN_CHANGE_LOG = f"""
+    SELECT * EXCLUDE (kind), TIMESTAMP '2024-06-02 02:00:00' AS _etl_processed_at, 'day-2' AS _etl_batch_id,
+           kind AS change_type FROM {_KINDS_SQL}
+"""
+
+
+def target_as_of_day_1(spark, sf_dir):
+    """The target as it was after the first day, read after the second, whose run has rewritten the base."""
+    options = RunOptions(scope="run", compact_every=1, buckets=8)
+    return read_target(spark, f"{_two_days(spark, sf_dir, options)}/out", as_of="day-1")
+
+
+TARGET_AS_OF_DAY_1 = f"""
+    SELECT *, TIMESTAMP '2024-06-01 02:00:00' AS _etl_processed_at, 'day-1' AS _etl_batch_id
+    FROM {_latest_sql("status <> 'O'")}
+"""
+
+
+def target_diff_days(spark, sf_dir):
+    """What differs between the two versions: all of the second day, with the emails that were kept."""
+    diff = target_diff(spark, f"{_two_days(spark, sf_dir, RunOptions(scope='run'))}/out", 1, 2)
+    return diff.withColumnRenamed("_change_type", "change_type")
+
+
+TARGET_DIFF_DAYS = f"""
+    SELECT b.id, b.name, a.email, b.status, b.updated_at, b.payload, TIMESTAMP '2024-06-02 02:00:00' AS _etl_processed_at,
+           'day-2' AS _etl_batch_id, CASE WHEN a.id IS NULL THEN 'insert' ELSE 'update' END AS change_type
+    FROM {_latest_sql("status = 'O'")} b LEFT JOIN {_latest_sql("status <> 'O'")} a ON a.id = b.id
+"""
+
+
+def run_adds_column(spark, sf_dir):
+    """The second day brings a column the target has not: older rows have NULL there; a further one of another type in
+    each file becomes text."""
+    root, options = scratch_dir(spark, "runs"), RunOptions(scope="run", extra_columns="add", compact_every=2, buckets=4)
+    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("order "), F.col("o_orderkey")).alias("name"), "o_totalprice", "o_orderkey")
+    rows = _full_records(spark, sf_dir).join(orders, "name")
+    rows.where("status <> 'O'").drop("o_totalprice", "o_orderkey").write.parquet(f"{root}/raw/day-1")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-1", now=DAY_1)
+    rows.where("status = 'O'").withColumnRenamed("o_totalprice", "Price").drop("o_orderkey").write.parquet(f"{root}/raw/day-2")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-2", now=DAY_2)
+    return read_target(spark, f"{root}/out")
+
+
+RUN_ADDS_COLUMN = f"""
+    WITH target AS ({RUN_HIGHWATER_RETRY})
+    SELECT t.*, CASE WHEN status = 'O' THEN o_totalprice END AS "Price"
+    FROM target t JOIN orders ON name = 'order ' || o_orderkey
+"""
+
+
+def run_scope_batch(spark, sf_dir):
+    """Two files in a given order, slice by slice: the last slice of the last file that has a key wins, whatever its date."""
+    root, options = scratch_dir(spark, "runs"), RunOptions(scope="batch", batch_size=500)
+    rows = _full_records(spark, sf_dir)
+    parts = []
+    for name, where in (("b", "status <> 'O'"), ("a", "status = 'O'")):
+        rows.where(where).withColumn("o", F.substring("name", 7, 20).cast("long")).repartition(1).sortWithinPartitions(
+            "o"
+        ).drop("o").write.parquet(f"{root}/raw/{name}")
+        parts.append(list_files(spark, f"{root}/raw/{name}", glob="*.parquet").first()["path"])
+    run_incremental(spark, "", f"{root}/out", options, files=parts, run_id="run", now=DAY_1)
+    return read_target(spark, f"{root}/out")
+
+
+RUN_SCOPE_BATCH = f"""
+    SELECT id, name, email, status, updated_at, payload, TIMESTAMP '2024-06-01 02:00:00' AS _etl_processed_at,
+           'run_b' || slice AS _etl_batch_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY file DESC, slice DESC, updated_at DESC) AS rn FROM (
+            SELECT *, status = 'O' AS file, (row_number() OVER (PARTITION BY status = 'O'
+                   ORDER BY CAST(name[7:] AS BIGINT)) - 1) // 500 + 1 AS slice FROM {_RECORDS_SQL}))
+    WHERE rn = 1
+"""
+
+
+def run_latest_partial(spark, sf_dir):
+    """Days of different columns where dates decide: each column is the latest that was supplied."""
+    return read_target(spark, f"{_two_days(spark, sf_dir, RunOptions(scope='run', conflict='latest'))}/out")
+
+
+_BAD_ROWS = {"id": "id % 7 = 3", "updated_at": "id % 7 = 5"}
+
+
+def _bad_deposit(spark, sf_dir, root):
+    """Whole records as text; keys with a fraction where the customer is 3 modulo 7, slashes in dates where it is 5."""
+    rows = _full_records(spark, sf_dir)
+    day = iso_text(F.col("updated_at"))
+    return rows.select(
+        F.when(F.expr(_BAD_ROWS["id"]), F.concat("id", F.lit(".0"))).otherwise(F.col("id").cast("string")).alias("id"),
+        "name", "email", "status",
+        F.when(F.expr(_BAD_ROWS["updated_at"]), F.replace(day, F.lit("-"), F.lit("/"))).otherwise(day).alias("updated_at"),
+        "payload",
+    )
+
+
+def run_quarantine_and_failures(spark, sf_dir):
+    """One run with rows set aside and a broken file, as one relation: rows of the target, of the quarantine, and files."""
+    root = scratch_dir(spark, "runs")
+    _bad_deposit(spark, sf_dir, root).write.parquet(f"{root}/raw/day-1")
+    create_text(spark, f"{root}/raw/broken.parquet", "no parquet at all")
+    totals = run_incremental(spark, f"{root}/raw", f"{root}/out", RunOptions(scope="run"), run_id="day-1", now=DAY_1)
+    bad = spark.read.parquet(f"{root}/out/quarantine/run_id=day-1")
+    target = read_target(spark, f"{root}/out")
+    counted = target.select(F.lit("target").alias("part"), F.col("id").cast("string").alias("item"), F.col("name").alias("detail"))
+    aside = bad.select(F.lit("quarantine"), F.concat_ws(",", "_errors"), "name")
+    failed = spark.read.json(f"{root}/out/failed").select(
+        F.lit("failed"), F.element_at(F.split("original_filename", "/"), -1), "error_type"
+    )
+    counts = spark.range(0, 1, 1, 1).select(
+        F.lit("totals"), F.lit(f"{totals['files_failed']} failed"), F.lit(str(totals["records_failed"]))
+    )
+    return counted.union(aside).union(failed).union(counts)
+
+
+RUN_QUARANTINE_AND_FAILURES = f"""
+    SELECT 'target' AS part, CAST(id AS VARCHAR) AS item, name AS detail FROM {_latest_sql("true")} WHERE id % 7 NOT IN (3, 5)
+    UNION ALL
+    SELECT 'quarantine', CASE id % 7 WHEN 3 THEN 'cast:id' ELSE 'cast:updated_at' END, name FROM {_RECORDS_SQL} WHERE id % 7 IN (3, 5)
+    UNION ALL SELECT 'failed', 'broken.parquet', 'ArrowInvalid'
+    UNION ALL SELECT 'totals', '1 failed', CAST(count(*) AS VARCHAR) FROM {_RECORDS_SQL} WHERE id % 7 IN (3, 5)
+"""
+
+
+def quarantine_replay_orders(spark, sf_dir):
+    """Rows set aside on the first day, mended and replayed twice after the second day: they take the place of their day."""
+    root, options = scratch_dir(spark, "runs"), RunOptions(scope="run")
+    _bad_deposit(spark, sf_dir, root).where("status <> 'O'").write.parquet(f"{root}/raw/day-1")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-1", now=DAY_1)
+    _full_records(spark, sf_dir).where("status = 'O'").write.parquet(f"{root}/raw/day-2")
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-2", now=DAY_2)
+
+    def mend(rows):
+        return rows.withColumns({
+            "id": F.regexp_replace("id", "[.]0$", ""), "updated_at": F.replace("updated_at", F.lit("/"), F.lit("-"))
+        })
+
+    first = replay_quarantine(spark, f"{root}/out", mend, run_id="replay", now=DAY_2)
+    again = replay_quarantine(spark, f"{root}/out", mend, run_id="again", now=DAY_2)
+    rows = read_target(spark, f"{root}/out").drop("_etl_processed_at")
+    return rows.withColumns({"again": F.lit(again["records_processed"]), "left": F.lit(first["records_failed"])})
+
+
+QUARANTINE_REPLAY_ORDERS = f"""
+    SELECT * EXCLUDE (_etl_processed_at), 0 AS again, 0 AS "left" FROM ({RUN_HIGHWATER_RETRY})
+"""
+
+
+def pk_incremental_orders(spark, sf_dir):
+    """Keys of the orders in state O and P that a base of F and P, bucketed by customer and priority, holds already, or
+    that come twice."""
+    orders = table(spark, sf_dir, "orders")
+    target = KeyedTable(spark, scratch_dir(spark, "keyed"), orders.schema, KEYS, "o_orderdate")
+    base = target.rewrite(None, [target.write_changes(_side(spark, sf_dir, "F"), "1")], 8, "1")
+    pending = target.write_changes(_side(spark, sf_dir, "P"), "2")
+    state = {"base": None, "segments": base, "pending": [pending], "buckets": 8}
+    return target.key_conflicts(state, orders.where("o_orderstatus <> 'F'"))
+
+
+PK_INCREMENTAL_ORDERS = """
+    SELECT o_custkey, o_orderpriority, CAST(max(stored) AS BIGINT) AS stored, count(*) AS incoming FROM (
+        SELECT *, CASE WHEN (o_custkey, o_orderpriority) IN (
+            SELECT (o_custkey, o_orderpriority) FROM orders WHERE o_orderstatus <> 'O') THEN 1 ELSE 0 END AS stored
+        FROM orders WHERE o_orderstatus <> 'F')
+    GROUP BY o_custkey, o_orderpriority HAVING max(stored) + count(*) > 1
+"""
+
+
+def run_expired(spark, sf_dir):
+    """The target after two days with a rewrite each, and after all that its last version does not need is gone."""
+    root = _two_days(spark, sf_dir, RunOptions(scope="run", compact_every=1, buckets=4))
+    gone = expire(spark, f"{root}/out", 1, timedelta(0), now=datetime.now(timezone.utc) + timedelta(days=1))
+    return read_target(spark, f"{root}/out").withColumn("gone", F.lit(",".join(sorted(gone))))
+
+
+RUN_EXPIRED = f"""
+    SELECT *, 'state/runs/version-000000000001.json,target/base=day-1,target/changes=day-1' AS gone
+    FROM ({RUN_INCREMENTAL_TWO_DAYS})
+"""
+
+
+def run_throughput_timed(spark, sf_dir):
+    """Rate of runs that take time, from rows of a ledger: one run a priority, which ends as many seconds after its start
+    as the priority's number."""
+    ledger = Ledger(spark, f"{scratch_dir(spark, 'ledger')}/state")
+    loads = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    for version, row in enumerate(loads.orderBy("o_orderpriority").collect(), 1):
+        ledger.commit({
+            "last_successful_run": DAY_1.isoformat(), "records_processed": row["n"], "watermark_id": "w",
+            "run_id": row["o_orderpriority"], "start_time": DAY_1.isoformat(), "version": version, "advances_mark": True,
+            "end_time": (DAY_1 + timedelta(seconds=int(row["o_orderpriority"][0]))).isoformat(),
+        })
+    return throughput(ledger.runs())
+
+
+RUN_THROUGHPUT_TIMED = """
+    SELECT o_orderpriority AS run_id, CAST(o_orderpriority[1] AS DOUBLE) AS latency_seconds,
+           count(*) / CAST(o_orderpriority[1] AS DOUBLE) AS rows_per_second FROM orders GROUP BY o_orderpriority
+"""
+
+
 CHECKS = {
     "run_incremental_two_days": (run_incremental_two_days, RUN_INCREMENTAL_TWO_DAYS),
     "run_incremental_latest_wins": (run_incremental_latest_wins, RUN_INCREMENTAL_LATEST_WINS),
@@ -253,6 +546,20 @@ CHECKS = {
     "run_nothing_new": (run_nothing_new, RUN_INCREMENTAL_TWO_DAYS),
     "run_throughput_ledger": (run_throughput_ledger, RUN_THROUGHPUT_LEDGER),
     "run_scope_file": (run_scope_file, RUN_SCOPE_FILE),
+    "segment_rewrite_orders": (segment_rewrite_orders, SEGMENT_REWRITE_ORDERS),
+    "ledger_checkpoint_orders": (ledger_checkpoint_orders, LEDGER_CHECKPOINT_ORDERS),
+    "run_change_counts": (run_change_counts, RUN_CHANGE_COUNTS),
+    "run_change_log": (run_change_log, RUN_CHANGE_LOG),
+    "target_as_of_day_1": (target_as_of_day_1, TARGET_AS_OF_DAY_1),
+    "target_diff_days": (target_diff_days, TARGET_DIFF_DAYS),
+    "run_adds_column": (run_adds_column, RUN_ADDS_COLUMN),
+    "run_scope_batch": (run_scope_batch, RUN_SCOPE_BATCH),
+    "run_latest_partial": (run_latest_partial, RUN_INCREMENTAL_LATEST_WINS),
+    "run_quarantine_and_failures": (run_quarantine_and_failures, RUN_QUARANTINE_AND_FAILURES),
+    "quarantine_replay_orders": (quarantine_replay_orders, QUARANTINE_REPLAY_ORDERS),
+    "pk_incremental_orders": (pk_incremental_orders, PK_INCREMENTAL_ORDERS),
+    "run_expired": (run_expired, RUN_EXPIRED),
+    "run_throughput_timed": (run_throughput_timed, RUN_THROUGHPUT_TIMED),
     "table_stats_observed": (table_stats_observed, TABLE_STATS_OBSERVED),
     "batch_id_generated": (batch_id_generated, BATCH_ID_GENERATED),
     "processed_roundtrip": (processed_roundtrip, PROCESS_TABLE_EVENTS),

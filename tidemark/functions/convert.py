@@ -88,6 +88,8 @@ def convert(value: Column, have: T.DataType, want: T.DataType, *, unit: str = ""
         if isinstance(have, T.DateType):
             return value.cast(want)
         return F.lit(None).cast(want)
+    if isinstance(have, T.AtomicType) and isinstance(want, T.AtomicType):
+        return value.try_cast(want)
     raise ValueError(f"no conversion to {want.simpleString()}")
 
 

@@ -51,4 +51,13 @@ def dedup_latest(
     if not latest_first:
         return df.distinct()
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*latest_first))
-    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    name = free_name("_rank", df)
+    return df.withColumn(name, rank).where(F.col(name) == 1).drop(name)
+
+
+def free_name(name: str, *tables: DataFrame) -> str:
+    """``name``, or a like one that no table has as a column."""
+    used = {c.lower() for t in tables for c in t.columns}
+    while name in used:
+        name = f"_{name}"
+    return name

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import dedup_latest, recency
+from tidemark.operators.dedup import dedup_latest, free_name, recency
 from tidemark.schema import AUDIT_COLUMNS, DATES, KEY, ORDER, SUPPLIED
 
 CONFLICTS = ("arrival", "latest")
@@ -26,15 +26,22 @@ def upsert(
     row's optional ``_supplied`` array leaves out, keeps its stored value on update
     and is NULL on insert. ``conflict="latest"`` ignores an incoming row that is
     older than the stored one; a NULL date counts as oldest.
+
+    One full outer join decides every column, so neither side is evaluated twice.
     """
-    _check(target, updates, keys, conflict)
-    whole_rows = SUPPLIED not in updates.columns and set(updates.columns) == set(target.columns)
-    if conflict == "arrival" and whole_rows:
-        kept = target.join(updates.select(*keys), list(keys), "left_anti")
-        return kept.select(*target.columns).unionByName(updates.select(*target.columns))
     return merge_rows(target, updates, keys, conflict, order_by)
 
 
+def overlay(target: DataFrame, updates: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
+    """Upsert of whole rows in arrival order: the target without the incoming keys, and the incoming rows.
+
+    Reads ``updates`` twice, so it suits stored ones; Spark can broadcast few keys and then neither moves nor sorts
+    the target.
+    """
+    kept = target.join(updates.select(*keys), list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(updates.select(*target.columns))
+
+
 def merge_rows(
     target: DataFrame,
     updates: DataFrame,
@@ -50,20 +57,38 @@ def merge_rows(
     and any grouping. A column no row has supplied yet is older than any date.
     """
     _check(target, updates, keys, conflict)
-    if conflict == "latest" and order_by not in updates.columns:
-        raise ValueError(f"updates have no column {order_by} to be compared by")
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    u = updates.withColumn("_in_updates", F.lit(True)).alias("u")
-    joined = t.join(u, _same_key(keys), "full_outer")
-    present = F.coalesce(F.col("u._in_updates"), F.lit(False))
-    kind = target.schema[order_by].dataType if order_by in target.columns else None
-    out, dates = [], {}
+    joined, _, taken, dates = _decided(target, updates, keys, conflict, order_by, "full_outer")
+    out = []
     for name in target.columns:
         if name == DATES:
             continue
         if name in keys:
             out.append(F.coalesce(F.col(f"t.{name}"), F.col(f"u.{name}")).alias(name))
             continue
+        fresh = F.col(f"u.{name}") if name in updates.columns else F.lit(None)
+        out.append(F.when(taken[name], fresh).otherwise(F.col(f"t.{name}")).alias(name))
+    if DATES not in target.columns:
+        return joined.select(*out)
+    return joined.select(*out, _own_dates(dates, order_by).alias(DATES))
+
+
+def _decided(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], conflict: str, order_by: str, how: str
+) -> tuple[DataFrame, tuple[str, str], dict[str, Column], dict[str, Column]]:
+    """Both sides joined by key (as ``t`` and ``u``), names of the two flags of presence, and for every column of the
+    target whether the incoming value is taken and, where dates decide, the date it then has."""
+    if conflict == "latest" and order_by not in updates.columns:
+        raise ValueError(f"updates have no column {order_by} to be compared by")
+    in_target, in_updates = free_name("_in_target", target, updates), free_name("_in_updates", target, updates)
+    t = target.withColumn(in_target, F.lit(True)).alias("t")
+    u = updates.withColumn(in_updates, F.lit(True)).alias("u")
+    joined = t.join(u, _same_key(keys), how)
+    present = F.coalesce(F.col(f"u.{in_updates}"), F.lit(False))
+    kind = target.schema[order_by].dataType if order_by in target.columns else None
+    taken, dates = {}, {}
+    for name in target.columns:
+        if name == DATES or name in keys:
+            continue
         given = F.lit(name in updates.columns)
         if name in updates.columns and SUPPLIED in updates.columns:
             given = F.array_contains(F.col(f"u.{SUPPLIED}"), name)
@@ -71,14 +96,36 @@ def merge_rows(
         if conflict == "latest":
             stored = _date_of("t", name, target, order_by)
             incoming = _date_of("u", name, updates, order_by)
-            newer = F.col("t._in_target").isNull() | stored.isNull() | (incoming >= stored)
+            newer = F.col(f"t.{in_target}").isNull() | stored.isNull() | (incoming >= stored)
             take = take & F.coalesce(newer, F.lit(False))
-            dates[name] = F.when(take, incoming).when(F.col("t._in_target"), stored).cast(kind)
-        fresh = F.col(f"u.{name}") if name in updates.columns else F.lit(None)
-        out.append(F.when(take, fresh).otherwise(F.col(f"t.{name}")).alias(name))
-    if DATES not in target.columns:
-        return joined.select(*out)
-    return joined.select(*out, _own_dates(dates, order_by).alias(DATES))
+            dates[name] = F.when(take, incoming).when(F.col(f"t.{in_target}"), stored).cast(kind)
+        taken[name] = take
+    return joined, (in_target, in_updates), taken, dates
+
+
+def classify(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str] = (KEY,),
+    conflict: str = "arrival",
+    order_by: str = ORDER,
+) -> DataFrame:
+    """The rows of ``updates`` (one per key) with what upserting them would do, as ``_change_type``.
+
+    ``insert``: the key is new; ``update``: a column but the audit columns gets another value; ``stale``: dates decide
+    and no column is taken; ``unchanged``: all that is taken is there already.
+    """
+    _check(target, updates, keys, conflict)
+    joined, (in_target, _), taken, _ = _decided(target, updates, keys, conflict, order_by, "right_outer")
+    differs, any_taken = F.lit(False), F.lit(False)
+    for name, take in taken.items():
+        any_taken = any_taken | take
+        if name not in AUDIT_COLUMNS and name in updates.columns:
+            differs = differs | (take & ~F.col(f"t.{name}").eqNullSafe(F.col(f"u.{name}")))
+    kind = F.when(F.col(f"t.{in_target}").isNull(), "insert").when(differs, "update")
+    if conflict == "latest":
+        kind = kind.when(~any_taken, "stale")
+    return joined.select(*[F.col(f"u.{c}") for c in updates.columns], kind.otherwise("unchanged").alias("_change_type"))
 
 
 def _date_of(alias: str, name: str, df: DataFrame, order_by: str) -> Column:
@@ -176,14 +223,15 @@ def change_feed(
         ]
     if not include_untouched:
         target = target.join(updates.select(*keys), list(keys), "left_semi")
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    u = updates.withColumn("_in_updates", F.lit(True)).alias("u")
+    in_target, in_updates = free_name("_in_target", target, updates), free_name("_in_updates", target, updates)
+    t = target.withColumn(in_target, F.lit(True)).alias("t")
+    u = updates.withColumn(in_updates, F.lit(True)).alias("u")
     joined = t.join(u, _same_key(keys), "full_outer" if include_untouched else "right_outer")
     same = F.lit(True)
     for c in compare:
         same = same & F.col(f"t.{c}").eqNullSafe(F.col(f"u.{c}"))
-    kind = F.when(F.col("u._in_updates").isNull(), "untouched").when(
-        F.col("t._in_target").isNull(), "insert"
+    kind = F.when(F.col(f"u.{in_updates}").isNull(), "untouched").when(
+        F.col(f"t.{in_target}").isNull(), "insert"
     )
     if order_by is not None:
         stored, incoming = F.col(f"t.{order_by}"), F.col(f"u.{order_by}")
@@ -193,7 +241,7 @@ def change_feed(
 
     def shown(name: str) -> Column:
         if include_untouched and name in target.columns:
-            return F.when(F.col("u._in_updates").isNull(), F.col(f"t.{name}")).otherwise(
+            return F.when(F.col(f"u.{in_updates}").isNull(), F.col(f"t.{name}")).otherwise(
                 F.col(f"u.{name}")
             )
         return F.col(f"u.{name}")

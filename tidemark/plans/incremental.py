@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -17,7 +18,7 @@ from tidemark.operators.audit import add_audit_columns, utc_now
 from tidemark.operators.metrics import run_totals
 from tidemark.operators.normalize import fill_nulls, normalize
 from tidemark.operators.slices import number_batches
-from tidemark.operators.upsert import CONFLICTS, fold_arrivals
+from tidemark.operators.upsert import CONFLICTS, classify, fold_arrivals
 from tidemark.operators.validate import check_rows, enforce_error_rate
 from tidemark.schema import (
     AUDIT_COLUMNS,
@@ -33,9 +34,10 @@ from tidemark.schema import (
     ROW,
     SEQ,
     SUPPLIED,
+    TARGET_SCHEMA,
 )
 from tidemark.session import empty_table, folder_bytes, remove
-from tidemark.sinks.keyed import KeyedTable
+from tidemark.sinks.keyed import DATABASE, KeyedTable
 from tidemark.sinks.processed import write_processed
 from tidemark.sources.listing import (
     exclude_state,
@@ -45,9 +47,9 @@ from tidemark.sources.listing import (
     newer_than_mark,
     only_parquet,
 )
-from tidemark.sources.parquet import explicit_files, read_footers, read_parquet, signature_schema
+from tidemark.sources.parquet import NANOS, explicit_files, read_footers, read_parquet, signature_schema
 from tidemark.state.deadletter import failed_rows, write_failed_log
-from tidemark.state.ledger import Ledger, mark_row
+from tidemark.state.ledger import CHECKPOINT_EVERY, Head, Ledger, Superseded, mark_row
 
 log = logging.getLogger(__name__)
 
@@ -69,9 +71,16 @@ class RunOptions:
     ``conflict``: ``"arrival"`` lets the later arrival overwrite, ``"latest"`` the later date.
     ``update_mark=False`` changes the target but leaves the files to be picked again.
     ``defaults`` replace NULL in columns a file has; they do not add columns.
-    ``compact_every``: runs between rewrites of the target's base.
+    ``compact_every``: runs between rewrites of the target's base; a rewrite waits, at most three times
+    as long, while the changes are less than ``compact_share`` of the base.
     ``buckets``: of the base from its next rewrite on; by default its size decides.
     ``keep_staging`` keeps the rows as read and checked, which are deleted after the commit.
+    ``track_changes`` compares the upserts with the target: only inserts and updates are stored as
+    changes, and all of them with what they were in the run's change log; the run returns their counts.
+    ``extra_columns``: ``"drop"`` takes no columns but the target's and records the names of the others,
+    ``"add"`` adds them to the target, NULL in all rows so far.
+    ``wave_files``: files whose paths the driver holds, and that are read, at a time.
+    ``database``: where bucketed folders are declared while a read or write of them is planned.
     """
 
     mode: str = "ledger"
@@ -85,12 +94,19 @@ class RunOptions:
     buckets: int | None = None
     processed_root: str | None = None
     keep_staging: bool = False
+    compact_share: float = 0.0
+    track_changes: bool = False
+    extra_columns: str = "drop"
+    wave_files: int = 20_000
+    checkpoint_every: int = CHECKPOINT_EVERY
+    database: str = DATABASE
 
     def __post_init__(self) -> None:
         for value, allowed in (
             (self.mode, MODES),
             (self.scope, SCOPES),
             (self.conflict, CONFLICTS),
+            (self.extra_columns, ("drop", "add")),
         ):
             if value not in allowed:
                 raise ValueError(f"{value!r} is not one of {allowed}")
@@ -113,18 +129,19 @@ def run_incremental(
     others go through as one job. Rows that fail validation are set aside. Nothing
     counts until the ledger row at the end is written; a run that died may be repeated
     under its ``run_id``, one that was committed may not. Returns the run's totals.
-    Of two runs at a time on one ``root``, the second to commit is refused.
+
+    Of two runs at a time on one ``root``, the second to commit finds the other's version. If they have
+    processed different files it publishes what it has written on top of that version; if they share one, it is
+    refused and its files are picked again.
     """
     options = options or RunOptions()
     started = now or utc_now()
-    ledger = Ledger(spark, f"{root}/state")
+    ledger = Ledger(spark, f"{root}/state", options.checkpoint_every)
     if run_id is not None and ledger.has(run_id):
         raise ValueError(f"run {run_id} is committed; its folders must not be written again")
     run_id = run_id or new_batch_id()
-    previous = ledger.latest()
-    kept = previous["conflict"] if previous else None
-    if kept and kept != options.conflict:
-        raise ValueError(f"the target is kept by conflict={kept!r}; a run cannot change that")
+    head = ledger.head()
+    _check_rule(head, options)
     stage = f"{root}/staging/{run_id}"
 
     picked = _pick_files(spark, source, ledger, options, files)
@@ -135,8 +152,11 @@ def run_incremental(
         remove(spark, stage)
         return _no_files(run_id, started)
 
+    state = _pointers(head.run)
+    columns, left_out = _target_columns(footers, state["columns"], options.extra_columns)
+    state["columns"] = columns
     ordered = files is not None and not isinstance(files, DataFrame)
-    rows = _stage_rows(spark, footers, stage, options, ordered)
+    rows = _stage_rows(spark, footers, stage, options, ordered, columns)
     results = _store(_file_results(footers, rows), f"{ledger.files_path}/run_id={run_id}")
     last = F.max_by("path", F.struct(SEQ, "path")).alias("last_file")
     totals = run_totals(results, last).first().asDict()
@@ -149,7 +169,6 @@ def run_incremental(
         if totals["records_failed"]:
             (
                 rows.where(F.size(ERRORS) > 0)
-                .drop(SUPPLIED)
                 .write.mode("overwrite")
                 .parquet(f"{root}/quarantine/run_id={run_id}")
             )
@@ -159,28 +178,31 @@ def run_incremental(
         totals["records_failed"],
         options.max_error_rate,
     )
-    state = _pointers(previous)
+    good = None
     if rows is not None and totals["files_processed"]:
         good = rows.where(F.size(ERRORS) == 0).drop(ERRORS, RAW)
-        state, written = _apply(spark, good, root, state, options, run_id, started)
-    else:
-        written = 0
+    state, counts = _apply(spark, good, root, state, options, run_id, started)
 
     ended = now or utc_now()
-    ledger.commit(
+    _commit(
+        ledger,
+        head,
         {
-            **mark_row(started, totals["last_file"], written),
+            **mark_row(started, totals["last_file"], counts["records_processed"]),
             **state,
+            **counts,
             "run_id": run_id,
             "start_time": started.isoformat(),
             "end_time": ended.isoformat(),
             "files_processed": totals["files_processed"],
             "files_failed": totals["files_failed"],
             "records_failed": totals["records_failed"],
-            "version": (previous["version"] if previous else 0) + 1,
             "advances_mark": options.update_mark,
             "conflict": options.conflict,
-        }
+            "left_out": left_out or None,
+        },
+        KeyedTable(spark, f"{root}/target", target_schema(columns), conflict=options.conflict, database=options.database),
+        results,
     )
     if not options.keep_staging:
         remove(spark, stage)
@@ -188,20 +210,134 @@ def run_incremental(
         "run_id": run_id,
         "files_processed": totals["files_processed"],
         "files_failed": totals["files_failed"],
-        "records_processed": written,
         "records_failed": totals["records_failed"],
+        **counts,
         "start_time": started.isoformat(),
         "end_time": ended.isoformat(),
     }
 
 
-def read_target(spark: SparkSession, root: str) -> DataFrame:
-    """The target as of the newest committed run, by the rule of conflict its runs keep."""
-    run = Ledger(spark, f"{root}/state").latest()
+def _check_rule(head: Head, options: RunOptions) -> None:
+    kept = head.run["conflict"] if head.run else None
+    if kept and kept != options.conflict:
+        raise ValueError(f"the target is kept by conflict={kept!r}; a run cannot change that")
+
+
+def _commit(ledger: Ledger, head: Head, row: dict, table: KeyedTable, results: DataFrame) -> None:
+    """Commit a run that began at ``head``; if others have committed since, on top of what they left.
+
+    Only the run's own folder of changes is published again. A rewrite of the base that it made is dropped, since
+    it does not hold the others' changes; a change log is made anew, since it says what the changes were against.
+    """
+    while True:
+        try:
+            return ledger.commit({**row, "version": head.number + 1})
+        except Superseded:
+            newer = ledger.head()
+            others = ledger.runs().where(F.col("version") > head.number)
+            if not newer.run or newer.number <= head.number:
+                raise
+            _refuse_shared_files(ledger, others, results)
+            if newer.run["conflict"] not in (None, row["conflict"]):
+                raise
+            row = _rebased(row, _pointers(newer.run), table, newer.number + 1)
+            head = newer
+
+
+def _refuse_shared_files(ledger: Ledger, others: DataFrame, results: DataFrame) -> None:
+    ids = [r["run_id"] for r in others.select("run_id").collect()]
+    theirs = ledger.files_of(ids)
+    shared = results.join(theirs.where("status = 'ok'"), ["path", "modificationTime"], "left_semi")
+    if not shared.where("status = 'ok'").isEmpty():
+        raise Superseded("another run has committed some of these files; repeat this one")
+
+
+def _rebased(row: dict, state: dict, table: KeyedTable, version: int) -> dict:
+    """The run's row on top of a newer state."""
+    mine = StructType.fromJson(json.loads(row["columns"])) if row["columns"] else StructType()
+    theirs = StructType.fromJson(json.loads(state["columns"])) if state["columns"] else StructType()
+    known = {f.name.lower(): f for f in theirs}
+    if any(f.name.lower() in known and known[f.name.lower()].dataType != f.dataType for f in mine):
+        raise Superseded("another run has added a column of this name with another type; repeat this one")
+    columns = StructType([*theirs.fields, *[f for f in mine if f.name.lower() not in known]])
+    out = {**row, **state, "columns": json.dumps(columns.jsonValue()) if columns.fields else None}
+    if row["change_log"]:
+        updates = table.spark.read.parquet(f"{table.root}/{row['change_log']}").drop("_change_type")
+        out |= _tracked(table, state, updates, f"{row['run_id']}-{version}")
+    return {**out, "pending": [*state["pending"], *([out["changes"]] if out["changes"] else [])]}
+
+
+def target_schema(columns: str | None) -> StructType:
+    """The target's schema with the columns a ledger has recorded as added."""
+    added = StructType.fromJson(json.loads(columns)).fields if columns else []
+    return StructType([*TARGET_SCHEMA.fields, *added])
+
+
+def _table_at(spark: SparkSession, root: str, run, database: str) -> tuple[KeyedTable, dict]:
     state = _pointers(run)
     conflict = (run["conflict"] if run else None) or "arrival"
-    table = KeyedTable(spark, f"{root}/target", conflict=conflict)
-    return table.read(state["base"], state["pending"], state["buckets"])
+    schema = target_schema(state["columns"])
+    return KeyedTable(spark, f"{root}/target", schema, conflict=conflict, database=database), state
+
+
+def read_target(
+    spark: SparkSession, root: str, as_of: int | str | datetime | None = None, database: str = DATABASE
+) -> DataFrame:
+    """The target by the rule of conflict its runs keep: as of the newest committed run, or of an earlier one.
+
+    ``as_of`` is a version, a run's id, or a time, of which the last run that had ended by then counts. Folders are
+    written once, so an earlier table is what it was, unless it has expired.
+    """
+    ledger = Ledger(spark, f"{root}/state")
+    run = ledger.latest() if as_of is None else ledger.as_of(as_of)
+    table, state = _table_at(spark, root, run, database)
+    return table.read(state["segments"] or state["base"], state["pending"], state["buckets"])
+
+
+def run_changes(spark: SparkSession, root: str, run: int | str, database: str = DATABASE) -> DataFrame:
+    """The upserts of one run with what each did (``_change_type``): from its change log, or else by comparing them
+    with the table as it was before."""
+    ledger = Ledger(spark, f"{root}/state")
+    row = ledger.as_of(run)
+    if row["change_log"]:
+        return spark.read.parquet(f"{root}/target/{row['change_log']}").drop(SUPPLIED, DATES)
+    table, _ = _table_at(spark, root, row, database)
+    if not row["changes"]:
+        return empty_table(spark, table.schema.add("_change_type", "string"))
+    _, before = _table_at(spark, root, ledger.before(row["version"]), database)
+    updates = spark.read.parquet(f"{root}/target/{row['changes']}")
+    return table.classified(before, updates).drop(SUPPLIED, DATES)
+
+
+def target_diff(
+    spark: SparkSession,
+    root: str,
+    before: int | str | datetime,
+    after: int | str | datetime | None = None,
+    database: str = DATABASE,
+) -> DataFrame:
+    """Rows that differ between two versions of the target: ``insert`` or ``update`` and the later values.
+
+    Only keys that the runs between have changed are compared; the base is reduced to them bucket by bucket. Rows are
+    never deleted. Audit columns do not make a difference by themselves.
+    """
+    ledger = Ledger(spark, f"{root}/state")
+    first = ledger.as_of(before)
+    last = ledger.latest() if after is None else ledger.as_of(after)
+    table, now = _table_at(spark, root, last, database)
+    between = ledger.runs().where(
+        (F.col("version") > first["version"]) & (F.col("version") <= last["version"]) & F.col("changes").isNotNull()
+    )
+    folders = [f"{root}/target/{r['changes']}" for r in between.select("changes").collect()]
+    if not folders:
+        return empty_table(spark, table.schema.add("_change_type", "string"))
+    keys = reduce(lambda a, b: a.union(b), [spark.read.parquet(f).select(KEY) for f in folders]).distinct()
+    old_table, old = _table_at(spark, root, first, database)
+    new_rows = table.read(now["segments"] or now["base"], now["pending"], now["buckets"], keys)
+    old_rows = old_table.read(old["segments"] or old["base"], old["pending"], old["buckets"], keys)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in table.schema if f.name not in old_rows.columns}
+    kinds = classify(old_rows.withColumns(missing), new_rows)
+    return kinds.where(F.col("_change_type").isin("insert", "update"))
 
 
 def _no_files(run_id: str, started: datetime) -> dict:
@@ -218,8 +354,44 @@ def _no_files(run_id: str, started: datetime) -> dict:
 
 def _pointers(run) -> dict:
     if run is None:
-        return {"base": None, "pending": [], "buckets": None}
-    return {"base": run["base"], "pending": list(run["pending"] or []), "buckets": run["buckets"]}
+        return {"base": None, "pending": [], "buckets": None, "segments": None, "columns": None}
+    return {
+        "base": run["base"],
+        "pending": list(run["pending"] or []),
+        "buckets": run["buckets"],
+        "segments": [{"folder": s["folder"], "buckets": s["buckets"]} for s in run["segments"] or []] or None,
+        "columns": run["columns"],
+    }
+
+
+def _target_columns(footers: DataFrame, columns: str | None, extra: str) -> tuple[str | None, dict[str, int]]:
+    """The columns added to the target, these files' included if wanted; and the names of columns that are left
+    out, with the number of files that have them.
+
+    A new column has the type its files agree on, or else is text. Names that begin with an underscore, nested
+    types and nanosecond times are not taken.
+    """
+    known = target_schema(columns)
+    found = footers.where("error_type IS NULL AND others IS NOT NULL").select(
+        F.explode(F.from_json("others", "map<string,string>")).alias("name", "type")
+    )
+    new = (
+        found.groupBy(F.lower("name").alias("lower"))
+        .agg(F.min("name").alias("name"), F.collect_set("type").alias("types"), F.count(F.lit(1)).alias("files"))
+        .collect()
+    )
+    have, added, left_out = {f.name.lower() for f in known}, [], {}
+    for row in sorted(new, key=lambda r: r["lower"]):
+        if row["lower"] in have and row["lower"] not in {f.name.lower() for f in TARGET_SCHEMA}:
+            continue
+        usable = all(t and t != NANOS for t in row["types"]) and not row["name"].startswith("_")
+        if extra == "add" and usable and row["lower"] not in have:
+            kind = row["types"][0] if len(row["types"]) == 1 else "string"
+            added.append(StructType.fromDDL(f"`{row['name']}` {kind}").fields[0])
+        else:
+            left_out[row["name"]] = row["files"]
+    fields = [*known.fields[len(TARGET_SCHEMA.fields) :], *added]
+    return (json.dumps(StructType(fields).jsonValue()) if fields else None), left_out
 
 
 def _store(df: DataFrame, path: str) -> DataFrame:
@@ -251,45 +423,67 @@ def _pick_files(
 
 
 def _stage_rows(
-    spark: SparkSession, footers: DataFrame, stage: str, options: RunOptions, ordered: bool
+    spark: SparkSession, footers: DataFrame, stage: str, options: RunOptions, ordered: bool, columns: str | None
 ) -> DataFrame | None:
     """Read every usable file once, normalise and check its rows, and store them.
 
-    Files are read in groups of equal column types; there are as many groups as there
-    are distinct type combinations of the expected columns. The stored rows give the
-    row count of each file, which no separate count can: counting without a column
+    Files go in waves, so the driver holds the paths of one wave. In a wave they are read in groups of equal column
+    types; there are as many groups as there are distinct type combinations of the expected columns. The stored rows
+    give the row count of each file, which no separate count can: counting without a column
     never touches its damaged pages. They also keep later steps from reading a source
     that may change meanwhile.
     """
-    usable = footers.where("error_type IS NULL")
-    members: dict[str, list[str]] = {}
-    for row in usable.select("signature", "path").collect():
-        members.setdefault(row["signature"], []).append(row["path"])
-    groups, supplies = [], set()
-    for signature, paths in sorted(members.items()):
-        schema, units = signature_schema(signature)
-        raw = read_parquet(spark, paths, schema, skip_damaged=True)
-        part = normalize(raw, on_error="quarantine", units=units)
-        present = [c for c in RAW_SCHEMA.fieldNames() if c in schema.fieldNames()]
-        supplies.add(tuple(present))
-        absent = {
-            f.name: F.lit(None).cast(f.dataType) for f in RAW_SCHEMA if f.name not in present
-        }
-        supplied = {SUPPLIED: F.array(*[F.lit(c) for c in present])}
-        groups.append(part.withColumns({**absent, **supplied}))
-    if not groups:
+    usable = footers.where("error_type IS NULL").select("signature", "others", "path")
+    schema = StructType([*RAW_SCHEMA.fields, *target_schema(columns).fields[len(TARGET_SCHEMA.fields) :]])
+    files, parts = usable.count(), []
+    if not files:
         return None
-    rows = reduce(lambda a, b: a.unionByName(b), groups)
-    if supplies == {tuple(RAW_SCHEMA.fieldNames())}:
-        rows = rows.drop(SUPPLIED)
-    rows = check_rows(fill_nulls(rows, options.defaults))
-    rows = number_batches(rows, options.batch_size)
-    if ordered:
-        order = usable.select(F.col("path").alias(PATH), SEQ)
-        rows = rows.join(order, PATH)
-    else:
-        rows = rows.withColumn(SEQ, F.lit(0).cast("bigint"))
-    return _store(rows, f"{stage}/rows")
+    waves = -(-files // options.wave_files)
+    # Which wave a file is in does not matter to the result, so waves are dealt by a hash of the path.
+    wave = F.pmod(F.xxhash64("path"), F.lit(waves))
+    whole = True
+    for n in range(waves):
+        members: dict[tuple, list[str]] = {}
+        for row in usable.where(wave == n).collect():
+            members.setdefault((row["signature"], row["others"]), []).append(row["path"])
+        if not members:
+            continue
+        groups: dict[tuple, list] = {}
+        for (signature, others), paths in sorted(members.items(), key=lambda m: (m[0][0], m[0][1] or "")):
+            known = {f.name.lower() for f in schema}
+            extra = {k: v for k, v in json.loads(others or "{}").items() if k.lower() in known}
+            read = json.dumps({**json.loads(signature), **extra})
+            groups.setdefault((read, tuple(sorted(extra))), []).extend(paths)
+        parts.append(f"{stage}/rows/wave={n}")
+        rows = [_normalized(spark, paths, read, schema) for (read, _), paths in groups.items()]
+        whole = whole and all(supplied == tuple(schema.fieldNames()) for _, supplied in rows)
+        together = reduce(lambda a, b: a.unionByName(b), [part for part, _ in rows])
+        together = check_rows(fill_nulls(together, options.defaults))
+        together = number_batches(together, options.batch_size)
+        if ordered:
+            order = footers.select(F.col("path").alias(PATH), SEQ)
+            together = together.join(order, PATH)
+        else:
+            together = together.withColumn(SEQ, F.lit(0).cast("bigint"))
+        together.write.mode("overwrite").parquet(parts[-1])
+        kept = together.schema
+    staged = spark.read.schema(kept).parquet(*parts)
+    return staged.drop(SUPPLIED) if whole else staged
+
+
+def _normalized(
+    spark: SparkSession, paths: Sequence[str], signature: str, schema: StructType
+) -> tuple[DataFrame, tuple[str, ...]]:
+    """The rows of files of one signature in the columns of ``schema``, and which of them they supply."""
+    have, units = signature_schema(signature)
+    raw = read_parquet(spark, paths, have, skip_damaged=True)
+    spelled = {f.name.lower(): f.name for f in schema}
+    raw = raw.withColumnsRenamed({n: spelled[n.lower()] for n in have.fieldNames()})
+    part = normalize(raw, schema, on_error="quarantine", units=units)
+    present = tuple(f.name for f in schema if f.name.lower() in {n.lower() for n in have.fieldNames()})
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in present}
+    supplied = {SUPPLIED: F.array(*[F.lit(c) for c in present])}
+    return part.withColumns({**absent, **supplied}), present
 
 
 def _file_results(footers: DataFrame, rows: DataFrame | None) -> DataFrame:
@@ -344,15 +538,21 @@ def arrival_order(scope: str, conflict: str) -> list[str]:
 
 def _apply(
     spark: SparkSession,
-    good: DataFrame,
+    good: DataFrame | None,
     root: str,
     state: dict,
     options: RunOptions,
     run_id: str,
     started: datetime,
-) -> tuple[dict, int]:
-    """Fold the rows to one per key, store them, and compact when it is due."""
-    table = KeyedTable(spark, f"{root}/target", conflict=options.conflict)
+) -> tuple[dict, dict]:
+    """Fold the rows to one per key, store them, and compact when it is due.
+
+    Returns what the run's ledger row says of the target, and the counts of its changes.
+    """
+    if good is None:
+        return {**state, "changes": None, "change_log": None}, {"records_processed": 0}
+    schema = target_schema(state["columns"])
+    table = KeyedTable(spark, f"{root}/target", schema, conflict=options.conflict, database=options.database)
     batch = slice_batch_id(run_id, F.col(BATCH)) if options.scope == "batch" else run_id
     rows = add_audit_columns(good, batch, started)
     partial = SUPPLIED in rows.columns
@@ -363,18 +563,59 @@ def _apply(
     updates = fold_arrivals(
         rows, [KEY], arrival_order(options.scope, options.conflict), table.schema.fieldNames(), dated
     )
-    counted = Observation()
-    changes = table.write_changes(updates.observe(counted, F.count(F.lit(1)).alias("n")), run_id)
-    written = counted.get["n"]
-    if options.processed_root and written:
-        stored = spark.read.parquet(f"{table.root}/{changes}").drop(SUPPLIED, DATES)
+    if options.track_changes:
+        made = _tracked(table, state, updates, run_id)
+        counts = {k: made.pop(k) for k in ("records_processed", "inserted", "updated", "unchanged", "stale")}
+    else:
+        counted = Observation()
+        changes = table.write_changes(updates.observe(counted, F.count(F.lit(1)).alias("n")), run_id)
+        made, counts = {"changes": changes, "change_log": None}, {"records_processed": counted.get["n"]}
+    if options.processed_root and counts["records_processed"]:
+        stored = spark.read.parquet(f"{table.root}/{made['changes']}").drop(SUPPLIED, DATES)
         write_processed(stored, options.processed_root, started.date(), run_id)
 
-    pending = [*state["pending"], changes]
-    if len(pending) < options.compact_every:
-        return {**state, "pending": pending}, written
-    folders = [f"{table.root}/{name}" for name in [*pending, *([state["base"]] if state["base"] else [])]]
+    pending = [*state["pending"], *([made["changes"]] if made["changes"] else [])]
+    base = state["segments"] or state["base"]
+    if not pending or not _rewrite_due(spark, table, base, pending, options):
+        return {**state, **made, "pending": pending}, counts
+    folders = [f"{table.root}/{name}" for name in [*pending, *_folders(base)]]
     size = sum(folder_bytes(spark, folder) for folder in folders)
     buckets = options.buckets or bucket_count(size, state["buckets"])
-    base = table.rewrite(state["base"], pending, buckets, run_id, state["buckets"])
-    return {"base": base, "pending": [], "buckets": buckets}, written
+    segments = table.rewrite(base, pending, buckets, run_id, state["buckets"])
+    rewritten = {"base": segments[-1]["folder"], "segments": segments, "pending": [], "buckets": buckets}
+    return {**state, **made, **rewritten}, counts
+
+
+def _folders(base) -> list[str]:
+    return [] if base is None else [base] if isinstance(base, str) else [s["folder"] for s in base]
+
+
+def _rewrite_due(spark: SparkSession, table: KeyedTable, base, pending: list[str], options: RunOptions) -> bool:
+    if len(pending) < options.compact_every:
+        return False
+    if base is None or not options.compact_share or len(pending) >= 3 * options.compact_every:
+        return True
+    changed = sum(folder_bytes(spark, f"{table.root}/{name}") for name in pending)
+    kept = sum(folder_bytes(spark, f"{table.root}/{name}") for name in _folders(base))
+    return changed >= options.compact_share * kept
+
+
+def _tracked(table: KeyedTable, state: dict, updates: DataFrame, name: str) -> dict:
+    """Write the upserts with what each does into the run's change log, and those that change something as its changes."""
+    path = f"{table.root}/log={name}"
+    logged = _store(table.classified(state, updates), path)
+    counts = {r["_change_type"]: r["count"] for r in logged.groupBy("_change_type").count().collect()}
+    inserted, updated = counts.get("insert", 0), counts.get("update", 0)
+    changes = None
+    if inserted or updated:
+        kept = logged.where(F.col("_change_type").isin("insert", "update")).drop("_change_type")
+        changes = table.write_changes(kept, name)
+    return {
+        "changes": changes,
+        "change_log": f"log={name}",
+        "records_processed": inserted + updated,
+        "inserted": inserted,
+        "updated": updated,
+        "unchanged": counts.get("unchanged", 0),
+        "stale": counts.get("stale", 0),
+    }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -102,6 +103,73 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+#: Stores whose files appear whole, when they are closed, and whose renames are copies.
+OBJECT_STORES = ("s3a", "s3", "gs", "oss", "cosn")
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file so that it appears whole or not at all; whether it was not there yet.
+
+    The text goes to a file beside it first, which then takes the name unless that is taken: by a link on a local disk,
+    by a rename that refuses an existing target elsewhere. Object stores show no file before it is closed
+    (where they offer it, conditional writes must be on).
+    """
+    filesystem, hadoop = _filesystem(spark, path)
+    scheme = filesystem.getUri().getScheme()
+    if scheme in OBJECT_STORES:
+        return create_text(spark, path, text)
+    aside = f"{os.path.dirname(path)}/_{uuid.uuid4().hex}.tmp"
+    if scheme == "file":
+        here, there = (filesystem.pathToFile(_filesystem(spark, p)[1]).getPath() for p in (aside, path))
+        os.makedirs(os.path.dirname(here), exist_ok=True)
+        with open(here, "w", encoding="utf-8") as out:
+            out.write(text)
+            out.flush()
+            os.fsync(out.fileno())
+        try:
+            os.link(here, there)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(here)
+        return True
+    create_text(spark, aside, text)
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    context = fs.FileContext.getFileContext(filesystem.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(_filesystem(spark, aside)[1], hadoop, _no_options(spark))
+    except Py4JJavaError as error:
+        filesystem.delete(_filesystem(spark, aside)[1], False)
+        if error.java_exception.getClass().getName() == fs.FileAlreadyExistsException._fqn:
+            return False
+        raise
+    return True
+
+
+def _no_options(spark: SparkSession):
+    """An empty array of rename options: an existing target is refused."""
+    option = spark.sparkContext._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+    return spark.sparkContext._jvm.java.lang.reflect.Array.newInstance(option, 0)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    filesystem, hadoop = _filesystem(spark, path)
+    source = filesystem.open(hadoop)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8", "replace")
+    finally:
+        source.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names directly in a folder, with their modification times in milliseconds; nothing if it is missing."""
+    filesystem, hadoop = _filesystem(spark, path)
+    if not filesystem.exists(hadoop):
+        return []
+    return [(f.getPath().getName(), f.getModificationTime()) for f in filesystem.listStatus(hadoop)]
+
+
 def replace_file(spark: SparkSession, path: str, target: str) -> None:
     """Move one file onto another's place."""
     filesystem, to = _filesystem(spark, target)

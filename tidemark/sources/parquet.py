@@ -22,6 +22,8 @@ _CHECKED = T.StructType(
         T.StructField("length", T.LongType()),
         T.StructField(SEQ, T.LongType()),
         T.StructField("signature", T.StringType()),
+        # Columns beyond the expected ones, in the same form; an empty type is one Spark cannot cast from.
+        T.StructField("others", T.StringType()),
         T.StructField("num_rows", T.LongType()),
         T.StructField("error_type", T.StringType()),
         T.StructField("error_message", T.StringType()),
@@ -128,6 +130,7 @@ def _footer_check(expected: Sequence[str], required: Sequence[str]):
         """Signature and row count of one file, or why it cannot be used. Reads the footer only."""
         import pyarrow.parquet as pq
 
+        inner = path
         try:
             filesystem, inner = locate(path)
             info = filesystem.get_file_info(inner)
@@ -152,8 +155,11 @@ def _footer_check(expected: Sequence[str], required: Sequence[str]):
             missing = [name for name in required if name not in found]
             if missing:
                 raise ValueError(f"missing columns {missing}")
+            known = {name.lower() for name in expected}
+            others = {n: k for n, k in fields.items() if n.lower() not in known}
             return {
                 "signature": json.dumps(found),
+                "others": json.dumps(others) if others else None,
                 "num_rows": meta.num_rows,
                 "length": info.size,
                 # Milliseconds, the precision file listings have.
@@ -161,11 +167,14 @@ def _footer_check(expected: Sequence[str], required: Sequence[str]):
             }
         except (FileNotFoundError, ValueError, NotImplementedError) as error:
             return {"error_type": type(error).__name__, "error_message": str(error)}
+        except (PermissionError, TimeoutError, ConnectionError):
+            raise
         except OSError as error:
             # A footer that does not decode is a damaged file. Whatever else storage says
             # (credentials, throttling, time-outs) is no fault of the file: the task fails
-            # and Spark repeats it.
-            if not any(word in str(error).lower() for word in ("thrift", "corrupt", "magic", "footer")):
+            # and Spark repeats it. What the message says of the path says nothing of the error.
+            said = str(error).replace(path, "").replace(inner, "").replace(inner.lstrip("/"), "").lower()
+            if not any(word in said for word in ("thrift", "corrupt", "magic", "footer")):
                 raise
             return {"error_type": type(error).__name__, "error_message": str(error)}
 
