@@ -49,15 +49,24 @@ def test_a_published_file_is_whole_and_never_replaced(spark, folder):
 
     path = f"{folder}/new/x.json"
     assert publish_text(spark, path, "é1") and not publish_text(spark, path, "2")
-    assert read_text(spark, path) == "é1" and [n for n, _ in list_names(spark, f"{folder}/new")] == ["x.json"]
+    assert read_text(spark, path) == "é1" and list_names(spark, f"{folder}/new") == ["x.json"]
     assert list_names(spark, f"{folder}/nowhere") == []
 
 
 def test_a_thousand_runs_are_read_from_two_files(spark, folder, monkeypatch):
-    ledger = Ledger(spark, f"{folder}/state", checkpoint_every=250)
-    for i in range(1, 1001):
+    """990 of them as files of one row each, as they were written before checkpoints."""
+    os.makedirs(f"{folder}/state/runs")
+
+    def row(i):
         at = f"2025-01-01T00:00:00.{i:06d}+00:00"
-        ledger.commit({"version": i, "run_id": f"r{i}", "last_successful_run": at, "watermark_id": "w", "advances_mark": i % 2 == 1})
+        return {"version": i, "run_id": f"r{i}", "last_successful_run": at, "watermark_id": "w", "advances_mark": i % 2 == 1}
+
+    for i in range(1, 991):
+        with open(f"{folder}/state/runs/version-{i:012d}.json", "w") as f:
+            f.write(json.dumps(row(i)) + "\n")
+    ledger = Ledger(spark, f"{folder}/state", checkpoint_every=4)
+    for i in range(991, 1001):
+        ledger.commit(row(i))
     opened = []
     read = ledgers.read_text
     monkeypatch.setattr(ledgers, "read_text", lambda spark, path: opened.append(path) or read(spark, path))

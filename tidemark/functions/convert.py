@@ -62,10 +62,13 @@ def parse_mark_time(value: Column) -> Column:
 _NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def convert(value: Column, have: T.DataType, want: T.DataType, *, unit: str = "") -> Column:
+def convert(
+    value: Column, have: T.DataType, want: T.DataType, *, unit: str = "", any_type: bool = False
+) -> Column:
     """``value`` of type ``have`` as ``want``; NULL where that is impossible.
 
-    ``unit="ns"`` marks an integer column that holds nanosecond timestamps.
+    ``unit="ns"`` marks an integer column that holds nanosecond timestamps. ``any_type`` allows types beyond those of
+    the record model, by Spark's own rules.
     """
     if unit == "ns" and isinstance(have, T.LongType):
         value = micros_to_ntz(_floor_div(value, 1000))
@@ -88,7 +91,7 @@ def convert(value: Column, have: T.DataType, want: T.DataType, *, unit: str = ""
         if isinstance(have, T.DateType):
             return value.cast(want)
         return F.lit(None).cast(want)
-    if isinstance(have, T.AtomicType) and isinstance(want, T.AtomicType):
+    if any_type and isinstance(have, T.AtomicType) and isinstance(want, T.AtomicType):
         return value.try_cast(want)
     raise ValueError(f"no conversion to {want.simpleString()}")
 

@@ -26,7 +26,11 @@ def _conversions(
     have = {f.name: f.dataType for f in df.schema}
     return {
         f.name: convert(
-            F.col(f"`{f.name}`"), have[f.name], f.dataType, unit=units.get(f.name, "")
+            F.col(f"`{f.name}`"),
+            have[f.name],
+            f.dataType,
+            unit=units.get(f.name, ""),
+            any_type=f.name not in RAW_SCHEMA.fieldNames(),
         )
         for f in schema
         if f.name in have

@@ -107,7 +107,7 @@ def expire(
         remove(spark, f"{root}/{row['area']}/{row['folder']}")
         gone.append(f"{row['area']}/{row['folder']}")
     if ledger.complete(head):
-        for name, _ in list_names(spark, ledger.runs_path):
+        for name in list_names(spark, ledger.runs_path):
             number = name.removeprefix("version-").removesuffix(".json")
             if number.isdigit() and int(number) < oldest:
                 remove(spark, f"{ledger.runs_path}/{name}")

@@ -162,12 +162,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         source.close()
 
 
-def list_names(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """Names directly in a folder, with their modification times in milliseconds; nothing if it is missing."""
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly in a folder, in three calls whatever their number; nothing if it is missing."""
     filesystem, hadoop = _filesystem(spark, path)
     if not filesystem.exists(hadoop):
         return []
-    return [(f.getPath().getName(), f.getModificationTime()) for f in filesystem.listStatus(hadoop)]
+    jvm = spark.sparkContext._jvm
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(filesystem.listStatus(hadoop))
+    folder = filesystem.makeQualified(hadoop).toString().rstrip("/")
+    listed = jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)[1:-1]  # folder/name,folder/name
+    return [name.removesuffix(",") for name in listed.split(f"{folder}/")[1:]]
 
 
 def replace_file(spark: SparkSession, path: str, target: str) -> None:

@@ -213,7 +213,7 @@ class Ledger:
         Files are read backwards only until the checkpoint is reached, over versions that are no commits and
         over those of ledgers whose files hold one row each.
         """
-        names = [name for name, _ in list_names(self.spark, self.runs_path)]
+        names = list_names(self.spark, self.runs_path)
         versions = sorted(
             int(n[8:-5]) for n in names if n.startswith("version-") and n.endswith(".json") and n[8:-5].isdigit()
         )
@@ -242,7 +242,7 @@ class Ledger:
         if head.checkpoint:
             path = f"{self.checkpoints_path}/{head.checkpoint}/runs"
             kept.append(self.spark.read.schema(RUN_SCHEMA).parquet(path))
-        seeds = [n for n, _ in list_names(self.spark, self.runs_path) if n.startswith("part-") and n.endswith(".json")]
+        seeds = [n for n in list_names(self.spark, self.runs_path) if n.startswith("part-") and n.endswith(".json")]
         if seeds:  # marks appended as rows of their own
             kept.append(read_marks(self.spark, f"{self.runs_path}/part-*.json", RUN_SCHEMA))
         every = kept[0]
