@@ -20,6 +20,7 @@ import re
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,28 +123,39 @@ class Codec:
                 return [piece[:-1], piece[-1]]
         return self.pattern(piece)
 
-    def word(self, word: str) -> tuple[list[int], str, bytes]:
-        """Ids of a word, the ids as text, the text they decode to."""
+    def word(self, word: str) -> tuple[str, bytes]:
+        """Ids of a word as text, and the bytes they decode to."""
         found = self.known.get(word)
         if found is None:
             ids = merge_symbols([self.of_byte[b] for b in word.encode()], self.ranks)
-            found = ids, ",".join(map(str, ids)), b"".join(map(self.strings.__getitem__, ids))
+            found = ",".join(map(str, ids)), b"".join(map(self.strings.__getitem__, ids))
             if len(word) < 64:
                 self.known.put(word, found)
         return found
 
-    def encoded(self, text: str):
-        """What ``word`` gives for every word and special string of the text, in order."""
-        young, known, word = self.known.young, self.known, self.word
+    def coded(self, text: str) -> tuple[str, bytes]:
+        """The ids of a text in decimal joined by commas, and the bytes they decode to."""
+        if not text:
+            return "", b""
+        out: list[tuple[str, bytes]] = []
+        add, known, word, special = out.append, self.known, self.word, self.special
+        young = known.young.get
         for piece in self.pieces(text):
-            found = young.get(piece)
+            found = young(piece)
             if found is not None:
-                yield found
-            elif piece in self.special:
-                yield [self.special[piece]], str(self.special[piece]), piece.encode()
+                add(found)
+            elif piece in special:
+                add((str(special[piece]), piece.encode()))
             else:
-                yield from map(word, self.words(piece))
-                young = known.young
+                # A known word before a mark is that word and the mark: the pattern goes from neither into the other.
+                if piece[-1] in ".,;:!?" and piece[-2:-1].isalnum() and (found := young(piece[:-1])) is not None:
+                    add(found)
+                    add(word(piece[-1]))
+                else:
+                    out.extend(map(word, self.words(piece)))
+                young = known.young.get
+        written, decoded = zip(*out)
+        return ",".join(written), b"".join(decoded)
 
     def pieces(self, text: str) -> list[str]:
         """Pieces that encode independently of each other; joining gives the text back."""
@@ -156,17 +168,21 @@ class Codec:
         return out + safe_pieces(text[at:])
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _, _ in self.encoded(text) for i in ids]
+        return _numbers(self.coded(text)[0])
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids in decimal joined by commas, SHA-256 of the decoded text."""
-        ids, written, decoded = zip(*self.encoded(text)) if text else ((), (), ())
-        text = b"".join(decoded).decode("utf-8", "replace")
-        sha = hashlib.sha256
-        return sum(map(len, ids)), sha(",".join(written).encode()).hexdigest(), sha(text.encode()).hexdigest()
+
+def _numbers(written: str) -> list[int]:
+    return list(map(int, written.split(","))) if written else []
+
+
+def _digests(written: str, decoded: bytes) -> tuple[int, str, str]:
+    """Number of ids, SHA-256 of the ids in decimal joined by commas, SHA-256 of the decoded text."""
+    n = written.count(",") + 1 if written else 0
+    text = decoded.decode("utf-8", "replace").encode()
+    return n, hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(text).hexdigest()
 
 
 @lru_cache(maxsize=2)
@@ -201,7 +217,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", key: str = "doc_i
 
     def work(batch: pa.RecordBatch) -> dict:
         coder = codec(path)
-        made = [coder.digest(t or "") for t in batch.column(1).to_pylist()]
+        made = [_digests(*coder.coded(t or "")) for t in batch.column(1).to_pylist()]
         counts, ids, decoded = zip(*made)
         return {key: batch.column(0), "n_tokens": counts, "ids_sha256": ids, "decoded_sha256": decoded}
 
@@ -218,15 +234,17 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text", key: str =
 
     def work(batch: pa.RecordBatch) -> dict:
         coder = codec(path)
-        ids = [coder.encode(t or "") for t in batch.column(1).to_pylist()]
-        sha = hashlib.sha256
+        offsets, ids, made = [0], [], []
+        for t in batch.column(1).to_pylist():
+            written, decoded = coder.coded(t or "")
+            made.append(_digests(written, decoded))
+            ids.append(np.array(_numbers(written), np.int32))
+            offsets.append(offsets[-1] + len(ids[-1]))
+        counts, of_ids, of_text = zip(*made)
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)))
         return {
-            key: batch.column(0),
-            "ids": ids,
-            "n_tokens": list(map(len, ids)),
-            "ids_sha256": [sha(",".join(map(str, i)).encode()).hexdigest() for i in ids],
-            "decoded_sha256": [sha(coder.decode(i).encode()).hexdigest() for i in ids],
-        }
+            key: batch.column(0), "ids": lists, "n_tokens": counts, "ids_sha256": of_ids, "decoded_sha256": of_text
+        }
 
     kind = docs.schema[key].dataType.simpleString()
     return per_batch(
