@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import shutil
 import time
 from datetime import timedelta
@@ -11,12 +12,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.changes import upsert_arrival
-from tests.test_incremental import COLUMNS, NOW, deposit, names, record
-from tidemark.plans import replay
+from tests.test_incremental import COLUMNS, NOW, damaged_page, deposit, names, record
+from tidemark.plans import incremental, replay
 from tidemark.plans.expiry import expire, unreferenced
 from tidemark.plans.incremental import RunOptions, read_target, run_changes, run_incremental, target_diff
 from tidemark.sinks.keyed import KeyedTable, segments_of
-from tidemark.sources import parquet
+from tidemark.sources import discovery, parquet
+from tidemark.sources.listing import list_files
 from tidemark.state import ledger as ledgers
 from tidemark.state.ledger import Ledger, Superseded
 
@@ -421,19 +423,124 @@ def test_two_runs_that_add_a_column(spark, folder, monkeypatch):
 # --- waves
 
 
-def test_waves_of_files_give_the_same(spark, folder):
+def mixed_files(folder):
     for n in range(12):
         rows = [record(k, 20 + (n * k) % 5, f"{n}-{k}") for k in range(n, n + 6)]
+        rows.append(record(None, 20, f"{n}"))
         deposit(folder, f"{n:02d}.parquet", rows, COLUMNS if n % 3 else ["id", "updated_at", "name"])
     with open(f"{folder}/raw/zz.parquet", "w") as f:
         f.write("broken")
+    damaged_page(f"{folder}/raw/yy.parquet", 30_000)
+
+
+@pytest.mark.parametrize("conflict", ["arrival", "latest"])
+def test_waves_of_files_and_reading_twice_give_the_same(spark, folder, conflict):
+    mixed_files(folder)
     want = None
-    for size in (1, 5, 1000):
-        root = f"{folder}/{size}"
-        done = run_incremental(spark, f"{folder}/raw", root, RunOptions(wave_files=size), run_id="r", now=NOW)
-        assert (done["files_processed"], done["files_failed"]) == (12, 1)
-        want = want or rows_of(spark, root)
-        assert rows_of(spark, root) == want
+    for staging in ("rows", "none"):
+        for size in (1000, 5, 1):
+            root, options = f"{folder}/{staging}{size}", RunOptions(wave_files=size, staging=staging, conflict=conflict)
+            if size == 1 and conflict == "latest":
+                continue
+            done = run_incremental(spark, f"{folder}/raw", root, options, run_id="r", now=NOW)
+            assert (done["files_processed"], done["files_failed"], done["records_failed"]) == (12, 2, 12)
+            want = want or rows_of(spark, root)
+            assert rows_of(spark, root) == want and len(want) == 17
+            assert spark.read.parquet(f"{root}/quarantine").count() == 12
+
+
+def test_reading_twice_stores_little(spark, folder):
+    rng = random.Random(1)
+    for n in range(3):
+        rows = [record(k, 20 + n, f"{rng.random()}", payload=f"{rng.random()}" * 5) for k in range(2000)] * 10
+        deposit(folder, f"{n}.parquet", rows)
+    size = sum(os.path.getsize(f"{folder}/raw/{f}") for f in os.listdir(f"{folder}/raw"))
+    staged = {}
+    for staging in ("rows", "none"):
+        options = RunOptions(staging=staging, keep_staging=True, scope="run", track_changes=staging == "none")
+        run_incremental(spark, f"{folder}/raw", f"{folder}/{staging}", options, run_id="r", now=NOW)
+        stage = f"{folder}/{staging}/staging"
+        staged[staging] = sum(os.path.getsize(f"{d}/{f}") for d, _, fs in os.walk(stage) for f in fs)
+    assert staged["none"] < 0.1 * size < staged["rows"]
+    rows, none = (read_target(spark, f"{folder}/{s}") for s in ("rows", "none"))
+    assert sorted(rows.collect()) == sorted(none.collect()) and rows.count() == 2000
+
+
+def test_a_file_replaced_between_the_reads_is_refused(spark, folder, monkeypatch):
+    root, options = f"{folder}/out", RunOptions(staging="none")
+    deposit(folder, "a.parquet", [record(1, 20, "old")])
+    again = incremental._Reader.again
+
+    def patched(self, ok):
+        deposit(folder, "a.parquet", [record(1, 20, "new")])
+        os.utime(f"{folder}/raw/a.parquet", (2_000_000_000, 2_000_000_000))
+        return again(self, ok)
+
+    monkeypatch.setattr(incremental._Reader, "again", patched)
+    with pytest.raises(RuntimeError, match="changed while"):
+        run_incremental(spark, f"{folder}/raw", root, options, now=NOW)
+    monkeypatch.setattr(incremental._Reader, "again", again)
+    assert read_target(spark, root).isEmpty()
+    run_incremental(spark, f"{folder}/raw", root, options, now=NOW)
+    assert names(spark, root) == {1: "new"}
+
+
+# --- discovery
+
+
+def listed(spark, folder, since=None):
+    found = discovery.changed_listing(spark, f"{folder}/raw", f"{folder}/listing", since)
+    cut = len(f"file:{folder}/raw")
+    want = {(r["path"], r["modificationTime"], r["length"]) for r in list_files(spark, f"{folder}/raw").collect()}
+    assert {(r["path"], r["modificationTime"], r["length"]) for r in found.files.collect()} == want
+    return sorted(f[cut:] for f in found.listed)
+
+
+def settle(folder):
+    """All folders as if nothing had happened to them for an hour."""
+    for d, _, _ in os.walk(f"{folder}/raw", topdown=False):
+        t = os.stat(d).st_mtime_ns - 3_600_000_000_000
+        os.utime(d, ns=(t, t))
+
+
+def test_only_changed_folders_are_listed(spark, folder):
+    assert discovery.changed_listing(spark, f"{folder}/raw", f"{folder}/listing").files.count() == 0
+    for day in range(1, 6):
+        for n in range(3):
+            deposit(folder, f"2025-05-{day:02d}/{n} [x].parquet", [record(n, day)])
+    deposit(folder, "top.parquet", [record(1, 20)])
+    settle(folder)
+    days = [f"/2025-05-{d:02d}" for d in range(1, 6)]
+    assert listed(spark, folder) == ["", *days]
+    assert listed(spark, folder) == [""]  # the root holds folders
+    # A file replaced in an old folder, one added, one removed, a new folder.
+    deposit(folder, "aside.parquet", [record(9, 20)])
+    os.replace(f"{folder}/raw/aside.parquet", f"{folder}/raw/2025-05-02/1 [x].parquet")
+    deposit(folder, "2025-05-04/new.parquet", [record(9, 20)])
+    os.remove(f"{folder}/raw/2025-05-05/0 [x].parquet")
+    deposit(folder, "2025-05-06/sub/a.parquet", [record(9, 20)])
+    changed = ["", "/2025-05-02", "/2025-05-04", "/2025-05-05", "/2025-05-06", "/2025-05-06/sub"]
+    assert listed(spark, folder) == changed
+    assert listed(spark, folder) == changed  # so young that they may have changed again
+    settle(folder)
+    listed(spark, folder)
+    assert listed(spark, folder) == ["", "/2025-05-06"]
+    assert listed(spark, folder, "2025-05-05T03:00:00") == ["", "/2025-05-05", "/2025-05-06", "/2025-05-06/sub"]
+    assert len(os.listdir(f"{folder}/listing")) == 2
+
+
+def test_runs_by_changed_folders(spark, folder):
+    root, options = f"{folder}/out", RunOptions(discovery="folders")
+    deposit(folder, "a/1.parquet", [record(1, 20, "a")])
+    deposit(folder, "b/1.parquet", [record(2, 20, "b")])
+    settle(folder)
+    assert run_incremental(spark, f"{folder}/raw", root, options, now=NOW)["files_processed"] == 2
+    assert run_incremental(spark, f"{folder}/raw", root, options, now=NOW)["files_processed"] == 0
+    deposit(folder, "aside.parquet", [record(1, 21, "new")])
+    os.replace(f"{folder}/raw/aside.parquet", f"{folder}/raw/a/1.parquet")
+    os.utime(f"{folder}/raw/a/1.parquet", (2_000_000_000, 2_000_000_000))
+    assert run_incremental(spark, f"{folder}/raw", root, options, now=NOW)["files_processed"] == 1
+    assert names(spark, root) == {1: "new", 2: "b"}
 
 
 # --- replays

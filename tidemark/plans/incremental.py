@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.text import new_batch_id, slice_batch_id
 from tidemark.operators.audit import add_audit_columns, utc_now
+from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.metrics import run_totals
 from tidemark.operators.normalize import fill_nulls, normalize
 from tidemark.operators.slices import number_batches
@@ -39,6 +40,7 @@ from tidemark.schema import (
 from tidemark.session import empty_table, folder_bytes, remove
 from tidemark.sinks.keyed import DATABASE, KeyedTable
 from tidemark.sinks.processed import write_processed
+from tidemark.sources.discovery import changed_listing
 from tidemark.sources.listing import (
     exclude_state,
     list_files,
@@ -80,6 +82,10 @@ class RunOptions:
     ``extra_columns``: ``"drop"`` takes no columns but the target's and records the names of the others,
     ``"add"`` adds them to the target, NULL in all rows so far.
     ``wave_files``: files whose paths the driver holds, and that are read, at a time.
+    ``staging``: ``"rows"`` stores the rows as read and checked, so files are read once; ``"none"`` reads them
+    twice, first only to count and check, and stores nothing of a sound load but its changes.
+    ``discovery``: ``"full"`` lists all below the source, ``"folders"`` only folders that have changed since the last
+    run, for stores where a folder's time tells (see ``sources.discovery``).
     ``database``: where bucketed folders are declared while a read or write of them is planned.
     """
 
@@ -98,6 +104,8 @@ class RunOptions:
     track_changes: bool = False
     extra_columns: str = "drop"
     wave_files: int = 20_000
+    staging: str = "rows"
+    discovery: str = "full"
     checkpoint_every: int = CHECKPOINT_EVERY
     database: str = DATABASE
 
@@ -107,6 +115,8 @@ class RunOptions:
             (self.scope, SCOPES),
             (self.conflict, CONFLICTS),
             (self.extra_columns, ("drop", "add")),
+            (self.staging, ("rows", "none")),
+            (self.discovery, ("full", "folders")),
         ):
             if value not in allowed:
                 raise ValueError(f"{value!r} is not one of {allowed}")
@@ -156,22 +166,22 @@ def run_incremental(
     columns, left_out = _target_columns(footers, state["columns"], options.extra_columns)
     state["columns"] = columns
     ordered = files is not None and not isinstance(files, DataFrame)
-    rows = _stage_rows(spark, footers, stage, options, ordered, columns)
-    results = _store(_file_results(footers, rows), f"{ledger.files_path}/run_id={run_id}")
+    reader = _Reader(spark, footers, stage, options, ordered, columns)
+    rows = reader.staged() if options.staging == "rows" else None
+    read = _per_file(rows) if rows is not None else reader.counted() if options.staging == "none" else None
+    results = _store(_file_results(footers, read), f"{ledger.files_path}/run_id={run_id}")
     last = F.max_by("path", F.struct(SEQ, "path")).alias("last_file")
     totals = run_totals(results, last).first().asDict()
     failures = results.where("status = 'failed'")
     if totals["files_failed"]:
         write_failed_log(failed_rows(failures, started.isoformat()), f"{root}/failed", run_id)
-    if rows is not None and totals["files_processed"]:
+    if options.staging == "none" and totals["files_processed"]:
+        rows = reader.again(results.where("status = 'ok'"))
+    elif rows is not None and totals["files_processed"]:
         if totals["files_failed"]:
             rows = rows.join(failures.select(F.col("path").alias(PATH)), PATH, "left_anti")
-        if totals["records_failed"]:
-            (
-                rows.where(F.size(ERRORS) > 0)
-                .write.mode("overwrite")
-                .parquet(f"{root}/quarantine/run_id={run_id}")
-            )
+    if totals["records_failed"]:
+        rows.where(F.size(ERRORS) > 0).write.mode("overwrite").parquet(f"{root}/quarantine/run_id={run_id}")
     # The gate comes after the evidence: what it refuses can be looked up.
     enforce_error_rate(
         totals["records_processed"] + totals["records_failed"],
@@ -182,6 +192,8 @@ def run_incremental(
     if rows is not None and totals["files_processed"]:
         good = rows.where(F.size(ERRORS) == 0).drop(ERRORS, RAW)
     state, counts = _apply(spark, good, root, state, options, run_id, started)
+    if options.staging == "none":
+        _refuse_changed_files(results)
 
     ended = now or utc_now()
     _commit(
@@ -411,7 +423,12 @@ def _pick_files(
         return files.select("path", "modificationTime", "length")
     if files is not None:
         return explicit_files(spark, files)
-    listing = list_files(spark, source)
+    if options.discovery == "folders":
+        mark = ledger.mark()
+        since = mark["last_successful_run"] if mark else None
+        listing = changed_listing(spark, source, f"{ledger.root}/listing", since).files
+    else:
+        listing = list_files(spark, source)
     if options.mode == "highwater":
         # A file that failed stays due, whatever came after it.
         again = only_parquet(listing).join(ledger.failed(), "path", "left_semi")
@@ -422,61 +439,119 @@ def _pick_files(
     return exclude_state(listing)
 
 
-def _stage_rows(
-    spark: SparkSession, footers: DataFrame, stage: str, options: RunOptions, ordered: bool, columns: str | None
-) -> DataFrame | None:
-    """Read every usable file once, normalise and check its rows, and store them.
+class _Reader:
+    """The rows of a run's usable files, normalised and checked.
 
     Files go in waves, so the driver holds the paths of one wave. In a wave they are read in groups of equal column
-    types; there are as many groups as there are distinct type combinations of the expected columns. The stored rows
-    give the row count of each file, which no separate count can: counting without a column
-    never touches its damaged pages. They also keep later steps from reading a source
-    that may change meanwhile.
+    types; there are as many groups as there are distinct type combinations of the expected columns.
     """
-    usable = footers.where("error_type IS NULL").select("signature", "others", "path")
-    schema = StructType([*RAW_SCHEMA.fields, *target_schema(columns).fields[len(TARGET_SCHEMA.fields) :]])
-    files, parts = usable.count(), []
-    if not files:
-        return None
-    waves = -(-files // options.wave_files)
-    # Which wave a file is in does not matter to the result, so waves are dealt by a hash of the path.
-    wave = F.pmod(F.xxhash64("path"), F.lit(waves))
-    whole = True
-    for n in range(waves):
-        members: dict[tuple, list[str]] = {}
-        for row in usable.where(wave == n).collect():
-            members.setdefault((row["signature"], row["others"]), []).append(row["path"])
-        if not members:
-            continue
-        groups: dict[tuple, list] = {}
-        for (signature, others), paths in sorted(members.items(), key=lambda m: (m[0][0], m[0][1] or "")):
-            known = {f.name.lower() for f in schema}
-            extra = {k: v for k, v in json.loads(others or "{}").items() if k.lower() in known}
-            read = json.dumps({**json.loads(signature), **extra})
-            groups.setdefault((read, tuple(sorted(extra))), []).extend(paths)
-        parts.append(f"{stage}/rows/wave={n}")
-        rows = [_normalized(spark, paths, read, schema) for (read, _), paths in groups.items()]
-        whole = whole and all(supplied == tuple(schema.fieldNames()) for _, supplied in rows)
-        together = reduce(lambda a, b: a.unionByName(b), [part for part, _ in rows])
-        together = check_rows(fill_nulls(together, options.defaults))
-        together = number_batches(together, options.batch_size)
-        if ordered:
-            order = footers.select(F.col("path").alias(PATH), SEQ)
-            together = together.join(order, PATH)
-        else:
-            together = together.withColumn(SEQ, F.lit(0).cast("bigint"))
-        together.write.mode("overwrite").parquet(parts[-1])
-        kept = together.schema
-    staged = spark.read.schema(kept).parquet(*parts)
-    return staged.drop(SUPPLIED) if whole else staged
+
+    def __init__(
+        self, spark: SparkSession, footers: DataFrame, stage: str, options: RunOptions, ordered: bool, columns: str | None
+    ):
+        self.spark, self.footers, self.stage, self.options, self.ordered = spark, footers, stage, options, ordered
+        self.schema = StructType([*RAW_SCHEMA.fields, *target_schema(columns).fields[len(TARGET_SCHEMA.fields) :]])
+
+    def _waves(self, footers: DataFrame, skip_damaged: bool):
+        """The rows of each wave, and whether all its files supply all columns."""
+        usable = footers.where("error_type IS NULL").select("signature", "others", "path")
+        files = usable.count()
+        waves = -(-files // self.options.wave_files)
+        # Which wave a file is in does not matter to the result, so waves are dealt by a hash of the path.
+        wave = F.pmod(F.xxhash64("path"), F.lit(max(1, waves)))
+        known = {f.name.lower() for f in self.schema}
+        for n in range(waves):
+            groups: dict[str, list[str]] = {}
+            for row in usable.where(wave == n).collect():
+                extra = {k: v for k, v in json.loads(row["others"] or "{}").items() if k.lower() in known}
+                read = json.dumps({**json.loads(row["signature"]), **dict(sorted(extra.items()))})
+                groups.setdefault(read, []).append(row["path"])
+            if groups:
+                yield self._rows(dict(sorted(groups.items())), skip_damaged)
+
+    def _rows(self, groups: Mapping[str, Sequence[str]], skip_damaged: bool) -> tuple[DataFrame, bool]:
+        parts = [_normalized(self.spark, paths, read, self.schema, skip_damaged) for read, paths in groups.items()]
+        whole = all(supplied == tuple(self.schema.fieldNames()) for _, supplied in parts)
+        rows = reduce(lambda a, b: a.unionByName(b), [part for part, _ in parts])
+        rows = check_rows(fill_nulls(rows, self.options.defaults))
+        rows = number_batches(rows, self.options.batch_size)
+        if self.ordered:
+            return rows.join(self.footers.select(F.col("path").alias(PATH), SEQ), PATH), whole
+        return rows.withColumn(SEQ, F.lit(0).cast("bigint")), whole
+
+    def staged(self) -> DataFrame | None:
+        """All rows, read once and stored; None without a usable file.
+
+        The stored rows give the row count of each file, which no separate count can: counting without a column
+        never touches its damaged pages. They also keep later steps from reading a source that may change meanwhile.
+        """
+        folders, every, schema = [], True, None
+        for rows, whole in self._waves(self.footers, skip_damaged=True):
+            folders.append(f"{self.stage}/rows/wave={len(folders)}")
+            rows.write.mode("overwrite").parquet(folders[-1])
+            every, schema = every and whole, rows.schema
+        if not folders:
+            return None
+        rows = self.spark.read.schema(schema).parquet(*folders)
+        return rows.drop(SUPPLIED) if every else rows
+
+    def counted(self) -> DataFrame | None:
+        """path, n_read, n_bad of every file, from a read that stores nothing else.
+
+        The hash of all values makes it decode every page of the columns in use, so a damaged one is noticed.
+        """
+        folders = []
+        for rows, _ in self._waves(self.footers, skip_damaged=True):
+            values = F.bit_xor(F.xxhash64(*[c for c in rows.columns if c not in (SUPPLIED, SEQ)])).alias("hash")
+            folders.append(f"{self.stage}/counts/wave={len(folders)}")
+            _per_file(rows, values).write.mode("overwrite").parquet(folders[-1])
+        return self.spark.read.parquet(*folders).drop("wave") if folders else None
+
+    def again(self, ok: DataFrame) -> DataFrame:
+        """The rows of sound files, read once more; now an unreadable page is an error and the task is repeated.
+
+        Of several waves each is folded to one row per key, set of columns and outcome before the next, which the fold
+        over all of them does not notice.
+        """
+        footers = self.footers.join(ok.select("path"), "path", "left_semi")
+        parts = list(self._waves(footers, skip_damaged=False))
+        every = all(whole for _, whole in parts)
+        if len(parts) == 1:
+            return parts[0][0].drop(SUPPLIED) if every else parts[0][0]
+        order = arrival_order(self.options.scope, self.options.conflict)
+        folders = [f"{self.stage}/folds/wave={n}" for n in range(len(parts))]
+        for (rows, _), folder in zip(parts, folders):
+            bad = F.size(ERRORS) > 0
+            folded = dedup_latest(rows.where(~bad), [KEY, SUPPLIED], order, ())
+            folded.unionByName(rows.where(bad)).write.mode("overwrite").parquet(folder)
+        rows = self.spark.read.schema(parts[0][0].schema).parquet(*folders)
+        return rows.drop(SUPPLIED) if every else rows
+
+
+def _per_file(rows: DataFrame, *more) -> DataFrame:
+    return rows.groupBy(F.col(PATH).alias("path")).agg(
+        F.count(F.lit(1)).alias("n_read"), F.count_if(F.size(ERRORS) > 0).alias("n_bad"), *more
+    )
+
+
+def _refuse_changed_files(results: DataFrame) -> None:
+    """Files that were read twice must be what they were when they were listed."""
+    ok = results.where("status = 'ok'")
+    now = read_footers(ok.select("path"), required=()).select(
+        "path", F.col("modificationTime").alias("time"), F.col("length").alias("size"), F.col("error_type").alias("problem")
+    )
+    same = F.col("time").eqNullSafe(F.col("modificationTime")) & (F.col("size") == F.col("length"))
+    changed = ok.join(now, "path").where(F.col("problem").isNotNull() | ~same).select("path").limit(5).collect()
+    if changed:
+        raise RuntimeError(f"files changed while they were read, repeat the run: {[r['path'] for r in changed]}")
 
 
 def _normalized(
-    spark: SparkSession, paths: Sequence[str], signature: str, schema: StructType
+    spark: SparkSession, paths: Sequence[str], signature: str, schema: StructType, skip_damaged: bool
 ) -> tuple[DataFrame, tuple[str, ...]]:
     """The rows of files of one signature in the columns of ``schema``, and which of them they supply."""
     have, units = signature_schema(signature)
-    raw = read_parquet(spark, paths, have, skip_damaged=True)
+    raw = read_parquet(spark, paths, have, skip_damaged=skip_damaged)
     spelled = {f.name.lower(): f.name for f in schema}
     raw = raw.withColumnsRenamed({n: spelled[n.lower()] for n in have.fieldNames()})
     part = normalize(raw, schema, on_error="quarantine", units=units)
@@ -486,16 +561,11 @@ def _normalized(
     return part.withColumns({**absent, **supplied}), present
 
 
-def _file_results(footers: DataFrame, rows: DataFrame | None) -> DataFrame:
-    """Outcome per file: a file whose stored rows do not match its footer failed as a whole."""
-    spark = footers.sparkSession
-    if rows is None:
+def _file_results(footers: DataFrame, read: DataFrame | None) -> DataFrame:
+    """Outcome per file: a file of which other than its footer's rows could be read failed as a whole."""
+    if read is None:
         read = empty_table(
-            spark, StructType.fromDDL("path string, n_read bigint, n_bad bigint")
-        )
-    else:
-        read = rows.groupBy(F.col(PATH).alias("path")).agg(
-            F.count(F.lit(1)).alias("n_read"), F.count_if(F.size(ERRORS) > 0).alias("n_bad")
+            footers.sparkSession, StructType.fromDDL("path string, n_read bigint, n_bad bigint")
         )
     n_read, n_bad = F.coalesce("n_read", F.lit(0)), F.coalesce("n_bad", F.lit(0))
     short = F.col("error_type").isNull() & (n_read != F.col("num_rows"))

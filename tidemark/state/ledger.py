@@ -185,7 +185,7 @@ class Ledger:
     """Runs and files below one state folder."""
 
     def __init__(self, spark: SparkSession, root: str, checkpoint_every: int = CHECKPOINT_EVERY):
-        self.spark = spark
+        self.spark, self.root = spark, root
         self.runs_path = f"{root}/runs"
         self.files_path = f"{root}/files"
         self.checkpoints_path = f"{root}/checkpoints"
