@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,8 +47,46 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+_BYTES = range(256)
+#: A-Z in lower case, for ``bytes.translate``.
+LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in _BYTES)
+#: 1 for bytes of words, 0 for white space.
+IN_WORD = bytes(b not in b" \t\n\v\f\r" for b in _BYTES)
+
+
+def words_of(texts: pa.Array, inside: bytes = IN_WORD) -> tuple[pa.Array, np.ndarray]:
+    """All words of a batch of texts, A-Z in lower case, as bytes, and the row each is in. ``inside`` has 1 for each
+    byte that words consist of; null texts have none."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if ends[0] == ends[-1]:
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
+    raw = texts.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes().translate(LOWER)
+    data = np.frombuffer(raw, np.uint8)
+    held = np.frombuffer(raw.translate(inside), bool)
+    ends = ends - ends[0]
+    begins = held.copy()
+    begins[1:] &= ~held[:-1]
+    first = ends[:-1][ends[:-1] < ends[1:]]
+    begins[first] = held[first]  # a word never goes on from one text into the next
+    closes = held.copy()
+    closes[:-1] &= begins[1:] | ~held[1:]
+    at = np.flatnonzero(begins)
+    offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(closes) - at + 1)])
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[held])]
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), buffers)
+    return words, np.searchsorted(ends, at, "right") - 1
+
+
+def numbered_values(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Numbers of the distinct values of a column, and these values."""
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
 def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
-    """The rows with the largest counts, at most ``most``: all above a level of the count that is found first.
+    """The ``most`` rows with the largest counts: all above a level of the count that is found first, and of the next
+    level the first by count and the other columns.
 
     Levels are sixty-fourths of a logarithmic unit, so their table is small whatever the input, and no
     task has to hand over more rows than there are in the end.
@@ -55,11 +95,18 @@ def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
     sizes = sorted(df.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
     least, total = None, 0
     for row in sizes:
-        total += row["n"]
-        if total > most:
+        if total + row["n"] > most:
             break
+        total += row["n"]
         least = row["level"]
-    return df.where(level >= least if least is not None else F.lit(False))
+    above = level >= least if least is not None else F.lit(False)
+    rest = [row["level"] for row in sizes if least is None or row["level"] < least]
+    if not rest or total == most:
+        return df.where(above)
+    # Of the level that does not fit, what still fits: by count, then by the other columns.
+    others = [c for c in df.columns if c != count]
+    next_ = df.where(level == rest[0]).orderBy(F.col(count).desc(), *others).limit(most - total)
+    return df.where(above).unionByName(next_)
 
 
 #: Bytes of one Arrow batch where the session names no bound: rows are long texts, and 10,000 of them may be too many.

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, looked_up, per_batch, stored
+from tidemark.llm.common import bounded_batches, looked_up, numbered_values, per_batch, stored, words_of
 
 #: Bytes of the shortest prefix; each level doubles it.
 FIRST_PREFIX = 6
@@ -33,34 +33,13 @@ GATHERED = 1 << 18
 #: Groups (language and source) up to which their totals are sent to every task.
 GROUPS = 100_000
 
-_BYTE = np.arange(256)
-#: Bytes of terms: letters A-Z, a-z and all of non-ASCII characters; only A-Z are lower-cased.
-_IN_TERM = (_BYTE >= 0x80) | ((_BYTE >= 0x41) & (_BYTE <= 0x5A)) | ((_BYTE >= 0x61) & (_BYTE <= 0x7A))
-_LOWER = np.where((_BYTE >= 0x41) & (_BYTE <= 0x5A), _BYTE + 32, _BYTE).astype(np.uint8).tobytes()
-_IN_TERM = _IN_TERM.astype(np.uint8).tobytes()
+#: Bytes of terms: letters A-Z, a-z and all of non-ASCII characters.
+_IN_TERM = bytes(b >= 0x80 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A for b in range(256))
 
 
 def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All terms of a batch of texts, as bytes, and the row each is in."""
-    texts = pc.fill_null(texts, "").cast(pa.large_binary())
-    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    if ends[0] == ends[-1]:
-        return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
-    raw = texts.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes().translate(_LOWER)
-    data = np.frombuffer(raw, np.uint8)
-    inside = np.frombuffer(raw.translate(_IN_TERM), bool)
-    ends = ends - ends[0]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    first = ends[:-1][ends[:-1] < ends[1:]]
-    begins[first] = inside[first]  # a term never goes on from one text into the next
-    closes = inside.copy()
-    closes[:-1] &= begins[1:] | ~inside[1:]
-    at = np.flatnonzero(begins)
-    offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(closes) - at + 1)])
-    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[inside])]
-    terms = pa.Array.from_buffers(pa.large_binary(), len(at), buffers)
-    return terms, np.searchsorted(ends, at, "right") - 1
+    return words_of(texts, _IN_TERM)
 
 
 def _listed(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -69,12 +48,6 @@ def _listed(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten().cast(pa.large_binary()), np.repeat(np.arange(len(lists)), lengths)
 
 
-def _codes(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Numbers of the distinct values of a column, and these values."""
-    coded = column.dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
-
-
 def _in_bitmap(bitmap: bytes, langs: pa.Array, lang: np.ndarray, terms: pa.Array) -> np.ndarray:
     """Whether the hash of (language, term) is set, for numbered languages; hashed as Spark's ``xxhash64`` does."""
     seeds = [xxhash.xxh64_intdigest(x, 42) for x in langs.to_pylist()]
@@ -119,8 +92,8 @@ Reader = Callable[[pa.Array], tuple[pa.Array, np.ndarray]]
 def _distinct_terms(batch: pa.RecordBatch, read: Reader) -> tuple:
     """Distinct (language, term) of a batch: numbers of languages, terms, then for each occurrence its row and number."""
     terms, row = read(batch.column("content"))
-    lang, langs = _codes(batch.column("lang"))
-    term, names = _codes(terms)
+    lang, langs = numbered_values(batch.column("lang"))
+    term, names = numbered_values(terms)
     pair, which = _numbered(lang[row] * max(1, len(names)) + term, len(langs) * max(1, len(names)))
     lang_of, term_of = np.divmod(pair, max(1, len(names)))
     return langs, lang_of, names.take(pa.array(term_of)), row, which
@@ -132,7 +105,7 @@ def _prefix_counts(read: Reader, length: int) -> Callable[[pa.RecordBatch], dict
     def count(batch: pa.RecordBatch) -> dict:
         langs, lang_of, terms, row, which = _distinct_terms(batch, read)
         long = pc.greater(pc.binary_length(terms), length).to_numpy(zero_copy_only=False)
-        cut, prefixes = _codes(pc.binary_slice(terms, 0, length))
+        cut, prefixes = numbered_values(pc.binary_slice(terms, 0, length))
         key = (lang_of * max(1, len(prefixes)) + cut) * 2 + long
         keys, of_term = np.unique(key, return_inverse=True)
         seen = _distinct(row * max(1, len(keys)) + of_term[which])
@@ -196,7 +169,7 @@ def _occurrences(kept) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     def counted(batch: pa.RecordBatch) -> pa.Table:
         langs, lang_of, terms, row, which = _distinct_terms(batch, terms_of)
         good = _in_bitmap(kept.value, langs, lang_of, terms)
-        source, sources = _codes(batch.column("source"))
+        source, sources = numbered_values(batch.column("source"))
         use = good[which]
         keys = np.sort(which[use] * max(1, len(sources)) + source[row[use]])
         starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
@@ -210,7 +183,7 @@ def _occurrences(kept) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     def added_up(parts: list[pa.Table]) -> pa.RecordBatch:
         rows = pa.concat_tables(parts).combine_chunks()
         (lang, langs), (source, sources), (term, terms) = (
-            _codes(rows.column(c).combine_chunks() if rows.num_rows else rows.column(c)) for c in ("lang", "source", "term")
+            numbered_values(rows.column(c).combine_chunks() if rows.num_rows else rows.column(c)) for c in ("lang", "source", "term")
         )
         key = (lang * max(1, len(terms)) + term) * max(1, len(sources)) + source
         order = np.argsort(key, kind="stable")
@@ -389,10 +362,10 @@ def _compared(groups, top: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], schema=schema)
 
     def take(batch: pa.RecordBatch, sums: _Sums, number: dict, table: np.ndarray, of_lang: dict) -> None:
-        lang, langs = _codes(batch.column("lang"))
+        lang, langs = numbered_values(batch.column("lang"))
         lists = batch.column("sources")
         sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        source, sources = _codes(lists.flatten())
+        source, sources = numbered_values(lists.flatten())
         n = batch.column("ns").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         row = np.repeat(np.arange(len(sizes)), sizes)
         pair, which = _numbered(lang[row] * max(1, len(sources)) + source, len(langs) * max(1, len(sources)))

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, fold, most_frequent, per_batch, stored
+from tidemark.llm.common import (
+    bounded_batches,
+    fold,
+    most_frequent,
+    numbered_values,
+    per_batch,
+    stored,
+    words_of,
+)
 
 #: Words whose counts are at hand in every task.
 FREQUENT = 60_000
@@ -39,6 +46,8 @@ WIDTH = 16
 NOISE = 64
 STEP_TOKENS = 4096
 ROUNDS = 2
+#: Tables of parameters added up in one task.
+FAN_IN = 16
 RATE = 0.15
 
 
@@ -47,31 +56,18 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def numbered(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Words of a batch of texts as numbers, the distinct words, and the row of each word."""
+    found, row = words_of(texts)
+    number, distinct = numbered_values(found)
+    return number, distinct.to_pylist(), row
+
+
 def shared_unit(word: bytes) -> int:
     """The shared unit of a word: by its last three letters, which tell languages and kinds of words apart."""
     return 1 + OWN + zlib.crc32(word[-3:]) % SHARED
 
 
-class Units(dict):
-    """word -> unit, filled as rare words come along; cleared of them when it grows beyond its bound."""
-
-    def __init__(self, own: list[bytes]):
-        super().__init__({w: i + 1 for i, w in enumerate(own)})
-        self.own = dict(self)
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-            self.update(self.own)
-        unit = self[word] = shared_unit(word)
-        return unit
-
-
-@lru_cache(maxsize=2)
-def _units(own: tuple[bytes, ...]) -> Units:
-    return Units(list(own))
-
-
 def start(frequencies: np.ndarray, width: int = WIDTH, seed: int = 7) -> dict[str, np.ndarray]:
     """Parameters before training: small vectors, biases at the units' log frequencies."""
     rng = np.random.default_rng(seed)
@@ -126,11 +122,11 @@ class Trainer:
             p[name] += RATE * g / np.sqrt(self.sums[name])
         self.tokens += n
 
-    def learn(self, ids: np.ndarray, starts: list[int]) -> None:
+    def learn(self, ids: np.ndarray, starts: np.ndarray) -> None:
         """All tokens of a run of texts, each led by two ends, which are context only, and closed by one."""
         token = np.ones(len(ids), bool)
         token[starts] = False
-        token[np.array(starts) + 1] = False
+        token[starts + 1] = False
         where = np.nonzero(token)[0]
         self.rng.shuffle(where)
         for at in range(0, len(where), STEP_TOKENS):
@@ -170,57 +166,67 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """word (binary), c: the words of all texts, counted per batch before the shuffle."""
 
     def work(batch: pa.RecordBatch) -> dict:
-        found: Counter = Counter()
-        for t in batch.column(0).to_pylist():
-            found.update(words(t))
-        return {"word": list(found), "c": list(found.values())}
+        found, _ = words_of(batch.column(0))
+        number, distinct = numbered_values(found)
+        return {"word": distinct.cast(pa.binary()), "c": np.bincount(number, minlength=len(distinct))}
 
     made = per_batch(docs.select(text), work, "word binary, c long")
     return made.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def train(docs: DataFrame, own: tuple[bytes, ...], frequencies: np.ndarray, text: str = "text", rounds: int = ROUNDS):
-    """Parameters after ``rounds`` passes over ``docs``."""
-    bounded_batches(docs.sparkSession)
+def train(texts: DataFrame, frequencies: np.ndarray, rounds: int = ROUNDS):
+    """Parameters after ``rounds`` passes over the ``units`` of texts (their words' units and the end).
+
+    The tasks' sums of parameters are added up in groups of FAN_IN until no more are left than the driver adds.
+    """
+    bounded_batches(texts.sparkSession)
     p = start(frequencies)
+    schema = "slot long, n long, sums binary"
     for round_ in range(rounds):
         packed = _pack(p)
 
         def work(batches, packed=packed, round_=round_):
+            from pyspark import TaskContext
+
             trainer = Trainer(_unpack(np.frombuffer(packed, np.float32)), frequencies, 31 + round_)
-            units = _units(own).__getitem__
             for batch in batches:
-                ids, starts = [], []
-                for t in batch.column(0).to_pylist():
-                    starts.append(len(ids))
-                    ids += [0, 0, *map(units, words(t)), 0]
-                    if len(ids) > 1 << 20:
-                        trainer.learn(np.array(ids, np.int64), starts)
-                        ids, starts = [], []
-                if ids:
-                    trainer.learn(np.array(ids, np.int64), starts)
+                if batch.num_rows:
+                    trainer.learn(*led(batch.column(0)))
             if trainer.tokens:
                 flat = np.frombuffer(_pack(trainer.p), np.float32).astype(np.float64) * trainer.tokens
-                own_row = pa.array([flat.tobytes()], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([trainer.tokens % 16], pa.int32()), pa.array([trainer.tokens], pa.int64()), own_row],
-                    ["slot", "n", "sums"],
-                )
+                slot = TaskContext.get().partitionId()
+                yield _sums(slot, trainer.tokens, flat)
 
         def add(key, group):
-            flats = [np.frombuffer(b, np.float64) for b in group.column("sums").to_pylist()]
-            return pa.table(
-                {"slot": pa.array([0], pa.int32()), "n": [sum(group.column("n").to_pylist())], "sums": [sum(flats).tobytes()]}
-            )
-
-        schema = "slot int, n long, sums binary"
-        parts = docs.select(text).mapInArrow(work, schema).groupBy("slot").applyInArrow(add, schema).collect()
-        if not parts:
+            rows = sorted(group.to_pylist(), key=lambda r: r["slot"])
+            flats = sum(np.frombuffer(r["sums"], np.float64) for r in rows)
+            return pa.Table.from_batches([_sums(rows[0]["slot"] // FAN_IN, sum(r["n"] for r in rows), flats)])
+
+        parts = stored(texts.select("units").mapInArrow(work, schema), "sums")
+        while parts.count() > FAN_IN:
+            parts = stored(parts.groupBy(F.expr(f"slot div {FAN_IN}").alias("of")).applyInArrow(add, schema), "sums")
+        rows = sorted(parts.collect(), key=lambda r: r["slot"])
+        if not rows:
             break
-        p = _unpack(sum(np.frombuffer(r["sums"], np.float64) for r in parts) / sum(r["n"] for r in parts))
+        p = _unpack(sum(np.frombuffer(r["sums"], np.float64) for r in rows) / sum(r["n"] for r in rows))
     return p
 
 
+def _sums(slot: int, tokens: int, flat: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([slot], pa.int64()), pa.array([tokens], pa.int64()), pa.array([flat.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["slot", "n", "sums"])
+
+
+def led(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The units of a batch of texts in a row, each text led by two ends, and where the texts start."""
+    sizes = np.diff(units.offsets.to_numpy().astype(np.int64))
+    starts = np.concatenate([[0], np.cumsum(sizes[:-1] + 2)]) if len(sizes) else sizes
+    ids = np.zeros(int((sizes + 2).sum()), np.int64)
+    place = np.arange(int(sizes.sum())) + np.repeat(2 * np.arange(1, len(sizes) + 1), sizes)
+    ids[place] = units.flatten().to_numpy(zero_copy_only=False)
+    return ids, starts
+
+
 def score(docs: DataFrame, folds: int = 7, held: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     docs = docs.select(F.col(key), F.col(text).alias("text"), (fold(F.col(key), folds) == held).alias("held_out"))
@@ -247,71 +253,84 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, text: str = "text", ke
         mass[r["unit"]] += r["mass"]
     frequencies = np.concatenate([[texts + 1], [r["c"] + 1 for r in top[:OWN]], np.ones(OWN - len(own)), mass]) / (n + v + 1)
     frequencies = frequencies / frequencies.sum()
-    packed = _pack(train(training, own, frequencies))
     log_mass, log_all, end_count = np.log10(mass), math.log10(n + v + 1), math.log10(texts + 1)
-    at_hand = docs.sparkSession.sparkContext.broadcast(frequent)
+    at_hand = docs.sparkSession.sparkContext.broadcast((frequent, {w: i + 1 for i, w in enumerate(own)}))
 
-    def work(batch: pa.RecordBatch) -> dict:
-        a1, a2, log_z = _tables(packed)
-        units, known_log = _units(own).__getitem__, at_hand.value
-        rows: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "counted", "model")}
-        rare: dict[bytes, Counter] = {}
-        for i, t in enumerate(batch.column(1).to_pylist()):
-            found = words(t)
-            ids = np.array([0, 0, *map(units, found), 0], np.int64)
-            u, v, w = ids[:-2], ids[1:-1], ids[2:]
-            logs = a1[u, w].astype(np.float64) + a2[v, w] - log_z[u, v]
-            of_own = 0.0
-            counted, seen = end_count, 1 if texts else 0
-            for word, times in Counter(found).items():
-                value = known_log.get(word)
-                if value is None:
-                    rare.setdefault(word, Counter())[i] += times
-                else:
-                    counted += times * value
-                    seen += times
-                    unit = units(word)
-                    if unit > OWN:
-                        of_own += times * value
-            shared = w[w > OWN] - 1 - OWN
-            model = logs.sum() / math.log(10) + of_own - log_mass[shared].sum()
-            for k, x in zip(rows, (len(w), seen, counted, model)):
-                rows[k].append(x)
+    def read(batch: pa.RecordBatch) -> dict:
+        """Every text's units and what its frequent words count; every rare word with the rows that have it."""
+        known_log, of_own = at_hand.value
+        number, distinct, row = numbered(batch.column(1))
         size = batch.num_rows
-        line, none = batch.column(0).to_pylist(), [None] * len(rare)
-        return {
-            "row": [*line, *none],
-            key: [*batch.column(2).to_pylist(), *none],
-            "held_out": [*batch.column(3).to_pylist(), *none],
-            **{k: [*x, *none] for k, x in rows.items()},
-            "word": [*[None] * size, *rare],
-            "rows": [*[None] * size, *[[line[i] for i in c] for c in rare.values()]],
-            "times": [*[None] * size, *[list(c.values()) for c in rare.values()]],
+        value = np.array([known_log.get(w, np.nan) for w in distinct], np.float64)
+        unit = np.array([of_own.get(w) or shared_unit(w) for w in distinct], np.int16)
+        unknown = np.isnan(value)
+        known, units = ~unknown[number], unit[number]
+        values = value[number]
+        shared = known & (units > OWN)
+        lengths = np.bincount(row, minlength=size)
+        ends = np.cumsum(lengths + 1)
+        ids = np.zeros(int(ends[-1]), np.int16)
+        ids[np.arange(len(row)) + row] = units
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+        # Rare words by word, each with its rows and how often it is there.
+        rare, counts_ = np.unique(number[~known] * size + row[~known], return_counts=True)
+        word, at = np.divmod(rare, size)
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else word
+        lists = pa.array(np.append(first, len(word)).astype(np.int32))
+        line, none = batch.column(0), len(first)
+        empty = lambda kind: pa.nulls(none, kind)
+        add = lambda mask: np.bincount(row[mask], values[mask], size).astype(np.float64)
+        names = pa.array([distinct[i] for i in word[first].tolist()], pa.binary())
+        columns = {
+            "row": (line, empty(pa.int64())),
+            key: (batch.column(2), empty(batch.column(2).type)),
+            "held_out": (batch.column(3), empty(pa.bool_())),
+            "n_tokens": (pa.array(lengths + 1), empty(pa.int64())),
+            "n_known": (pa.array(np.bincount(row[known], minlength=size) + (1 if texts else 0)), empty(pa.int64())),
+            "counted": (pa.array(add(known) + end_count), empty(pa.float64())),
+            "of_own": (pa.array(add(shared)), empty(pa.float64())),
+            "units": (pa.ListArray.from_arrays(offsets, pa.array(ids)), empty(pa.list_(pa.int16()))),
+            "word": (pa.nulls(size, pa.binary()), names),
+            "rows": (pa.nulls(size, pa.list_(pa.int64())), pa.ListArray.from_arrays(lists, line.take(pa.array(at)))),
+            "times": (pa.nulls(size, pa.list_(pa.int64())), pa.ListArray.from_arrays(lists, pa.array(counts_))),
         }
+        return {k: pa.concat_arrays(list(v)) for k, v in columns.items()}
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = (
-        f"row long, {key} {kind}, held_out boolean, n_tokens long, n_known long, counted double, model double, "
-        "word binary, rows array<long>, times array<long>"
-    )
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "text", key, "held_out")
-    made = stored(per_batch(numbered, work, schema), "scored")
+    own_columns = f"row long, `{key}` {kind}, held_out boolean, n_tokens long, n_known long, counted double, "
+    schema = f"{own_columns}of_own double, units array<short>, word binary, rows array<long>, times array<long>"
+    numbered_docs = docs.select(F.monotonically_increasing_id().alias("row"), "text", key, "held_out")
+    made = stored(per_batch(numbered_docs, read, schema), "read")
+    lines = made.where("word is null")
+    packed = _pack(train(lines.where("not held_out"), frequencies))
+
+    def work(batch: pa.RecordBatch) -> dict:
+        a1, a2, log_z = _tables(packed)
+        ids, starts = led(batch.column("units"))
+        token = np.ones(len(ids), bool)
+        token[starts] = token[starts + 1] = False
+        at = np.flatnonzero(token)
+        u, v, w = ids[at - 2], ids[at - 1], ids[at]
+        logs = (a1[u, w].astype(np.float64) + a2[v, w] - log_z[u, v]) / math.log(10)
+        logs[w > OWN] -= log_mass[w[w > OWN] - 1 - OWN]
+        firsts = starts - 2 * np.arange(len(starts))
+        model = np.add.reduceat(logs, firsts) + batch.column("of_own").to_numpy()
+        passed = ("row", key, "held_out", "n_tokens", "n_known", "counted")
+        return {**{c: batch.column(c) for c in passed}, "model": model}
+
+    scored = per_batch(lines.drop("word", "rows", "times"), work, f"{own_columns}model double")
     rare = made.where("word is not null").select("word", "rows", "times").join(known, "word")
     rare = rare.select(F.explode(F.arrays_zip("rows", "times")).alias("x"), F.log10(F.col("c") + 1).alias("value"), "c")
     rare = rare.select(F.col("x.rows").alias("row"), F.col("x.times").alias("times"), "value").groupBy("row").agg(
         F.sum("times").alias("more"), F.sum(F.col("times") * F.col("value")).alias("rest")
     )
     rest = F.coalesce("rest", F.lit(0.0))
-    return (
-        made.where("word is null")
-        .join(rare, "row", "left")
-        .select(
-            key,
-            "held_out",
-            "n_tokens",
-            (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-            F.lit(int(n)).cast("long").alias("train_tokens"),
-            (F.col("counted") + rest - F.col("n_tokens") * F.lit(log_all)).alias("base_score"),
-            (F.col("model") + rest).alias("score"),
-        )
+    return scored.join(rare, "row", "left").select(
+        key,
+        "held_out",
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+        F.lit(int(n)).cast("long").alias("train_tokens"),
+        (F.col("counted") + rest - F.col("n_tokens") * F.lit(log_all)).alias("base_score"),
+        (F.col("model") + rest).alias("score"),
     )
