@@ -181,6 +181,27 @@ def run_nothing_new(spark, sf_dir):
     return read_target(spark, f"{root}/out")
 
 
+def run_nothing_new_ledger(spark, sf_dir):
+    """A run that finds nothing new leaves no version behind."""
+    options = RunOptions(scope="run")
+    root = _two_days(spark, sf_dir, options)
+    run_incremental(spark, f"{root}/raw", f"{root}/out", options, run_id="day-3", now=DAY_2)
+    return Ledger(spark, f"{root}/out/state").runs().select("run_id", "version", "records_processed", "files_failed")
+
+
+RUN_NOTHING_NEW_LEDGER = """
+    SELECT CASE WHEN o_orderstatus = 'O' THEN 'day-2' ELSE 'day-1' END AS run_id,
+           CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END::BIGINT AS version,
+           count(DISTINCT o_custkey) AS records_processed, 0::BIGINT AS files_failed FROM orders GROUP BY ALL
+"""
+
+
+def run_reading_twice(spark, sf_dir):
+    """The two days with files that are read twice instead of staged, and listed by changed folders."""
+    options = RunOptions(scope="run", staging="none", discovery="folders", wave_files=2)
+    return read_target(spark, f"{_two_days(spark, sf_dir, options)}/out")
+
+
 def run_throughput_ledger(spark, sf_dir):
     """Throughput from the rows that runs leave in the ledger, beside their counts; an instant run has no rate."""
     root = _two_days(spark, sf_dir, RunOptions(scope="run"))
@@ -544,6 +565,8 @@ CHECKS = {
     "run_incremental_int96": (run_incremental_int96, RUN_INCREMENTAL_INT96),
     "run_highwater_retry": (run_highwater_retry, RUN_HIGHWATER_RETRY),
     "run_nothing_new": (run_nothing_new, RUN_INCREMENTAL_TWO_DAYS),
+    "run_nothing_new_ledger": (run_nothing_new_ledger, RUN_NOTHING_NEW_LEDGER),
+    "run_reading_twice": (run_reading_twice, RUN_INCREMENTAL_TWO_DAYS),
     "run_throughput_ledger": (run_throughput_ledger, RUN_THROUGHPUT_LEDGER),
     "run_scope_file": (run_scope_file, RUN_SCOPE_FILE),
     "segment_rewrite_orders": (segment_rewrite_orders, SEGMENT_REWRITE_ORDERS),

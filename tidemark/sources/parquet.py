@@ -237,7 +237,17 @@ def signature_schema(signature: str) -> tuple[T.StructType, dict[str, str]]:
 
 def explicit_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The caller's own list as a listing; ``_seq`` keeps its order. A repeated path counts once, last."""
-    order = {qualify(spark, p): i for i, p in enumerate(paths)}
+    folders: dict[str, str] = {}  # each is looked up once, whatever the number of its files
+
+    def whole(path: str) -> str:
+        folder, slash, name = path.rpartition("/")
+        if not folder or not name:
+            return qualify(spark, path)
+        if folder not in folders:
+            folders[folder] = qualify(spark, folder)
+        return f"{folders[folder]}{slash}{name}"
+
+    order = {whole(p): i for i, p in enumerate(paths)}
     listed = F.lit(sorted(order, key=order.get)).cast("array<string>")
     return spark.range(0, 1, 1, 1).select(F.posexplode(listed).alias(SEQ, "path")).select(
         "path", F.col(SEQ).cast("bigint").alias(SEQ)
