@@ -287,6 +287,86 @@ def test_template_decides_without_names(spark):
     assert all(made[20 + n] == made[0] for n in range(30))
 
 
+def extracted(spark, htmls):
+    frame = spark.createDataFrame([(n, f"http://h.example/{n}", h) for n, h in enumerate(htmls)], "page_id long, url string, html string")
+    return [r.text for r in template.extract(frame).orderBy("page_id").collect()]
+
+
+def test_what_articles_share_is_kept(spark):
+    """Headings, recipe lines and near copies stand between texts that vary."""
+    papers = [f"<article><h1>{prose(n, 4)}</h1><h2>Abstract</h2><p>{prose(n, 30)}</p><h2>References</h2><p>{prose(50 + n, 20)}</p></article>" for n in range(6)]
+    for n, text in enumerate(extracted(spark, papers)):
+        assert text.split("\n\n") == [prose(n, 4), "Abstract", prose(n, 30), "References", prose(50 + n, 20)]
+    recipes = [f"<article><p>Preheat the oven to 200 degrees.</p><p>{prose(n, 20)}</p><p>Serve warm.</p></article>" for n in range(4)]
+    for n, text in enumerate(extracted(spark, recipes)):
+        assert text == f"Preheat the oven to 200 degrees.\n\n{prose(n, 20)}\n\nServe warm."
+    near = [f"<article><h1>Same story</h1><p>{prose(9, 60)}</p><p>Updated {n}</p></article>" for n in range(4)]
+    for n, text in enumerate(extracted(spark, near)):
+        assert text == f"Same story\n\n{prose(9, 60)}\n\nUpdated {n}"
+
+
+@pytest.mark.parametrize("top", ["main", "article"])
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "<section id='comments'><h3>3 replies</h3><p>Nice post, thanks!</p></section>",
+        "<div class='comments'><article><p>I disagree.</p></article></div>",
+        "<ol class='comment-list wide'><li>First!</li></ol>",
+        "<div class='advert'>Buy now, it is cheap.</div>", "<div class='newsletter'><p>Read us each week.</p></div>",
+        "<div class='Sidebar'>Other things</div>", "<div class='cookie-notice'>We use cookies.</div>", "<div id='disqus_thread'>x</div>",
+    ],
+)
+def test_furniture_inside_the_article_goes(top, inside):
+    text = "<p>Start here.</p>" + ("" if top == "article" else "<h2>More</h2>") + "<p>The end.</p>"
+    made = template.main_text(f"<body><{top}>{text}{inside}</{top}></body>", frozenset(), None)
+    assert made == ("Start here.\n\nThe end." if top == "article" else "Start here.\n\nMore\n\nThe end.")
+
+
+def test_main_is_only_a_container():
+    made = template.main_text("<main><p>Share this page</p><article><p>Text.</p></article><p>Next page</p></main>", frozenset(), None)
+    assert made == "Text."
+
+
+def test_deep_nesting_needs_memory_by_size_only():
+    import tracemalloc
+
+    html = "<article>" + "<div>" * 30_000 + "<p>deep</p>"
+    tracemalloc.start()
+    assert template.main_text(html, frozenset(), None) == "deep"
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()
+
+
+def test_classes_equal_brute_force(spark):
+    """Vectors written out as dictionaries of pages: the same classes as by hashes, at the bounds of support too."""
+    htmls = [
+        "<div><p>all</p></div><ul><li>all too</li></ul>" + ("<div class=h><p>half</p><p>half again</p></div>" if n % 2 else "")
+        + ("<h3>less</h3><h3>less again</h3>" if n < 4 else "") + f"<p>{prose(n, 5)}</p>"
+        for n in range(10)
+    ]
+    for pages_of_host in (10, 4, 2):
+        vectors = {}
+        for n, html in enumerate(htmls[:pages_of_host]):
+            paths, found = template.blocks(html)
+            counts = Counter({(p, None): c for p, c in paths.items()})
+            counts.update((b[0], template._key(b[0], b[1])) for b in found)
+            for token, times in counts.items():
+                vectors.setdefault(token, {})[n] = times
+        enough = {t: v for t, v in vectors.items() if len(v) >= 0.5 * pages_of_host and (len(v) >= 3 or t[1] is None)}
+        classes = {}
+        for token, v in enough.items():
+            classes.setdefault(tuple(sorted(v.items())), set()).add(token)
+        want = {t for c in classes.values() if len(c) >= 2 for t in c if t[1] is not None}
+        frame = spark.createDataFrame([(n, "http://x.example", h) for n, h in enumerate(htmls[:pages_of_host])], "page_id long, url string, html string")
+        made = template.templates(template.tokens(frame)).first()
+        nested = {""}
+        for path in sorted((t[0] for c in classes.values() if len(c) >= 2 for t in c if t[1] is None), key=lambda p: (p.count(">"), p)):
+            if path.rpartition(">")[0] in nested:
+                nested.add(path)
+        assert set(made.element_keys) == {template._key(p) for p in nested}
+        assert set(made.text_keys) == {k for p, k in want if p.rpartition(">")[0] in nested}
+
+
 def test_template_is_one_class_of_the_host(spark):
     rows = [r for r in pages()[0] if 12 <= r[0] < 20]
     counted = template.tokens(spark.createDataFrame(rows, "page_id long, url string, html string"))

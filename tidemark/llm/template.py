@@ -5,9 +5,17 @@ vectors over the host's pages form an equivalence class; the vectors are never g
 pages, its occurrences and a hash folded over (page, count). Classes that stand on enough of the pages and hold more than one
 token are valid and are nested into the host's template, outermost paths first, each below a path that is in it. What is
 not template fills slots. Slots inside menus, headers, footers, sidebars, notices, adverts, forms and comments, known by
-their elements and attributes, are dropped (inside an article a name must be borne out by a text that is mostly links); of the others the article's are the main text, or, where the page marks no
-article, those of the template's element that holds most slot text on the host. A text of the template is dropped wherever it
-stands. Pages of a host whose whole texts are equal are copies and count once, so pages that copy one another keep their text.
+their elements and attributes, are dropped. Some names say so anywhere, whole class names and ids such as ``comments`` or
+``sidebar``; parts of names say so outside of articles only, or of a text that is mostly links. Of the other slots
+the article's are the main text, or, where the page marks none, those of ``main``, or else those of the template's element that
+holds most slot text on the host. A text of the template is dropped, but
+inside an article only if its element holds nothing but template on the host and is no heading or paragraph between
+slots: headings and lines that articles share are kept. Pages of a host whose
+whole texts are equal are copies and count once, so pages that copy one another keep their text.
+
+Template means on half of the host's different pages and on three at least (SUPPORT, LEAST_PAGES); equal vectors are told by
+hashes of 63 bits. Html of any length is read whole; elements nested deeper than DEPTH share the path of the one at that depth,
+so a page's paths grow with its size.
 
 Tokens are counted per batch before the shuffle, so a host with a third of all pages is no hot group; pages move once, to find copies; a template holds only
 tokens that stand on half of the host's pages, so its size follows the size of a page. Null or empty html, and pages
@@ -30,6 +38,8 @@ from tidemark.llm.common import per_batch, stored
 
 #: A valid class stands on this share of a host's pages, on so many pages, and has so many tokens.
 SUPPORT, LEAST_PAGES, LEAST_TOKENS = 0.5, 3, 2
+#: Steps of a path at most.
+DEPTH = 100
 #: Templates up to this size are sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -45,7 +55,7 @@ BLOCK = frozenset(
     figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre search section summary
     table tbody td tfoot th thead tr ul""".split()
 )
-ARTICLE = frozenset(["article", "main"])
+ARTICLE = {"main": 1, "article": 2}
 DROPPED = frozenset("nav footer aside form menu button dialog search head fieldset label".split())
 ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert alertdialog menu menubar".split())
 NAMES = frozenset(
@@ -54,6 +64,16 @@ NAMES = frozenset(
     modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations comment
     comments respond disqus replies reply widget widgets pagination pager login search toolbar skip print hidden""".split()
 )
+#: Whole class names and ids (fixed values) that say what an element is wherever it stands; headings and articles aside.
+SURE = frozenset(
+    """ad ads advert adverts advertisement adsbygoogle sponsored sidebar comments comment-list commentlist comment-section
+    comments-area user-comments reader-comments disqus_thread respond reply-form newsletter newsletter-signup cookie-notice
+    cookie-banner cookie-consent cookiebar gdpr-notice related-posts related-articles share-buttons social-share
+    breadcrumbs pagination""".split()
+)
+#: Elements that are parts of a running text.
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p li blockquote pre td th dd dt figcaption caption".split())
+_SURE_ON = frozenset("div section ul ol aside p span table".split())
 _OUTER = frozenset("header topbar".split())
 #: Elements that end an open one of the same kind, and where the search for it stops.
 CLOSES = {
@@ -73,12 +93,14 @@ _P_ENDERS = BLOCK - {"body", "html", "head"}
 
 
 class Frame:
-    """An open element: name, path, whether it is dropped, inside an article, inside a link; number of the named element."""
+    """An open element: name, path, whether it is dropped, inside ``main`` (1) or an article (2), inside a link; number of
+    the named element; steps of the path."""
 
-    __slots__ = ("name", "path", "dropped", "article", "link", "named")
+    __slots__ = ("name", "path", "dropped", "article", "link", "named", "depth")
 
-    def __init__(self, name, path, dropped, article, link, named):
-        self.name, self.path, self.dropped, self.article, self.link, self.named = name, path, dropped, article, link, named
+    def __init__(self, name, path, dropped, article, link, named, depth=0):
+        self.name, self.path, self.dropped, self.article, self.link = name, path, dropped, article, link
+        self.named, self.depth = named, depth
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -98,6 +120,7 @@ def _kind(name: str, source: str) -> tuple[str, bool, bool, bool]:
         or "hidden" in given
         or given.get("aria-hidden") == "true"
         or "display:none" in given.get("style", "").replace(" ", "")
+        or (name in _SURE_ON and not SURE.isdisjoint([*classes.lower().split(), own.lower()]))
     )
     named = bool(parts & NAMES) and name not in ("html", "body", "article", "main")
     step = name + "".join("." + re.sub(r"\d+", "#", c) for c in sorted(set(classes.split())))
@@ -110,7 +133,7 @@ def blocks(html: str | None):
     Inside an article a name alone drops nothing: its element must hold more letters in links than others.
     """
     html = html or ""
-    root = Frame("", "", False, False, False, 0)
+    root = Frame("", "", False, 0, False, 0)
     stack, paths, out = [root], Counter(), []
     held: list[str] = []
     linked, at, named_elements = 0, 0, 0
@@ -192,18 +215,20 @@ def blocks(html: str | None):
                 break
         step, dropped, outer, by_name = _kind(name, rest)
         above = stack[-1]
-        article = above.article or name in ARTICLE
+        article = max(above.article, ARTICLE.get(name, 0))
         named = above.named
         if by_name and above.article and not named:
             named_elements += 1
             named = named_elements
+        deeper = name in BLOCK and above.depth < DEPTH
         frame = Frame(
             name,
-            f"{above.path}>{step}" if name in BLOCK else above.path,
+            f"{above.path}>{step}" if deeper else above.path,
             above.dropped or dropped or ((outer or by_name) and not above.article),
             article,
             above.link or name == "a",
             named,
+            above.depth + deeper,
         )
         if name in BLOCK or frame.dropped != above.dropped or frame.named != above.named:
             flush()
@@ -280,7 +305,9 @@ def tokens(pages: DataFrame) -> DataFrame:
 
 
 def templates(counted: DataFrame) -> DataFrame:
-    """host, element_keys, text_keys, main (path of the container with most text): one row per host."""
+    """host, element_keys, text_keys, alone_keys, main: one row per host. ``alone_keys``: the texts whose element holds
+    no slot text on the host and, if it is a heading, paragraph or the like, does not stand between slots either;
+    ``main``: the path of the container with most text."""
     sizes = counted.where("path is null").select("host", F.col("pages").alias("size"))
     frequent = (
         counted.where("path is not null")
@@ -293,7 +320,7 @@ def templates(counted: DataFrame) -> DataFrame:
     per_host = classes.groupBy("host").agg(F.collect_list(F.struct("n", "tokens")).alias("classes"))
 
     def nest(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {k: [] for k in ("host", "element_keys", "text_keys", "main")}
+        out: dict[str, list] = {k: [] for k in ("host", "element_keys", "text_keys", "alone_keys", "main")}
         for name, classes in zip(*[c.to_pylist() for c in batch.columns]):
             valid = [t for c in classes if c["n"] >= LEAST_TOKENS for t in c["tokens"]]
             elements = sorted((t for t in valid if t["text_key"] is None), key=lambda t: (t["path"].count(">"), t["path"]))
@@ -304,8 +331,11 @@ def templates(counted: DataFrame) -> DataFrame:
             texts = [t for t in valid if t["text_key"] is not None]
             # A slot's letters, without those of template texts, are those of the nested element around it.
             mass: Counter = Counter()
+            varying, own = Counter(), Counter()
             for t in [*(t for c in classes for t in c["tokens"] if t["text_key"] is None), *texts]:
                 top = t["path"].rpartition(">")[0]
+                for sums, path in ((varying, top), (own, t["path"])):
+                    sums[path] += t["letters"] if t["text_key"] is None else -t["letters"]
                 while top not in nested:
                     top = top.rpartition(">")[0]
                 mass[top] += t["letters"] if t["text_key"] is None else -t["letters"]
@@ -314,18 +344,31 @@ def templates(counted: DataFrame) -> DataFrame:
             out["host"].append(name)
             out["element_keys"].append(sorted(_key(p) for p in nested))
             out["text_keys"].append(sorted({t["text_key"] for t in texts if t["path"].rpartition(">")[0] in nested}))
+            alone = set()
+            for t in texts:
+                above, _, step = t["path"].rpartition(">")
+                between = step.split(".")[0] in TEXTUAL and varying[above] > 0
+                if own[t["path"]] <= 0 and not between:
+                    alone.add(t["text_key"])
+            out["alone_keys"].append(sorted(alone & set(out["text_keys"][-1])))
             out["main"].append(best)
         return out
 
-    return per_batch(per_host, nest, "host string, element_keys array<long>, text_keys array<long>, main string")
+    made = "host string, element_keys array<long>, text_keys array<long>, alone_keys array<long>, main string"
+    return per_batch(per_host, nest, made)
 
 
-def main_text(html: str | None, text_keys: frozenset[int], main: str | None) -> str:
-    """The main text of a page, given its host's template."""
+def main_text(
+    html: str | None, text_keys: frozenset[int], main: str | None, alone_keys: frozenset[int] = frozenset()
+) -> str:
+    """The main text of a page, given its host's template: its texts, those that stand alone, and its main element."""
     _, found = blocks(html)
-    # What is not template fills slots; names only judge slots.
-    slots = [b for b in found if not b[2] and _key(b[0], b[1]) not in text_keys]
-    chosen = [b for b in slots if b[3]]
+    # What is not template fills slots, and of the template what stands between slots; names only judge slots.
+    keyed = [(b, _key(b[0], b[1])) for b in found if not b[2]]
+    within = [b for b, k in keyed if k not in alone_keys]
+    slots = [b for b, k in keyed if k not in text_keys]
+    # The article, where there is one; ``main`` is its container as a rule.
+    chosen = [b for b in within if b[3] == 2] or [b for b in within if b[3]]
     if not chosen:
         # No article: the slots in the host's main container, else in the one with most text on this page.
         inside = lambda path, top: path == top or path.startswith(top + ">")
@@ -342,8 +385,8 @@ def main_text(html: str | None, text_keys: frozenset[int], main: str | None) ->
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html")
-    found = stored(templates(tokens(pages)), "templates").select("host", "text_keys", "main")
-    size = found.agg(F.sum(64 + 8 * F.size("text_keys") + F.coalesce(F.length("main"), F.lit(0)))).first()[0] or 0
+    found = stored(templates(tokens(pages)), "templates").select("host", "text_keys", "alone_keys", "main")
+    size = found.agg(F.sum(64 + 8 * F.size("text_keys") + 8 * F.size("alone_keys") + F.coalesce(F.length("main"), F.lit(0)))).first()[0] or 0
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def name_hosts(batch: pa.RecordBatch) -> dict:
@@ -354,13 +397,13 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> dict:
         texts = [
-            main_text(h, frozenset(keys or ()), main)
-            for h, keys, main in zip(*[batch.column(c).to_pylist() for c in ("html", "text_keys", "main")])
+            main_text(h, frozenset(keys or ()), main, frozenset(alone or ()))
+            for h, keys, alone, main in zip(*[batch.column(c).to_pylist() for c in ("html", "text_keys", "alone_keys", "main")])
         ]
         return {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": list(map(len, texts))}
 
     named = per_batch(pages, name_hosts, f"page_id {kind}, url string, html string, host string")
     joined = named.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "host", "left")
     return per_batch(
-        joined.select("page_id", "url", "html", "text_keys", "main"), work, f"page_id {kind}, url string, text string, n_chars long"
+        joined.select("page_id", "url", "html", "text_keys", "alone_keys", "main"), work, f"page_id {kind}, url string, text string, n_chars long"
     )
