@@ -549,6 +549,15 @@ def test_runs_by_changed_folders(spark, folder):
 
 def test_replay_takes_its_place_and_is_applied_once(spark, folder):
     root = f"{folder}/out"
+    deposit(folder, "00.parquet", [record("0.0", 20, "zero"), record("9", 20, "nine")])
+    run_incremental(spark, f"{folder}/raw", root, RunOptions(checkpoint_every=1), run_id="007", now=NOW)
+    zero = lambda df: df.withColumn("id", F.regexp_replace("id", "0[.]0", "0"))
+    assert replay.replay_quarantine(spark, root, zero, run_id="008", now=NOW)["records_processed"] == 1
+    age(root, 9)
+    assert "state/files/run_id=007" not in expire(spark, root, 1)
+    assert replay.quarantined(spark, root).isEmpty() and names(spark, root) == {0: "zero", 9: "nine"}
+    root = f"{folder}/second"
+    os.remove(f"{folder}/raw/00.parquet")
     rows = [record("1.0", 20, "one"), record("2", 20, "two"), record("2.0", 21, "newer"), record("3.0", 20, "x" * 300), record("4.0", 20, "four")]
     deposit(folder, "0.parquet", rows)
     run_incremental(spark, f"{folder}/raw", root, run_id="r0", now=NOW)

@@ -75,7 +75,10 @@ def unreferenced(
     with listing_splits(spark):
         members = _members(spark, root)
     old = members.where(F.col("newest") < F.lit(before.isoformat()).cast("timestamp"))
-    return old.join(_referenced(ledger, _oldest_kept(ledger.head(), keep_versions)), ["area", "folder"], "left_anti")
+    old = old.join(_referenced(ledger, _oldest_kept(ledger.head(), keep_versions)), ["area", "folder"], "left_anti")
+    # Quarantined rows are told apart by what the results of their run say of their file.
+    aside = list_names(spark, f"{root}/quarantine")
+    return old.where(~((F.col("area") == "state/files") & F.col("folder").isin(aside))) if aside else old
 
 
 def _oldest_kept(head: Head, keep_versions: int) -> int:

@@ -30,7 +30,7 @@ from tidemark.schema import (
     SUPPLIED,
     VARCHAR_LIMITS,
 )
-from tidemark.session import empty_table, exists, remove
+from tidemark.session import empty_table, exists, remove, settings
 from tidemark.sinks.keyed import DATABASE, KeyedTable
 from tidemark.state.ledger import Ledger, mark_row
 
@@ -39,6 +39,9 @@ IDENTITY = ["path", "modificationTime", "row"]
 
 _VERSION = "_version"
 
+#: A run's id is text, whatever it looks like in the name of a folder.
+_AS_TEXT = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+
 
 def quarantined(spark: SparkSession, root: str) -> DataFrame:
     """The rows set aside by committed runs and not applied since, as they were: values that could not be cast are
@@ -51,8 +54,8 @@ def quarantined(spark: SparkSession, root: str) -> DataFrame:
     if not exists(spark, folder):
         return empty_table(spark, RAW_SCHEMA.add("path", "string").add("modificationTime", "timestamp").add("row", "long"))
     runs = ledger.runs().select("run_id", F.col("version").alias(_VERSION))
-    rows = spark.read.option("mergeSchema", "true").parquet(folder)
-    rows = rows.withColumn("run_id", F.col("run_id").cast("string")).join(runs, "run_id")
+    with settings(spark, _AS_TEXT):
+        rows = spark.read.option("mergeSchema", "true").parquet(folder).join(runs, "run_id")
     times = ledger.files_of([r["run_id"] for r in rows.select("run_id").distinct().collect()])
     times = times.select("run_id", F.col("path").alias(PATH), "modificationTime")
     rows = rows.join(times, ["run_id", PATH]).withColumnsRenamed({PATH: "path", ROW: "row"})
@@ -68,8 +71,8 @@ def quarantined(spark: SparkSession, root: str) -> DataFrame:
     rows = dedup_latest(rows, IDENTITY, [_VERSION], ())
     rows = rows.withColumns(texts)
     if exists(spark, f"{root}/replayed"):
-        done = spark.read.parquet(f"{root}/replayed")
-        done = done.withColumn("run_id", F.col("run_id").cast("string")).join(runs, "run_id", "left_semi")
+        with settings(spark, _AS_TEXT):
+            done = spark.read.parquet(f"{root}/replayed").join(runs, "run_id", "left_semi")
         rows = rows.join(done.select(*IDENTITY), IDENTITY, "left_anti")
     return rows
 
