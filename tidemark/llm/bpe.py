@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import per_batch
+from tidemark.llm.common import keeps, per_batch
 from tidemark.llm.tokencount import safe_pieces
 
 #: Fixed value: the pattern of byte-level BPE vocabularies of this family.
@@ -190,6 +190,9 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+keeps(__name__, codec.cache_clear)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, ids: the token ids of each text."""
 

@@ -121,6 +121,15 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(_BOUND, str(BATCH_BYTES))
 
 
+#: What modules keep in a Python worker between tasks, and how they let go of it. Workers are used again by other operators.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(module: str, clear: Callable[[], None]) -> None:
+    """Let the first batch that a worker gets from another module's operator free what ``module`` has kept."""
+    _KEPT[module] = clear
+
+
 def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` for a function from one batch to columns by name; empty results are skipped.
 
@@ -132,6 +141,9 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str
     out = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for module, clear in _KEPT.items():
+            if module != work.__module__:
+                clear()
         for batch in batches:
             if batch.num_rows:
                 columns = work(batch)
