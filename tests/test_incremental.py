@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.validate import ErrorRateExceeded
 from tidemark.plans.incremental import RunOptions, bucket_count, read_target, run_incremental
+from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import parquet
 from tidemark.state.deadletter import read_failed_log
 from tidemark.state.ledger import Ledger, starting_mark
@@ -314,6 +315,30 @@ def test_staging_is_removed_after_the_commit(spark, folder):
     assert names(spark, root) == {1: "n", 2: "n"}
 
 
+@pytest.mark.parametrize("staging", ["rows", "none"])
+def test_tasks_of_the_fold_read_small_splits(spark, folder, monkeypatch, staging):
+    root, size, seen = f"{folder}/out", "spark.sql.files.maxPartitionBytes", []
+    rows = spark.range(0, 600_000, 1, 1).select(
+        (F.col("id") % 500_000).alias("id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("name"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("updated_at"),
+    )
+    rows.write.parquet(f"{folder}/raw")
+    write = KeyedTable.write_changes
+    monkeypatch.setattr(KeyedTable, "write_changes", lambda t, *a: seen.append(spark.conf.get(size)) or write(t, *a))
+    before = spark.conf.get(size)
+    options = RunOptions(keep_staging=True, staging=staging)
+    assert run_incremental(spark, f"{folder}/raw", root, options, run_id="r")["records_processed"] == 500_000
+    assert [int(s) <= 16 << 20 for s in seen] == [True] and spark.conf.get(size) == before
+    assert read_target(spark, root).where("updated_at >= '1970-01-06 18:53:20'").count() == 100_000
+    if staging == "rows":
+        staged = [f"{at}/{f}" for at, _, fs in os.walk(f"{root}/staging/r/rows") for f in fs if f.endswith(".parquet")]
+        metas = [pq.read_metadata(f) for f in staged]
+        groups = [m.row_group(i) for m in metas for i in range(m.num_row_groups)]
+        assert sum(g.num_rows for g in groups) == 600_000
+        assert max(g.total_byte_size for g in groups) < 24 << 20
+
+
 def test_empty_file_and_empty_source(spark, folder):
     root = f"{folder}/out"
     assert run_incremental(spark, f"{folder}/nowhere", root)["files_processed"] == 0

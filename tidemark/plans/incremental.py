@@ -37,7 +37,7 @@ from tidemark.schema import (
     SUPPLIED,
     TARGET_SCHEMA,
 )
-from tidemark.session import empty_table, folder_bytes, remove
+from tidemark.session import empty_table, folder_bytes, remove, settings
 from tidemark.sinks.keyed import DATABASE, KeyedTable
 from tidemark.sinks.processed import write_processed
 from tidemark.sources.discovery import changed_listing
@@ -61,6 +61,12 @@ SCOPES = ("file", "batch", "run")
 # A bucket of the target's base is to hold about this much.
 BUCKET_BYTES = 512 << 20
 
+# A task of the fold sorts the rows it reads, which take some ten times their bytes in a file (the path of each row alone
+# takes more than all of its values). Splits end at row groups, so both are limited: bytes of a split, and bytes of a
+# staged row group before compression. What a task gathers from the shuffle is sorted again.
+FOLD_SPLIT_BYTES = 16 << 20
+STAGED_GROUP_BYTES = 8 << 20
+
 
 @dataclass
 class RunOptions:
@@ -488,7 +494,8 @@ class _Reader:
         folders, every, schema = [], True, None
         for rows, whole in self._waves(self.footers, skip_damaged=True):
             folders.append(f"{self.stage}/rows/wave={len(folders)}")
-            rows.write.mode("overwrite").parquet(folders[-1])
+            writer = rows.write.option("parquet.block.size", STAGED_GROUP_BYTES)
+            writer.mode("overwrite").parquet(folders[-1])
             every, schema = every and whole, rows.schema
         if not folders:
             return None
@@ -523,7 +530,10 @@ class _Reader:
         for (rows, _), folder in zip(parts, folders):
             bad = F.size(ERRORS) > 0
             folded = dedup_latest(rows.where(~bad), [KEY, SUPPLIED], order, ())
-            folded.unionByName(rows.where(bad)).write.mode("overwrite").parquet(folder)
+            with fold_splits(self.spark):
+                folded.unionByName(rows.where(bad)).write.option("parquet.block.size", STAGED_GROUP_BYTES).mode(
+                    "overwrite"
+                ).parquet(folder)
         rows = self.spark.read.schema(parts[0][0].schema).parquet(*folders)
         return rows.drop(SUPPLIED) if every else rows
 
@@ -596,6 +606,14 @@ def bucket_count(size: int, now: int | None, target: int | None = None) -> int:
     return now
 
 
+def fold_splits(spark: SparkSession):
+    """Smaller splits, and partitions gathered from a shuffle, while a fold is planned and run; the session's own sizes
+    where they are smaller still."""
+    in_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    return settings(spark, {n: str(min(in_bytes(spark.conf.get(n)), FOLD_SPLIT_BYTES)) for n in sizes})
+
+
 def arrival_order(scope: str, conflict: str) -> list[str]:
     """Sort key, most significant first, of the row that survives a run."""
     place = [SEQ, PATH]
@@ -634,11 +652,13 @@ def _apply(
         rows, [KEY], arrival_order(options.scope, options.conflict), table.schema.fieldNames(), dated
     )
     if options.track_changes:
-        made = _tracked(table, state, updates, run_id)
+        with fold_splits(spark):
+            made = _tracked(table, state, updates, run_id)
         counts = {k: made.pop(k) for k in ("records_processed", "inserted", "updated", "unchanged", "stale")}
     else:
         counted = Observation()
-        changes = table.write_changes(updates.observe(counted, F.count(F.lit(1)).alias("n")), run_id)
+        with fold_splits(spark):
+            changes = table.write_changes(updates.observe(counted, F.count(F.lit(1)).alias("n")), run_id)
         made, counts = {"changes": changes, "change_log": None}, {"records_processed": counted.get["n"]}
     if options.processed_root and counts["records_processed"]:
         stored = spark.read.parquet(f"{table.root}/{made['changes']}").drop(SUPPLIED, DATES)
