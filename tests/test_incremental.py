@@ -7,8 +7,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from checks import runs
 from tidemark.operators.validate import ErrorRateExceeded
 from tidemark.plans.incremental import RunOptions, bucket_count, read_target, run_incremental
+from tidemark.session import settings
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import parquet
 from tidemark.state.deadletter import read_failed_log
@@ -339,6 +341,26 @@ def test_tasks_of_the_fold_read_small_splits(spark, folder, monkeypatch, staging
         assert max(g.total_byte_size for g in groups) < 24 << 20
 
 
+def test_input_in_slices_is_sorted_by_several_tasks(spark, folder, monkeypatch):
+    rows = [(i * 37 % 3000, i % 211, "OFP"[i % 3], datetime(2024, 1, 1 + i % 28), f"p{i}") for i in range(3000)]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string"
+    rows += [(None, 211, "O", datetime(2024, 1, 1), "null"), (None, 212, "F", datetime(2024, 1, 1), "null")]
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/orders.parquet")
+    monkeypatch.setattr(runs, "scratch_dir", lambda *_: f"{folder}/runs")
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        target = runs.run_scope_batch(spark, folder)
+    expected = {}
+    for last in (False, True):  # the later file, its later slices, in them the later dates
+        part = sorted((r for r in rows if (r[2] == "O") is last), key=lambda r: -1 if r[0] is None else r[0])
+        placed = [(n // 500 + 1, r[3], r[0] or 0, r) for n, r in enumerate(part)]
+        for piece, _, _, r in sorted(placed, key=lambda p: p[:3]):
+            expected[r[1]] = (r[4], f"run_b{piece}")
+    assert {r["id"]: (r["payload"], r["_etl_batch_id"]) for r in target.collect()} == expected
+    for name in "ab":
+        parts = [f for f in os.listdir(f"{folder}/runs/sorted/{name}") if f.endswith(".parquet")]
+        assert len(parts) == 4 and os.listdir(f"{folder}/runs/raw/{name}") == ["all.parquet"]
+
+
 def test_empty_file_and_empty_source(spark, folder):
     root = f"{folder}/out"
     assert run_incremental(spark, f"{folder}/nowhere", root)["files_processed"] == 0

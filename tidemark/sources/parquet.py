@@ -69,6 +69,27 @@ def read_parquet(
     )
 
 
+def file_locator():
+    """The function tasks find a file with; made inside another, so it travels with the task like that one."""
+
+    def locate(path: str):
+        """A pyarrow filesystem and path for a path as Spark's listing spells it."""
+        from pyarrow import fs
+
+        if path.startswith("file:"):
+            return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+        if path.startswith(("s3a://", "s3n://")):
+            path = "s3://" + path.split("://", 1)[1]
+        if "://" not in path:
+            return fs.LocalFileSystem(), path
+        scheme, rest = path.split("://", 1)
+        root, _, inner = rest.partition("/")
+        filesystem, base = fs.FileSystem.from_uri(f"{scheme}://{root}")
+        return filesystem, f"{base.strip('/')}/{inner}"
+
+    return locate
+
+
 def _footer_check(expected: Sequence[str], required: Sequence[str]):
     """The function tasks run over batches of listed files.
 
@@ -97,20 +118,7 @@ def _footer_check(expected: Sequence[str], required: Sequence[str]):
     }
     nanos, output = NANOS, _CHECKED.fieldNames()
 
-    def locate(path: str):
-        """A pyarrow filesystem and path for a path as Spark's listing spells it."""
-        from pyarrow import fs
-
-        if path.startswith("file:"):
-            return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-        if path.startswith(("s3a://", "s3n://")):
-            path = "s3://" + path.split("://", 1)[1]
-        if "://" not in path:
-            return fs.LocalFileSystem(), path
-        scheme, rest = path.split("://", 1)
-        root, _, inner = rest.partition("/")
-        filesystem, base = fs.FileSystem.from_uri(f"{scheme}://{root}")
-        return filesystem, f"{base.strip('/')}/{inner}"
+    locate = file_locator()
 
     def spark_type(arrow_type) -> str:
         """Empty for a type no expected column can be cast from."""
